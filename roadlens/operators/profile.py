@@ -9,7 +9,7 @@ denominators (all rows, or the non-null rows of the column where it used
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from roadlens.functions.labels import monday_first_ordinal, truncate_sample, weekday_name
 from roadlens.functions.parsing import parse_day_first_date, strict_hour
@@ -33,8 +33,14 @@ def schema_report(df: DataFrame) -> DataFrame:
     """Column, type, non-null count, a sample value (the smallest, so the
     answer does not depend on row order), truncated to 43 characters."""
     fields = df.schema.fields
+
+    def smallest(f):
+        lo = F.min(F.col(f.name))
+        # -0.0 and 0.0 are the same sample value
+        return lo + F.lit(0.0) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else lo
+
     wide = df.agg(*[F.count(F.col(f.name)).alias(f"n{i}") for i, f in enumerate(fields)],
-                  *[F.min(F.col(f.name)).cast("string").alias(f"s{i}") for i, f in enumerate(fields)])
+                  *[smallest(f).cast("string").alias(f"s{i}") for i, f in enumerate(fields)])
     records = [{"position": F.lit(i + 1), "column_name": F.lit(f.name),
                 "data_type": F.lit(f.dataType.simpleString()), "non_null": F.col(f"n{i}"),
                 "sample": F.coalesce(truncate_sample(F.col(f"s{i}")), F.lit("N/A"))}
