@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from roadlens.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame) -> tuple[DataFrame, int]:
+def materialize(df: DataFrame, count: bool = True) -> tuple[DataFrame, int | None]:
     """Reliable checkpoint (shared folder) + row count of the stored copy.
 
     Cuts lineage so later uses read the same rows (no recomputation after a
@@ -15,7 +15,7 @@ def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     """
     ensure_checkpoint_dir(df.sparkSession)
     stored = df.checkpoint(eager=True)
-    return stored, stored.count()
+    return stored, (stored.count() if count else None)
 
 
 def broadcast_if_small(df: DataFrame, rows: int, max_rows: int) -> DataFrame:

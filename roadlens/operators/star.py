@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from roadlens.operators.keys import dense_keys, hash_key
-from roadlens.operators.small import broadcast_if_small
+from roadlens.operators.small import broadcast_if_small, materialize
 from roadlens.schemas import DIMENSIONS, FACT_COLS
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
@@ -57,12 +57,13 @@ def build_dimensions(clean: DataFrame, keys: str = "dense") -> tuple[dict[str, D
     all_cols = _all_dim_cols()
     members = dimension_members(clean)
     if keys == "dense":
-        keyed = dense_keys(members, all_cols, "_key", group_col="_gid")
+        keyed, counts = dense_keys(members, all_cols, "_key", group_col="_gid")
     elif keys == "hash":
-        keyed = members.withColumn("_key", F.lit(None).cast("long"))
+        keyed, _ = materialize(members, count=False)
+        counts = {r["_gid"]: r["count"] for r in keyed.groupBy("_gid").count().collect()}
+        keyed = keyed.withColumn("_key", F.lit(None).cast("long"))
     else:
         raise ValueError(f"unknown key scheme {keys!r}")
-    counts = {r["_gid"]: r["count"] for r in keyed.groupBy("_gid").count().collect()}
     dims, rows = {}, {}
     for name, (cols, key) in DIMENSIONS.items():
         gid = _grouping_id(cols, all_cols)
