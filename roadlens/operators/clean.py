@@ -17,10 +17,14 @@ from roadlens.schemas import (HAZARD_NONE, HAZARD_PLACEHOLDER_REGEX, KEY_COL, NI
                               WEEKEND_DAYS)
 
 
+SOURCE_COLS = (SOURCE_ORDER_COL, "source_file")
+
+
 def dedup_accidents(raw: DataFrame) -> DataFrame:
-    """One row per accident, first by source order; source column dropped."""
-    order = [SOURCE_ORDER_COL] if SOURCE_ORDER_COL in raw.columns else []
-    return keep_first(raw, KEY_COL, order).drop(SOURCE_ORDER_COL)
+    """One row per accident, first by source order (``copy_no`` or the
+    ``source_file`` path, whichever is present); source columns dropped."""
+    order = [c for c in SOURCE_COLS if c in raw.columns]
+    return keep_first(raw, KEY_COL, order).drop(*SOURCE_COLS)
 
 
 def add_calendar(df: DataFrame) -> DataFrame:

@@ -65,11 +65,19 @@ def missing_report(df: DataFrame) -> DataFrame:
                .orderBy(F.col("missing_pct").desc(), "column_name"))
 
 
-def numeric_summary(df: DataFrame, approx_cols: tuple[str, ...] = ()) -> DataFrame:
+def numeric_summary(df: DataFrame, approx_cols: tuple[str, ...] | None = None) -> DataFrame:
     """D3: count, mean, median, sample std, min, max (rounded to 4) for every
-    numeric column, in one aggregate. Columns in ``approx_cols`` use a
-    bounded sketch for the median instead of the exact value map."""
+    numeric column, in one aggregate.
+
+    The exact median keeps a value->count map per column, which stays small
+    for the integer codes and counts but grows with every distinct value of
+    a continuous column. Columns in ``approx_cols`` (default: the floating
+    point ones, i.e. the coordinates) use a bounded quantile sketch instead.
+    """
     cols = numeric_columns(df)
+    if approx_cols is None:
+        approx_cols = tuple(f.name for f in df.schema.fields
+                            if isinstance(f.dataType, (T.FloatType, T.DoubleType)))
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c)
