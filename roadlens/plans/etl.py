@@ -23,6 +23,7 @@ from __future__ import annotations
 import argparse
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -62,8 +63,9 @@ def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "dens
     staged = spark.read.parquet(staged_path)
 
     dims, dim_rows = build_dimensions(staged, keys)
-    for name, df in dims.items():
-        write_table(df, os.path.join(out_dir, name))
+    # Four small, independent writes: submitted together so they share the cluster.
+    with ThreadPoolExecutor(max_workers=len(dims)) as pool:
+        list(pool.map(lambda item: write_table(item[1], os.path.join(out_dir, item[0])), dims.items()))
     written_dims = {name: spark.read.parquet(os.path.join(out_dir, name)) for name in DIMENSIONS}
 
     fact = build_fact(staged, written_dims, dim_rows, null_safe, max_broadcast_rows)
