@@ -274,7 +274,7 @@ def _validate(p: Pipeline) -> DataFrame:
 
 @query("integrity_star")
 def _integrity(p: Pipeline) -> DataFrame:
-    return checks.integrity(p.fact, p.star.dims)
+    return checks.integrity(p.fact, p.star.dims, p.star.dim_rows)
 
 
 @query("etl_summary")

@@ -26,22 +26,35 @@ def validate_tables(tables: dict[str, DataFrame],
     return out.withColumn("ok", F.col("nulls") == 0)
 
 
-def integrity(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """M7: per dimension: rows, distinct keys, duplicated keys, fact rows
-    with a null foreign key, fact rows whose key has no dimension row
-    (``left_anti`` join: the dimension is the small side)."""
+def integrity(fact: DataFrame, dims: dict[str, DataFrame],
+              dim_rows: dict[str, int] | None = None,
+              max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """M7: per dimension: rows, distinct keys, duplicated keys, fact rows with
+    a null foreign key, and fact rows whose key has no dimension row.
+
+    The fact is scanned once: each dimension's key set is left-joined
+    (broadcast when its counted size allows) and flagged, then one aggregate
+    counts nulls and misses for all four keys together.
+    """
+    probe = fact.select(*[key for _, key in DIMENSIONS.values()])
+    for name, (_, key) in DIMENSIONS.items():
+        keys = dims[name].select(key).distinct().withColumn(f"_hit_{key}", F.lit(True))
+        rows = (dim_rows or {}).get(name)
+        side = F.broadcast(keys) if rows is not None and rows <= max_broadcast_rows else keys
+        probe = probe.join(side, key, "left")
+    counted = probe.agg(*[c for _, key in DIMENSIONS.values() for c in (
+        F.count_if(F.col(key).isNull()).alias(f"_null_{key}"),
+        F.count_if(F.col(key).isNotNull() & F.col(f"_hit_{key}").isNull()).alias(f"_orphan_{key}"))])
+    fact_counts = counted.select(F.struct(*counted.columns).alias("s")).scalar()
     parts = []
     for name, (_, key) in DIMENSIONS.items():
-        dim = dims[name]
-        dim_stats = dim.agg(F.count(F.lit(1)).alias("rows"),
-                            F.count_distinct(F.col(key)).alias("distinct_keys"))
-        orphans = fact.filter(F.col(key).isNotNull()).join(dim.select(key), key, "left_anti")
-        null_fk = fact.agg(F.count_if(F.col(key).isNull())).scalar()
-        orphan_n = orphans.agg(F.count(F.lit(1))).scalar()
+        dim_stats = dims[name].agg(F.count(F.lit(1)).alias("rows"),
+                                   F.count_distinct(F.col(key)).alias("distinct_keys"))
         parts.append(dim_stats.select(
             F.lit(name).alias("table_name"), "rows", "distinct_keys",
             (F.col("rows") - F.col("distinct_keys")).alias("duplicate_keys"),
-            null_fk.alias("null_fk_rows"), orphan_n.alias("orphan_fact_rows")))
+            fact_counts[f"_null_{key}"].alias("null_fk_rows"),
+            fact_counts[f"_orphan_{key}"].alias("orphan_fact_rows")))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -46,8 +46,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="roadlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
+        return root
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
