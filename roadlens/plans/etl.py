@@ -95,7 +95,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.sf:
         raw = raw_accidents(spark, args.sf)
     else:
-        raw = read_accident_csvs(spark, args.csv)  # keeps source_file: orders keep-first
+        # keeps source_file: it orders keep-first
+        raw = read_accident_csvs(spark, args.csv, expand_globs=True)
     result = run_etl(spark, raw, args.out, null_safe=args.null_safe)
     print(json.dumps(result.summary()))
     for row in result.validation.collect():

@@ -43,9 +43,25 @@ def read_csv_group(spark: SparkSession, path: str, source_col: str | None = "sou
     return df
 
 
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Files matching a path glob, sorted (only paths are read, not contents;
+    the list is bounded by the number of files, not their size)."""
+    found = spark.read.format("binaryFile").load(pattern).select("path").collect()
+    return sorted(r["path"] for r in found)
+
+
 def read_accident_csvs(spark: SparkSession, paths: list[str],
-                       source_col: str | None = "source_file") -> DataFrame:
-    """S1 + S2 + U1: read each group, union by name, missing columns -> null."""
+                       source_col: str | None = "source_file",
+                       expand_globs: bool = False) -> DataFrame:
+    """S1 + S2 + U1: read each group, union by name, missing columns -> null.
+
+    Each entry is a file or a folder/glob whose files share one header. With
+    ``expand_globs`` a glob is expanded into its sorted files first and each
+    file gets its own header (for file sets whose columns differ); that costs
+    one tiny header read per file, so keep it for tens of files, not thousands.
+    """
+    if expand_globs:
+        paths = [f for p in paths for f in (list_files(spark, p) if any(ch in p for ch in "*?[") else [p])]
     out = None
     for path in paths:
         df = read_csv_group(spark, path, source_col)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from roadlens.sources.csv import read_csv_group, write_csv
 
@@ -29,6 +29,21 @@ def land_sources(sources: dict[str, DataFrame], root: str, ingest_date: dt.date)
     return out
 
 
+def land_csv_files(spark: SparkSession, paths: list[str], root: str,
+                   ingest_date: dt.date) -> dict[str, str]:
+    """Land existing CSV files: each is read with every column as text (the
+    landing zone does not interpret values) and rewritten under its own
+    ``source_file=NAME`` folder, header in every part file."""
+    from roadlens.sources.csv import CSV_OPTIONS, header_columns
+
+    sources = {}
+    for path in paths:
+        cols = header_columns(spark, path)
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
+        sources[os.path.basename(path.rstrip("/"))] = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return land_sources(sources, root, ingest_date)
+
+
 def read_landed(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
     """Read landed sources back with the partition values as columns."""
     out = None

@@ -51,3 +51,49 @@ def test_whitespace_survives_csv_round_trip(spark, sf_small):
     back = landing.read_landed(spark, folders)
     lead = back.filter(F.col("Junction_Detail").startswith(" ")).count()
     assert lead == raw.filter(F.col("Junction_Detail").startswith(" ")).count() > 0
+
+
+def test_sorted_glob_with_differing_headers(spark):
+    root = scratch_path(spark, "glob-test")
+    os.makedirs(root, exist_ok=True)
+    with open(os.path.join(root, "accidents_2.csv"), "w") as f:
+        f.write("Accident_Index,Speed_limit\nB1,30\n")
+    with open(os.path.join(root, "accidents_1.csv"), "w") as f:
+        f.write("Accident_Index,Road_Type,Speed_limit\nA1,Roundabout,20\n")
+    with open(os.path.join(root, "other.csv"), "w") as f:
+        f.write("x\n1\n")
+    from roadlens.sources.csv import list_files
+
+    files = list_files(spark, os.path.join(root, "accidents_*.csv"))
+    assert [os.path.basename(f) for f in files] == ["accidents_1.csv", "accidents_2.csv"]
+    df = read_accident_csvs(spark, [os.path.join(root, "accidents_*.csv")], expand_globs=True)
+    rows = sorted((r.Accident_Index, r.Road_Type, r.Speed_limit) for r in df.collect())
+    assert rows == [("A1", "Roundabout", 20), ("B1", None, 30)]
+
+
+def test_dynamic_partition_overwrite(spark):
+    from roadlens.sources.sinks import write_table
+
+    root = scratch_path(spark, "dyn-test")
+    df = spark.createDataFrame([(1, 2005), (2, 2006)], "v int, Year_Derived int")
+    write_table(df, root, "Year_Derived")
+    write_table(spark.createDataFrame([(3, 2006)], "v int, Year_Derived int"), root, "Year_Derived",
+                dynamic_overwrite=True)
+    got = sorted(tuple(r) for r in spark.read.parquet(root).select("v", "Year_Derived").collect())
+    assert got == [(1, 2005), (3, 2006)]
+
+
+def test_land_existing_csv_files(spark):
+    import datetime as dt
+
+    root = scratch_path(spark, "land-csv-test")
+    os.makedirs(root, exist_ok=True)
+    src = os.path.join(root, "accidents_9.csv")
+    with open(src, "w") as f:
+        f.write("Accident_Index,Time,Junction_Detail\nA1,07:05,Roundabout \nA2,,x\n")
+    folders = landing.land_csv_files(spark, [src], os.path.join(root, "zone"), dt.date(2026, 4, 1))
+    back = landing.read_landed(spark, folders)
+    rows = sorted((r.Accident_Index, r.Time, r.Junction_Detail, r.year, r.month, r.source_file)
+                  for r in back.collect())
+    assert rows == [("A1", "07:05", "Roundabout ", 2026, 4, "accidents_9.csv"),
+                    ("A2", None, "x", 2026, 4, "accidents_9.csv")]
