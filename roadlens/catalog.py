@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from roadlens.fixture import raw_accidents, secondary_source, source_files
 from roadlens.operators import checks, clean as C, profile as P
 from roadlens.operators.dedup import dedup_counts
-from roadlens.operators.star import Star, build_star
+from roadlens.operators.small import broadcast_if_small
+from roadlens.operators.star import DEFAULT_MAX_BROADCAST_ROWS, Star, build_star
 from roadlens.plans import questions as Q
 from roadlens.schemas import DIMENSIONS, FACT_PARTITION_COL, KEY_COL
 from roadlens.session import scratch_path
@@ -63,8 +64,11 @@ class Pipeline:
     def star_nullsafe(self) -> Star:
         return build_star(self.clean, null_safe=True)
 
-    def dim(self, name: str) -> DataFrame:
-        return self.star.dims[name]
+    def dim(self, name: str, star: Star | None = None) -> DataFrame:
+        """A dimension for joining: broadcast when its counted rows allow
+        (the lazily built dimensions carry no size statistics of their own)."""
+        s = star or self.star
+        return broadcast_if_small(s.dims[name], s.dim_rows[name], DEFAULT_MAX_BROADCAST_ROWS)
 
     @property
     def fact(self) -> DataFrame:
@@ -249,7 +253,7 @@ def _clean_all(p: Pipeline) -> DataFrame:
 def _dim_query(name: str):
     @query(name)
     def _q(p: Pipeline) -> DataFrame:
-        return p.dim(name)
+        return p.star.dims[name]
     return _q
 
 
@@ -291,7 +295,7 @@ def _bq1(p: Pipeline) -> DataFrame:
 @query("bq1_nullsafe")
 def _bq1_nullsafe(p: Pipeline) -> DataFrame:
     s = p.star_nullsafe
-    return Q.monthly_rank(s.fact, s.dims["dim_time"])
+    return Q.monthly_rank(s.fact, p.dim("dim_time", s))
 
 
 @query("bq2_road_vulnerability")
