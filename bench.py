@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,13 +26,13 @@ def main() -> int:
     from roadlens.operators import profile as P
     from roadlens.plans import questions as Q
     from roadlens.plans.etl import run_etl
-    from roadlens.session import build_session, ensure_checkpoint_dir
+    from roadlens.session import build_session, ensure_checkpoint_dir, scratch_path
     from roadlens.sources.sinks import write_table
     from roadlens.sources.tables import read_star
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus, app="roadlens-bench")
     ensure_checkpoint_dir(spark)
-    out_dir = tempfile.mkdtemp(prefix="roadlens-bench-")
+    out_dir = scratch_path(spark, "bench")  # below spark.checkpoint.dir, never a node-local folder
 
     timings: dict[str, float] = {}
 
