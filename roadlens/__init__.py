@@ -13,3 +13,22 @@ Every operator returns a lazy DataFrame; collection is the caller's job.
 """
 
 __version__ = "0.1.0"
+
+_EXPORTS = {
+    "raw_accidents": "roadlens.fixture",
+    "clean_all": "roadlens.operators.clean",
+    "build_star": "roadlens.operators.star",
+    "run_etl": "roadlens.plans.etl",
+    "read_star": "roadlens.sources.tables",
+    "register_star": "roadlens.sources.tables",
+    "read_accident_csvs": "roadlens.sources.csv",
+}
+
+
+def __getattr__(name):
+    """Lazy top-level shortcuts (importing pyspark only when used)."""
+    if name in _EXPORTS:
+        import importlib
+
+        return getattr(importlib.import_module(_EXPORTS[name]), name)
+    raise AttributeError(name)

@@ -74,3 +74,21 @@ def test_hash_keys_star_is_consistent(spark, sf_small):
     # same members, same null foreign keys, whatever the key scheme
     assert (hashed.fact.filter(F.col("geo_key").isNull()).count()
             == dense.fact.filter(F.col("geo_key").isNull()).count())
+
+
+def test_star_keys_do_not_depend_on_shuffle_partitions(spark, sf_small):
+    """Trap T1: position-based ids changed with the partition count; dense keys must not."""
+    from roadlens.fixture import raw_accidents
+    from roadlens.operators.clean import clean_all
+
+    def keys(n):
+        prev = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            star = build_star(clean_all(raw_accidents(spark, sf_small)))
+            return {name: sorted((tuple(r) for r in star.dims[name].collect()), key=lambda r: r[-1])
+                    for name in DIMENSIONS}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", prev)
+
+    assert keys(3) == keys(7)
