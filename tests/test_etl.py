@@ -25,3 +25,30 @@ def test_etl_null_safe_resolves_all_keys(spark, sf_small):
     out = scratch_path(spark, "etl-test-ns")
     result = run_etl(spark, raw_accidents(spark, sf_small), out, null_safe=True)
     assert all(r.ok for r in result.validation.collect())
+
+
+def test_etl_with_imputation_and_strict_flags(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    out = scratch_path(spark, "etl-test-imp")
+    result = run_etl(spark, raw_accidents(spark, sf_small), out, impute_speed=True,
+                     strict_hour=True, strict_coordinates=True)
+    staged = spark.read.parquet(os.path.join(out, "dim_road"))
+    assert staged.filter(F.col("Speed_limit") <= 0).count() == 0
+    assert result.fact_rows == 1500
+
+
+def test_bench_prints_one_json_line(tmp_path):
+    import json
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2")
+    proc = subprocess.run([sys.executable, os.path.join(root, "bench.py")], env=env, cwd=tmp_path,
+                          capture_output=True, text=True, timeout=900)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    lines = [ln for ln in proc.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1
+    out = json.loads(lines[0])
+    assert out["unit"] == "sec" and out["value"] > 0 and "bq1_monthly_rank" in out["queries"]
