@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from roadlens.functions.labels import monday_first_ordinal, truncate_sample, weekday_name
 from roadlens.functions.parsing import parse_day_first_date, strict_hour
-from roadlens.operators.stats import (exact_quantile, numeric_columns, pct, rows_from_wide,
-                                      string_columns, value_counts)
+from roadlens.operators.stats import (approx_quantile, exact_quantile, numeric_columns, pct,
+                                      rows_from_wide, string_columns, value_counts)
 from roadlens.schemas import (CASUALTY_CAP_QUANTILE, CASUALTY_EXTREME, IQR_COLUMNS, IQR_FACTOR,
                               KEY_COL, MISSING_BANDS, RUSH_HOURS, SOURCE_ORDER_COL,
                               UK_LAT_BOUNDS, UK_LON_BOUNDS, WORST_KEYS)
@@ -81,7 +81,7 @@ def numeric_summary(df: DataFrame, approx_cols: tuple[str, ...] | None = None) -
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c)
-        med = (F.percentile_approx(x, 0.5, 10_000) if c in approx_cols else F.median(x))
+        med = approx_quantile(x, 0.5) if c in approx_cols else exact_quantile(x, 0.5)
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"a{i}"), med.alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)

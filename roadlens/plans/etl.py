@@ -32,6 +32,7 @@ from roadlens.operators.checks import validate_tables
 from roadlens.operators.clean import clean_all, impute_speed_limit
 from roadlens.operators.star import DEFAULT_MAX_BROADCAST_ROWS, build_dimensions, build_fact
 from roadlens.schemas import DIMENSIONS, FACT_PARTITION_COL
+from roadlens.session import shuffle_partitions as scoped_partitions
 from roadlens.sources.sinks import write_table
 from roadlens.sources.tables import read_star
 
@@ -53,7 +54,16 @@ class EtlResult:
 def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "dense",
             null_safe: bool = False, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
             strict_hour: bool = False, strict_coordinates: bool = False,
-            impute_speed: bool = False) -> EtlResult:
+            impute_speed: bool = False, shuffle_partitions: int | None = None) -> EtlResult:
+    """Run the ETL into ``out_dir``. ``shuffle_partitions`` (e.g. from
+    ``session.partitions_for(raw)``) sizes the dedup shuffle for the run."""
+    with scoped_partitions(spark, shuffle_partitions):
+        return _run(spark, raw, out_dir, keys, null_safe, max_broadcast_rows,
+                    strict_hour, strict_coordinates, impute_speed)
+
+
+def _run(spark, raw, out_dir, keys, null_safe, max_broadcast_rows, strict_hour,
+         strict_coordinates, impute_speed) -> EtlResult:
     raw_obs, clean_obs, fact_obs = Observation("raw"), Observation("clean"), Observation("fact")
     observed_raw = raw.observe(raw_obs, F.count(F.lit(1)).alias("rows"))
     clean = clean_all(observed_raw, strict_hour=strict_hour, strict_coordinates=strict_coordinates)
@@ -91,6 +101,8 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--sf", help="scale-factor folder: derive raw accidents from its tables")
     src.add_argument("--csv", nargs="+", help="accident CSV files or folders (one header each)")
     ap.add_argument("--null-safe", action="store_true", help="match null attributes in key lookups")
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="dedup shuffle partitions; 0 = derive from input size (256 MB each)")
     args = ap.parse_args(argv)
 
     spark = build_session()
@@ -99,7 +111,11 @@ def main(argv: list[str] | None = None) -> int:
     else:
         # keeps source_file: it orders keep-first
         raw = read_accident_csvs(spark, args.csv, expand_globs=True)
-    result = run_etl(spark, raw, args.out, null_safe=args.null_safe)
+    parts = args.shuffle_partitions
+    if parts == 0:
+        from roadlens.session import partitions_for
+        parts = partitions_for(raw)
+    result = run_etl(spark, raw, args.out, null_safe=args.null_safe, shuffle_partitions=parts)
     print(json.dumps(result.summary()))
     for row in result.validation.collect():
         print(json.dumps(row.asDict()))

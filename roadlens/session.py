@@ -10,6 +10,7 @@ the session so every later lookup agrees.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -55,6 +56,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+@contextlib.contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None):
+    """Run a block with ``spark.sql.shuffle.partitions = n`` (restored after).
+
+    The shuffle count sets the reduce-side task size of the big shuffles
+    (dedup); AQE can coalesce small partitions but not split large ones, so
+    at scale it should be about input bytes / 256 MB (see ``partitions_for``).
+    """
+    if not n:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, previous)
+
+
+def partitions_for(df, target_bytes: int = 256 * 1024 * 1024) -> int:
+    """Shuffle partitions for ``df``'s input files at ``target_bytes`` each
+    (file sizes come from the file listing Spark already did for planning)."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if not files:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = (spark.read.format("binaryFile").load(files)
+                  .select("length").agg({"length": "sum"}).first()[0] or 0)
+    return max(1, -(-int(sizes) // target_bytes))
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)

@@ -52,3 +52,17 @@ def test_bench_prints_one_json_line(tmp_path):
     assert len(lines) == 1
     out = json.loads(lines[0])
     assert out["unit"] == "sec" and out["value"] > 0 and "bq1_monthly_rank" in out["queries"]
+
+
+def test_shuffle_partitions_scoped_and_sized(spark, sf_small):
+    from roadlens.session import partitions_for, shuffle_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with shuffle_partitions(spark, 3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    orders = spark.read.parquet(os.path.join(sf_small, "orders.parquet"))
+    assert partitions_for(orders) == 1
+    assert partitions_for(orders, target_bytes=1024) > 1
+    out = scratch_path(spark, "etl-test-parts")
+    assert run_etl(spark, raw_accidents(spark, sf_small), out, shuffle_partitions=3).clean_rows == 1500
