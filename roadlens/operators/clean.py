@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from roadlens.functions.fill import fill_nulls
+from roadlens.functions.fill import fill_columns, fill_nulls
 from roadlens.functions.parsing import lenient_hour, parse_day_first_date
 from roadlens.operators.dedup import keep_first
 from roadlens.operators.small import broadcast_if_small, materialize
@@ -27,18 +27,23 @@ def dedup_accidents(raw: DataFrame) -> DataFrame:
     return keep_first(raw, KEY_COL, order).drop(*SOURCE_COLS)
 
 
-def add_calendar(df: DataFrame) -> DataFrame:
-    """C4: parse ``Date``; derive year, month, quarter, day, weekday (1 = Sunday)."""
+def calendar_columns() -> dict[str, F.Column]:
+    """C4 expressions: parsed ``Date``; year, month, quarter, day, weekday (1 = Sunday).
+    The parse repeats in each expression; subexpression elimination runs it once."""
     d = parse_day_first_date(F.col("Date"))
-    df = df.withColumn("Date_Parsed", d)
-    d = F.col("Date_Parsed")
-    return df.withColumns({
+    return {
+        "Date_Parsed": d,
         "Year_Derived": F.year(d),
         "Month_Num": F.month(d),
         "Quarter_Num": F.quarter(d),
         "Day_Num": F.dayofmonth(d),
         "DayOfWeek_Num": F.dayofweek(d),
-    })
+    }
+
+
+def add_calendar(df: DataFrame) -> DataFrame:
+    """C4: parse ``Date``; derive year, month, quarter, day, weekday (1 = Sunday)."""
+    return df.withColumns(calendar_columns())
 
 
 def add_hour(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -54,12 +59,16 @@ def time_period(hour) -> F.Column:
     return out.otherwise(F.lit(NIGHT))
 
 
+def period_weekend_columns(hour: F.Column, day_of_week: F.Column) -> dict[str, F.Column]:
+    return {
+        "time_period": time_period(hour),
+        "is_weekend": F.coalesce(day_of_week.isin(*WEEKEND_DAYS), F.lit(False)),
+    }
+
+
 def add_period_weekend(df: DataFrame) -> DataFrame:
     """Period of day (null hour -> Night); weekend flag (null -> false)."""
-    return df.withColumns({
-        "time_period": time_period(F.col("Hour")),
-        "is_weekend": F.coalesce(F.col("DayOfWeek_Num").isin(*WEEKEND_DAYS), F.lit(False)),
-    })
+    return df.withColumns(period_weekend_columns(F.col("Hour"), F.col("DayOfWeek_Num")))
 
 
 def fill_junction_control(df: DataFrame) -> DataFrame:
@@ -68,22 +77,28 @@ def fill_junction_control(df: DataFrame) -> DataFrame:
                          F.coalesce(F.col("Junction_Control"), F.lit(NO_JUNCTION_CONTROL)))
 
 
-def clean_hazards(df: DataFrame) -> DataFrame:
-    """Placeholder text (case-insensitive) -> null, then null -> 'None'."""
-    c = F.col("Carriageway_Hazards")
+def hazards(c: F.Column) -> F.Column:
     placeholder = F.lower(c).rlike(HAZARD_PLACEHOLDER_REGEX)
     cleaned = F.when(placeholder, F.lit(None).cast("string")).otherwise(c)
-    return df.withColumn("Carriageway_Hazards", F.coalesce(cleaned, F.lit(HAZARD_NONE)))
+    return F.coalesce(cleaned, F.lit(HAZARD_NONE))
 
 
-def consolidate_weather(df: DataFrame) -> DataFrame:
-    """Ordered substring rules, first match wins, else unchanged."""
-    c = F.col("Weather_Conditions")
+def clean_hazards(df: DataFrame) -> DataFrame:
+    """Placeholder text (case-insensitive) -> null, then null -> 'None'."""
+    return df.withColumn("Carriageway_Hazards", hazards(F.col("Carriageway_Hazards")))
+
+
+def weather(c: F.Column) -> F.Column:
     out = None
     for needle, label in WEATHER_RULES:
         cond = c.contains(needle)
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
-    return df.withColumn("Weather_Conditions", out.otherwise(c))
+    return out.otherwise(c)
+
+
+def consolidate_weather(df: DataFrame) -> DataFrame:
+    """Ordered substring rules, first match wins, else unchanged."""
+    return df.withColumn("Weather_Conditions", weather(F.col("Weather_Conditions")))
 
 
 def add_lsoa_flag(df: DataFrame) -> DataFrame:
@@ -142,18 +157,25 @@ def impute_speed_limit(df: DataFrame, group_col: str = "Road_Type",
 
 def clean_all(raw: DataFrame, strict_hour: bool = False, strict_coordinates: bool = False,
               impute_speed: bool = False) -> DataFrame:
-    """The whole cleaning chain in the published order."""
-    df = (dedup_accidents(raw)
-          .transform(add_calendar)
-          .transform(lambda d: add_hour(d, strict=strict_hour))
-          .transform(add_period_weekend)
-          .transform(fill_junction_control)
-          .transform(clean_hazards)
-          .transform(consolidate_weather)
-          .transform(add_lsoa_flag)
-          .transform(lambda d: add_coordinate_flag(d, strict=strict_coordinates))
-          .transform(fill_second_road)
-          .transform(fill_unknowns))
+    """The whole cleaning chain in the published order, after C8 dedup.
+
+    The steps are composed as expressions and applied as ONE projection
+    (one plan analysis, one fused codegen stage) instead of a dozen chained
+    ``withColumn`` calls; each expression equals its single-step function.
+    """
+    df = dedup_accidents(raw)
+    cols = calendar_columns()
+    cols["Hour"] = lenient_hour(F.col("Time"), strict=strict_hour)
+    cols.update(period_weekend_columns(cols["Hour"], cols["DayOfWeek_Num"]))
+    cols["Junction_Control"] = F.coalesce(F.col("Junction_Control"), F.lit(NO_JUNCTION_CONTROL))
+    cols["Carriageway_Hazards"] = hazards(F.col("Carriageway_Hazards"))
+    cols["Weather_Conditions"] = weather(F.col("Weather_Conditions"))
+    cols["lsoa_available"] = F.col("LSOA_of_Accident_Location").isNotNull()
+    cols["is_coordinate_valid"] = coordinate_valid(strict_coordinates)
+    cols.update(fill_columns(df, {"2nd_Road_Class": SECOND_ROAD_CLASS_FILL,
+                                  "2nd_Road_Number": SECOND_ROAD_NUMBER_FILL}, cols))
+    cols.update(fill_columns(df, UNKNOWN_FILLS, cols))
+    df = df.withColumns(cols)
     if impute_speed:
         df = impute_speed_limit(df)
     return df
