@@ -22,8 +22,10 @@ def keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
 
 
 def dedup_counts(df: DataFrame, key: str) -> DataFrame:
-    """One row: rows before, rows after keep-first, rows removed."""
-    distinct_keys = F.count_distinct(F.col(key)) + F.max(F.col(key).isNull().cast("int"))
-    return (df.agg(F.count(F.lit(1)).alias("before"), distinct_keys.alias("after"))
-              .select("before", F.col("after").cast("long").alias("after"),
-                      (F.col("before") - F.col("after")).cast("long").alias("removed")))
+    """One row: rows before, rows after keep-first (one per key value, null
+    included), rows removed — from one key-grouped aggregate, combined
+    map-side like the dedup itself."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return (per_key.agg(F.sum("_n").alias("before"), F.count(F.lit(1)).alias("after"))
+                   .select(F.col("before").cast("long").alias("before"), "after",
+                           (F.col("before") - F.col("after")).cast("long").alias("removed")))

@@ -15,7 +15,8 @@ from roadlens.functions.labels import monday_first_ordinal, truncate_sample, wee
 from roadlens.functions.parsing import parse_day_first_date, strict_hour
 from roadlens.operators.stats import (approx_quantile, exact_quantile, numeric_columns, pct,
                                       rows_from_wide, string_columns, value_counts)
-from roadlens.schemas import (CASUALTY_CAP_QUANTILE, CASUALTY_EXTREME, IQR_COLUMNS, IQR_FACTOR,
+from roadlens.schemas import (CASUALTY_CAP_QUANTILE, CASUALTY_EXTREME, DAY_FIRST_PATTERNS,
+                              IQR_COLUMNS, IQR_FACTOR,
                               KEY_COL, MISSING_BANDS, RUSH_HOURS, SOURCE_ORDER_COL,
                               UK_LAT_BOUNDS, UK_LON_BOUNDS, WORST_KEYS)
 
@@ -235,7 +236,7 @@ def format_checks(df: DataFrame) -> DataFrame:
     out_of_box = ((lat < UK_LAT_BOUNDS[0]) | (lat > UK_LAT_BOUNDS[1])
                   | (lon < UK_LON_BOUNDS[0]) | (lon > UK_LON_BOUNDS[1]))
     wide = df.agg(
-        F.count_if(parse_day_first_date(F.col("Date")).isNull()).alias("bad_dates"),
+        F.count_if(parse_day_first_date(F.col("Date"), DAY_FIRST_PATTERNS).isNull()).alias("bad_dates"),
         F.count_if(strict_hour(F.col("Time")).isNull()).alias("bad_times"),
         F.count_if(F.coalesce(out_of_box, F.lit(False))).alias("out_of_bounds"),
         F.count_if(lat.isNull() | lon.isNull()).alias("missing_geo"),

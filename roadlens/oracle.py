@@ -464,7 +464,8 @@ def _register() -> None:
     o["iqr_outliers"] = with_acc(iqr_sql())
     box = ("(Latitude < 49 OR Latitude > 61 OR Longitude < -8 OR Longitude > 2)")
     checks_cols = {
-        "bad_dates": "COUNT(*) FILTER (WHERE try_strptime(Date, '%d/%m/%Y') IS NULL)",
+        "bad_dates": "COUNT(*) FILTER (WHERE COALESCE(try_strptime(Date, '%d/%m/%Y'), "
+                     "try_strptime(Date, '%d-%m-%Y'), try_strptime(Date, '%Y-%m-%d')) IS NULL)",
         "bad_times": f"COUNT(*) FILTER (WHERE ({STRICT_HOUR}) IS NULL)",
         "out_of_bounds": f"COUNT(*) FILTER (WHERE COALESCE({box}, false))",
         "missing_geo": "COUNT(*) FILTER (WHERE Latitude IS NULL OR Longitude IS NULL)",

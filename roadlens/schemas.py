@@ -76,6 +76,8 @@ VALIDATED_KEYS: dict[str, list[str]] = {
 # FIXED VALUES — must equal the reference's for identical results.
 # ---------------------------------------------------------------------------
 DATE_PATTERN = "dd/MM/yyyy"
+# Day-first shapes accepted by the lenient format check (X2), in order.
+DAY_FIRST_PATTERNS = ("dd/MM/yyyy", "d/M/yyyy", "dd-MM-yyyy", "yyyy-MM-dd")
 HOUR_REGEX = r"(\d{1,2}):(\d{2})"
 HAZARD_PLACEHOLDER_REGEX = "data missing|out of range"
 

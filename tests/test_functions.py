@@ -80,3 +80,13 @@ def test_labels(spark):
     assert lab == "2005-03"
     s = spark.createDataFrame([("x" * 44,), ("y" * 43,)], "s string").select(truncate_sample(F.col("s"))).collect()
     assert s[0][0] == "x" * 40 + "..." and s[1][0] == "y" * 43
+
+
+def test_lenient_day_first_patterns(spark):
+    from roadlens.schemas import DAY_FIRST_PATTERNS
+
+    vals = ["28/05/1997", "8/5/1997", "08-05-1997", "1997-05-08", "99/99/9999", "x"]
+    got = [r[0] for r in _one_col(spark, vals).select(
+        parse_day_first_date(F.col("v"), DAY_FIRST_PATTERNS)).collect()]
+    assert [str(d) if d else None for d in got] == ["1997-05-28", "1997-05-08", "1997-05-08",
+                                                    "1997-05-08", None, None]
