@@ -176,7 +176,8 @@ def weekday_distribution(df: DataFrame) -> DataFrame:
     """All seven days Monday first, zero-filled, with the weekend flag."""
     spark = df.sparkSession
     days = spark.range(1, 8).select(F.col("id").cast("int").alias("Day_of_Week"))
-    counts = value_counts(df, "Day_of_Week")
+    # only codes 1..7 survive the reindex, so the broadcast side has at most 7 rows
+    counts = value_counts(df.filter(F.col("Day_of_Week").between(1, 7)), "Day_of_Week")
     return (days.join(F.broadcast(counts), "Day_of_Week", "left")
                 .select(weekday_name(F.col("Day_of_Week")).alias("day_name"),
                         monday_first_ordinal(F.col("Day_of_Week")).alias("day_order"),
