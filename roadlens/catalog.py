@@ -33,7 +33,7 @@ INGEST_DATE = dt.date(2026, 4, 1)
 PRUNED_YEAR = 1996
 
 
-class Pipeline:
+class Stages:
     """Lazily built stages for one (session, scale-factor folder)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -87,8 +87,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(name: str):
-    def register(fn: Callable[[Pipeline], DataFrame]) -> Callable[[Pipeline], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: fn(Pipeline(spark, sf_dir))
+    def register(fn: Callable[[Stages], DataFrame]) -> Callable[[Stages], DataFrame]:
+        QUERIES[name] = lambda spark, sf_dir: fn(Stages(spark, sf_dir))
         return fn
     return register
 
@@ -99,7 +99,7 @@ def _key_and(df: DataFrame, *cols: str) -> DataFrame:
 
 # ----------------------------------------------------------------- sources
 @query("raw_union")
-def _raw_union(p: Pipeline) -> DataFrame:
+def _raw_union(p: Stages) -> DataFrame:
     """The three source files unioned by name (missing column -> null)."""
     parts = list(source_files(p.raw).values())
     out = parts[0]
@@ -109,32 +109,32 @@ def _raw_union(p: Pipeline) -> DataFrame:
 
 
 @query("csv_roundtrip")
-def _csv_roundtrip(p: Pipeline) -> DataFrame:
+def _csv_roundtrip(p: Stages) -> DataFrame:
     """Land the files as CSV, read them back with header-driven schemas."""
     return landing.read_landed(p.spark, p.land()).drop("year", "month", "source_file")
 
 
 @query("landing_roundtrip")
-def _landing_roundtrip(p: Pipeline) -> DataFrame:
+def _landing_roundtrip(p: Stages) -> DataFrame:
     """Rows per dated landing partition and source file."""
     return (landing.read_landed(p.spark, p.land())
                    .groupBy("year", "month", "source_file").agg(F.count(F.lit(1)).alias("rows")))
 
 
 @query("file_report")
-def _file_report(p: Pipeline) -> DataFrame:
+def _file_report(p: Stages) -> DataFrame:
     """S3: per landed file: parts, size MB, rows, columns."""
     return file_report(p.spark, p.land())
 
 
 @query("file_checks")
-def _file_checks(p: Pipeline) -> DataFrame:
+def _file_checks(p: Stages) -> DataFrame:
     """Per landed file: lines, data rows, UTF-8 validity."""
     return landing.file_checks(p.spark, p.land())
 
 
 @query("secondary_source_totals")
-def _secondary(p: Pipeline) -> DataFrame:
+def _secondary(p: Stages) -> DataFrame:
     """Both sources' sizes and the grand total."""
     aadf = secondary_source(p.spark, p.sf_dir)
     n_aadf = aadf.agg(F.count(F.lit(1))).scalar()
@@ -145,7 +145,7 @@ def _secondary(p: Pipeline) -> DataFrame:
 
 
 @query("star_parquet_roundtrip")
-def _star_roundtrip(p: Pipeline) -> DataFrame:
+def _star_roundtrip(p: Stages) -> DataFrame:
     """Write the star (fact partitioned by year), read it back, count."""
     root = scratch_path(p.spark, "star")
     for name, df in p.tables().items():
@@ -161,7 +161,7 @@ def _star_roundtrip(p: Pipeline) -> DataFrame:
 
 
 @query("year_pruned_count")
-def _year_pruned(p: Pipeline) -> DataFrame:
+def _year_pruned(p: Stages) -> DataFrame:
     """A year-scoped query on the year-partitioned fact (partition filter)."""
     path = write_table(p.fact, scratch_path(p.spark, "fact"), FACT_PARTITION_COL)
     return Q.year_scoped_totals(p.spark.read.parquet(path), PRUNED_YEAR)
@@ -169,90 +169,90 @@ def _year_pruned(p: Pipeline) -> DataFrame:
 
 # ------------------------------------------------------------------- dedup
 @query("dedup_accidents")
-def _dedup(p: Pipeline) -> DataFrame:
+def _dedup(p: Stages) -> DataFrame:
     return p.dedup
 
 
 @query("dedup_summary")
-def _dedup_summary(p: Pipeline) -> DataFrame:
+def _dedup_summary(p: Stages) -> DataFrame:
     return dedup_counts(p.raw, KEY_COL)
 
 
 # ---------------------------------------------------------------- cleaning
 @query("clean_calendar")
-def _clean_calendar(p: Pipeline) -> DataFrame:
+def _clean_calendar(p: Stages) -> DataFrame:
     return _key_and(C.add_calendar(p.dedup), "Date", "Date_Parsed", "Year_Derived", "Month_Num",
                     "Quarter_Num", "Day_Num", "DayOfWeek_Num")
 
 
 @query("clean_hour")
-def _clean_hour(p: Pipeline) -> DataFrame:
+def _clean_hour(p: Stages) -> DataFrame:
     return _key_and(C.add_hour(p.dedup), "Time", "Hour")
 
 
 @query("clean_hour_strict")
-def _clean_hour_strict(p: Pipeline) -> DataFrame:
+def _clean_hour_strict(p: Stages) -> DataFrame:
     return _key_and(C.add_hour(p.dedup, strict=True), "Time", "Hour")
 
 
 @query("clean_period_weekend")
-def _clean_period(p: Pipeline) -> DataFrame:
+def _clean_period(p: Stages) -> DataFrame:
     df = p.dedup.transform(C.add_calendar).transform(C.add_hour).transform(C.add_period_weekend)
     return _key_and(df, "Hour", "DayOfWeek_Num", "time_period", "is_weekend")
 
 
 @query("clean_junction")
-def _clean_junction(p: Pipeline) -> DataFrame:
+def _clean_junction(p: Stages) -> DataFrame:
     return _key_and(C.fill_junction_control(p.dedup), "Junction_Control")
 
 
 @query("clean_second_road")
-def _clean_second_road(p: Pipeline) -> DataFrame:
+def _clean_second_road(p: Stages) -> DataFrame:
     return _key_and(C.fill_second_road(p.dedup), "2nd_Road_Class", "2nd_Road_Number")
 
 
 @query("clean_hazards")
-def _clean_hazards(p: Pipeline) -> DataFrame:
+def _clean_hazards(p: Stages) -> DataFrame:
     return _key_and(C.clean_hazards(p.dedup), "Carriageway_Hazards")
 
 
 @query("clean_weather")
-def _clean_weather(p: Pipeline) -> DataFrame:
+def _clean_weather(p: Stages) -> DataFrame:
     return _key_and(C.consolidate_weather(p.dedup), "Weather_Conditions")
 
 
 @query("clean_flags")
-def _clean_flags(p: Pipeline) -> DataFrame:
+def _clean_flags(p: Stages) -> DataFrame:
     df = C.add_coordinate_flag(C.add_lsoa_flag(p.dedup))
     return _key_and(df, "lsoa_available", "is_coordinate_valid")
 
 
 @query("clean_unknowns")
-def _clean_unknowns(p: Pipeline) -> DataFrame:
+def _clean_unknowns(p: Stages) -> DataFrame:
     return _key_and(C.fill_unknowns(p.dedup), "Junction_Detail", "Light_Conditions",
                     "Road_Surface_Conditions", "Weather_Conditions", "Road_Type", "Urban_or_Rural_Area")
 
 
 @query("coordinate_bounds")
-def _coordinate_bounds(p: Pipeline) -> DataFrame:
+def _coordinate_bounds(p: Stages) -> DataFrame:
     return _key_and(C.add_coordinate_flag(p.dedup, strict=True), "Latitude", "Longitude",
                     "is_coordinate_valid")
 
 
 @query("impute_speed_median")
-def _impute_speed(p: Pipeline) -> DataFrame:
+def _impute_speed(p: Stages) -> DataFrame:
     return _key_and(C.impute_speed_limit(p.clean), "Road_Type", "Speed_limit")
 
 
 @query("clean_all")
-def _clean_all(p: Pipeline) -> DataFrame:
+def _clean_all(p: Stages) -> DataFrame:
     return p.clean
 
 
 # ------------------------------------------------------------------- star
 def _dim_query(name: str):
     @query(name)
-    def _q(p: Pipeline) -> DataFrame:
+    def _q(p: Stages) -> DataFrame:
         return p.star.dims[name]
     return _q
 
@@ -262,99 +262,99 @@ for _name in DIMENSIONS:
 
 
 @query("fact_accidents")
-def _fact(p: Pipeline) -> DataFrame:
+def _fact(p: Stages) -> DataFrame:
     return p.fact
 
 
 @query("fact_nullsafe")
-def _fact_nullsafe(p: Pipeline) -> DataFrame:
+def _fact_nullsafe(p: Stages) -> DataFrame:
     return p.star_nullsafe.fact
 
 
 @query("validate_star")
-def _validate(p: Pipeline) -> DataFrame:
+def _validate(p: Stages) -> DataFrame:
     return checks.validate_tables(p.tables())
 
 
 @query("integrity_star")
-def _integrity(p: Pipeline) -> DataFrame:
+def _integrity(p: Stages) -> DataFrame:
     return checks.integrity(p.fact, p.star.dims, p.star.dim_rows)
 
 
 @query("etl_summary")
-def _etl_summary(p: Pipeline) -> DataFrame:
+def _etl_summary(p: Stages) -> DataFrame:
     return checks.run_summary(p.raw, p.clean, p.fact)
 
 
 # -------------------------------------------------------------- questions
 @query("bq1_monthly_rank")
-def _bq1(p: Pipeline) -> DataFrame:
+def _bq1(p: Stages) -> DataFrame:
     return Q.monthly_rank(p.fact, p.dim("dim_time"))
 
 
 @query("bq1_nullsafe")
-def _bq1_nullsafe(p: Pipeline) -> DataFrame:
+def _bq1_nullsafe(p: Stages) -> DataFrame:
     s = p.star_nullsafe
     return Q.monthly_rank(s.fact, p.dim("dim_time", s))
 
 
 @query("bq2_road_vulnerability")
-def _bq2(p: Pipeline) -> DataFrame:
+def _bq2(p: Stages) -> DataFrame:
     return Q.road_area_vulnerability(p.fact, p.dim("dim_road"), p.dim("dim_geography"))
 
 
 @query("bq3_hotspots")
-def _bq3(p: Pipeline) -> DataFrame:
+def _bq3(p: Stages) -> DataFrame:
     return Q.area_hotspots(p.fact, p.dim("dim_geography"))
 
 
 @query("bq4_junction_severity")
-def _bq4(p: Pipeline) -> DataFrame:
+def _bq4(p: Stages) -> DataFrame:
     return Q.junction_severity(p.fact, p.dim("dim_road"))
 
 
 @query("bq5_fatal_combos")
-def _bq5(p: Pipeline) -> DataFrame:
+def _bq5(p: Stages) -> DataFrame:
     return Q.fatal_combinations(p.fact, p.dim("dim_road"), p.dim("dim_environment"))
 
 
 @query("fatal_combos_all")
-def _v5(p: Pipeline) -> DataFrame:
+def _v5(p: Stages) -> DataFrame:
     return Q.fatal_combinations_plan(p.fact, p.dim("dim_road"), p.dim("dim_environment"))
 
 
 @query("month_series")
-def _v1(p: Pipeline) -> DataFrame:
+def _v1(p: Stages) -> DataFrame:
     return Q.month_series(Q.monthly_rank(p.fact, p.dim("dim_time")))
 
 
 @query("severity_by_weekday")
-def _v2(p: Pipeline) -> DataFrame:
+def _v2(p: Stages) -> DataFrame:
     return Q.severity_by_weekday(p.fact, p.dim("dim_time"))
 
 
 @query("weekday_hour_matrix")
-def _v3(p: Pipeline) -> DataFrame:
+def _v3(p: Stages) -> DataFrame:
     return Q.weekday_hour_matrix(p.fact, p.dim("dim_time"))
 
 
 @query("severity_share")
-def _v4a(p: Pipeline) -> DataFrame:
+def _v4a(p: Stages) -> DataFrame:
     return Q.severity_share(p.fact)
 
 
 @query("hourly_rush")
-def _v4b(p: Pipeline) -> DataFrame:
+def _v4b(p: Stages) -> DataFrame:
     return Q.hourly_rush(p.fact, p.dim("dim_time"))
 
 
 @query("yearly_trend")
-def _v4c(p: Pipeline) -> DataFrame:
+def _v4c(p: Stages) -> DataFrame:
     return Q.yearly_trend(p.fact)
 
 
 @query("top_weather")
-def _v4d(p: Pipeline) -> DataFrame:
+def _v4d(p: Stages) -> DataFrame:
     return Q.top_weather(p.fact, p.dim("dim_environment"))
 
 
@@ -382,7 +382,7 @@ _PROFILES: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 def _profile_query(name: str, fn: Callable[[DataFrame], DataFrame]):
     @query(name)
-    def _q(p: Pipeline) -> DataFrame:
+    def _q(p: Stages) -> DataFrame:
         return fn(p.profiled)
     return _q
 
@@ -392,12 +392,12 @@ for _name, _fn in _PROFILES.items():
 
 
 @query("profile_secondary_schema")
-def _secondary_schema(p: Pipeline) -> DataFrame:
+def _secondary_schema(p: Stages) -> DataFrame:
     return P.schema_report(secondary_source(p.spark, p.sf_dir))
 
 
 @query("final_stats")
-def _final_stats(p: Pipeline) -> DataFrame:
+def _final_stats(p: Stages) -> DataFrame:
     return P.final_statistics(p.profiled, secondary_source(p.spark, p.sf_dir))
 
 

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from roadlens.catalog import Pipeline
+from roadlens.catalog import Stages
 from roadlens.plans import questions as Q
 from roadlens.plans.explain import (join_strategies, partition_filters, plan_text, pushed_filters,
                                     uses_python)
@@ -14,7 +14,7 @@ from roadlens.sources.tables import read_star
 
 
 def _written_star(spark, sf_small):
-    p = Pipeline(spark, sf_small)
+    p = Stages(spark, sf_small)
     root = scratch_path(spark, "plan-test")
     for name, df in p.tables().items():
         write_table(df, os.path.join(root, name), "Year_Derived" if name == "fact_accidents" else None)
@@ -40,7 +40,7 @@ def test_year_filter_prunes_partitions(spark, sf_small):
 
 
 def test_fact_build_broadcasts_dimensions(spark, sf_small):
-    p = Pipeline(spark, sf_small)
+    p = Stages(spark, sf_small)
     joins = join_strategies(p.fact)
     assert joins.count("BroadcastHashJoin") >= 4
     assert "SortMergeJoin" not in joins
@@ -49,7 +49,7 @@ def test_fact_build_broadcasts_dimensions(spark, sf_small):
 def test_profile_is_one_scan(spark, sf_small):
     from roadlens.operators import profile as P
 
-    p = Pipeline(spark, sf_small)
+    p = Stages(spark, sf_small)
     text = plan_text(P.missing_report(p.profiled), "simple")
     # the raw relation is orders JOIN customer, unioned with its duplicate copies: 2 x 2 scans
     assert text.count("FileScan parquet") <= 4
