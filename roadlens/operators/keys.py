@@ -39,16 +39,21 @@ def _lookup(mapping: dict, key: Column) -> Column:
 
 
 def dense_keys(df: DataFrame, order_cols: list[str], key_col: str,
-               group_col: str | None = None) -> tuple[DataFrame, dict]:
+               group_col: str | None = None, max_partitions: int = 64) -> tuple[DataFrame, dict]:
     """Add ``key_col`` = 1..n by ``order_cols`` ascending, nulls first,
     restarting at 1 for each value of ``group_col`` if given.
 
+    The members are sorted into at most ``max_partitions`` ranges (not the
+    session's shuffle count, which may be sized for the fact table), so the
+    per-partition offsets stay a handful of numbers.
+
     Returns the keyed DataFrame and the row count per group value (or
     ``{None: n}`` without groups).
     """
     lead = [group_col] if group_col else []
     spec = [F.col(c).asc_nulls_first() for c in lead + order_cols]
-    ordered, _ = materialize(df.repartitionByRange(*spec).sortWithinPartitions(*spec), count=False)
+    parts = max(1, min(max_partitions, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    ordered, _ = materialize(df.repartitionByRange(parts, *spec).sortWithinPartitions(*spec), count=False)
 
     rid = F.monotonically_increasing_id()
     tagged = ordered.withColumn("_rid", rid).withColumns({
