@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from roadlens.functions.labels import monday_first_ordinal, truncate_sample, weekday_name
 from roadlens.functions.parsing import parse_day_first_date, strict_hour
-from roadlens.operators.stats import (approx_quantile, exact_quantile, numeric_columns, pct,
-                                      rows_from_wide, string_columns, value_counts)
+from roadlens.operators.stats import (approx_quantile, distributed_quantiles, exact_quantile,
+                                      numeric_columns, pct, rows_from_wide, string_columns,
+                                      value_counts)
 from roadlens.schemas import (CASUALTY_CAP_QUANTILE, CASUALTY_EXTREME, DAY_FIRST_PATTERNS,
                               IQR_COLUMNS, IQR_FACTOR,
                               KEY_COL, MISSING_BANDS, RUSH_HOURS, SOURCE_ORDER_COL,
@@ -66,23 +67,30 @@ def missing_report(df: DataFrame) -> DataFrame:
                .orderBy(F.col("missing_pct").desc(), "column_name"))
 
 
-def numeric_summary(df: DataFrame, approx_cols: tuple[str, ...] | None = None) -> DataFrame:
+def numeric_summary(df: DataFrame, approx_cols: tuple[str, ...] = ()) -> DataFrame:
     """D3: count, mean, median, sample std, min, max (rounded to 4) for every
     numeric column, in one aggregate.
 
-    The exact median keeps a value->count map per column, which stays small
-    for the integer codes and counts but grows with every distinct value of
-    a continuous column. Columns in ``approx_cols`` (default: the floating
-    point ones, i.e. the coordinates) use a bounded quantile sketch instead.
+    Medians are exact. Integer columns use Spark's ``percentile`` (its state
+    is a value->count map, small for codes and counts). Floating-point
+    columns (the coordinates) can have a distinct value per row, so their
+    medians come from ``distributed_quantiles`` instead: range-sorted value
+    counts, never all values in one task. Columns in ``approx_cols`` use a
+    bounded sketch instead.
     """
     cols = numeric_columns(df)
-    if approx_cols is None:
-        approx_cols = tuple(f.name for f in df.schema.fields
-                            if isinstance(f.dataType, (T.FloatType, T.DoubleType)))
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    distributed = {c: distributed_quantiles(df, c, [0.5])[0]
+                   for c in cols if c in floats and c not in approx_cols}
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c)
-        med = approx_quantile(x, 0.5) if c in approx_cols else exact_quantile(x, 0.5)
+        if c in distributed:
+            med = F.lit(distributed[c]).cast("double")
+        elif c in approx_cols:
+            med = approx_quantile(x, 0.5)
+        else:
+            med = exact_quantile(x, 0.5)
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"a{i}"), med.alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)

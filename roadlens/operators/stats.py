@@ -54,3 +54,66 @@ def exact_quantile(c: Column, q: float | list[float]) -> Column:
 def approx_quantile(c: Column, q: float | list[float], accuracy: int = 10_000) -> Column:
     """Bounded-memory quantile sketch (a data value, not interpolated)."""
     return F.percentile_approx(c, q, accuracy)
+
+
+def distributed_quantiles(df: DataFrame, column: str, qs: list[float],
+                          max_partitions: int | None = None) -> list[float | None]:
+    """Exact linear-interpolated quantiles (as pandas / ``quantile_cont``)
+    without gathering all distinct values in one task.
+
+    1. count per distinct value (combined map-side);
+    2. range-sort those counts into partitions and checkpoint them;
+    3. one total per partition (bounded by the partition count) locates the
+       partition holding each needed rank;
+    4. a running sum over only that partition's values finds the value.
+
+    Returns Python floats (``None`` when the column has no values).
+    """
+    from pyspark.sql import Window
+
+    from roadlens.operators.small import materialize
+
+    spark = df.sparkSession
+    x = F.col(column)
+    counts = (df.filter(x.isNotNull()).groupBy(x.alias("_v"))
+                .agg(F.count(F.lit(1)).alias("_c")))
+    parts = max_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered, _ = materialize(counts.repartitionByRange(max(1, parts), "_v").sortWithinPartitions("_v"),
+                             count=False)
+    tagged = ordered.withColumn("_part", F.spark_partition_id())
+    sizes = {r["_part"]: int(r["_n"]) for r in
+             tagged.groupBy("_part").agg(F.sum("_c").alias("_n")).collect()}
+    n = sum(sizes.values())
+    if n == 0:
+        return [None for _ in qs]
+    offsets, running = {}, 0
+    for p in sorted(sizes):
+        offsets[p] = running
+        running += sizes[p]
+
+    def part_of(rank: int) -> int:
+        return max(p for p in offsets if offsets[p] <= rank)
+
+    ranks = set()
+    for q in qs:
+        pos = q * (n - 1)
+        ranks.add(int(pos))
+        ranks.add(min(int(pos) + 1, n - 1) if pos > int(pos) else int(pos))
+    ranks = sorted(ranks)
+    values: dict[int, float] = {}
+    cum = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for p in sorted({part_of(r) for r in ranks}):
+        local = [r - offsets[p] for r in ranks if part_of(r) == p]
+        inside = tagged.filter(F.col("_part") == p).select("_v", F.sum("_c").over(cum).alias("_cum"))
+        # value at local rank r = first value whose running count exceeds r
+        picks = inside.agg(*[F.min(F.when(F.col("_cum") > r, F.col("_v"))).alias(f"r{r}") for r in local]).first()
+        for r in local:
+            values[r + offsets[p]] = float(picks[f"r{r}"])
+    out = []
+    for q in qs:
+        pos = q * (n - 1)
+        lo = int(pos)
+        hi = min(lo + 1, n - 1) if pos > lo else lo
+        frac = pos - lo
+        out.append(values[lo] + (values[hi] - values[lo]) * frac if hi != lo else values[lo])
+    return out
