@@ -4,7 +4,8 @@ validation and summary.
 Shape of the job at scale:
 
 1. Clean (one shuffle: keep-first dedup on the accident key) and stage the
-   result as Parquet below the output folder. Every later step reads the
+   result as Parquet in the shared scratch folder named by
+   ``spark.checkpoint.dir``. Every later step reads the
    staged table, so the dedup shuffle runs once and a lost executor only
    costs a re-read, not a recomputation from the raw files.
 2. All four dimensions from one grouping-sets pass over the staged table;
@@ -32,7 +33,7 @@ from roadlens.operators.checks import validate_tables
 from roadlens.operators.clean import clean_all, impute_speed_limit
 from roadlens.operators.star import DEFAULT_MAX_BROADCAST_ROWS, build_dimensions, build_fact
 from roadlens.schemas import DIMENSIONS, FACT_PARTITION_COL
-from roadlens.session import shuffle_partitions as scoped_partitions
+from roadlens.session import scratch_path, shuffle_partitions as scoped_partitions
 from roadlens.sources.sinks import write_table
 from roadlens.sources.tables import read_star
 
@@ -67,7 +68,8 @@ def _run(spark, raw, out_dir, keys, null_safe, max_broadcast_rows, strict_hour,
     raw_obs, clean_obs, fact_obs = Observation("raw"), Observation("clean"), Observation("fact")
     observed_raw = raw.observe(raw_obs, F.count(F.lit(1)).alias("rows"))
     clean = clean_all(observed_raw, strict_hour=strict_hour, strict_coordinates=strict_coordinates)
-    staged_path = os.path.join(out_dir, "_staging", "clean")
+    # staged in the shared scratch folder (spark.checkpoint.dir), not beside the star
+    staged_path = scratch_path(spark, "staged-clean")
     write_table(clean.observe(clean_obs, F.count(F.lit(1)).alias("rows")), staged_path)
     staged = spark.read.parquet(staged_path)
     if impute_speed:
