@@ -43,8 +43,10 @@ def dense_keys(df: DataFrame, order_cols: list[str], key_col: str,
     """Add ``key_col`` = 1..n by ``order_cols`` ascending, nulls first,
     restarting at 1 for each value of ``group_col`` if given.
 
-    The members are sorted into at most ``max_partitions`` ranges (not the
-    session's shuffle count, which may be sized for the fact table), so the
+    With AQE on, the range sort gets no explicit count, so AQE coalesces it
+    to the members' actual size (a few partitions even at scale); without
+    AQE it uses at most ``max_partitions`` ranges (not the session's shuffle
+    count, which may be sized for the fact table). Either way the
     per-partition offsets stay a handful of numbers.
 
     Returns the keyed DataFrame and the row count per group value (or
@@ -52,8 +54,13 @@ def dense_keys(df: DataFrame, order_cols: list[str], key_col: str,
     """
     lead = [group_col] if group_col else []
     spec = [F.col(c).asc_nulls_first() for c in lead + order_cols]
-    parts = max(1, min(max_partitions, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    ordered, _ = materialize(df.repartitionByRange(parts, *spec).sortWithinPartitions(*spec), count=False)
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        ranged = df.repartitionByRange(*spec)
+    else:
+        parts = max(1, min(max_partitions, int(conf.get("spark.sql.shuffle.partitions"))))
+        ranged = df.repartitionByRange(parts, *spec)
+    ordered, _ = materialize(ranged.sortWithinPartitions(*spec), count=False)
 
     rid = F.monotonically_increasing_id()
     tagged = ordered.withColumn("_rid", rid).withColumns({

@@ -65,7 +65,8 @@ def distributed_quantiles(df: DataFrame, column: str, qs: list[float],
     2. range-sort those counts into partitions and checkpoint them;
     3. one total per partition (bounded by the partition count) locates the
        partition holding each needed rank;
-    4. a running sum over only that partition's values finds the value.
+    4. a running sum over only that partition's values finds the value
+       (a partition is one range of distinct values, sized by AQE).
 
     Returns Python floats (``None`` when the column has no values).
     """
@@ -77,9 +78,12 @@ def distributed_quantiles(df: DataFrame, column: str, qs: list[float],
     x = F.col(column)
     counts = (df.filter(x.isNotNull()).groupBy(x.alias("_v"))
                 .agg(F.count(F.lit(1)).alias("_c")))
-    parts = max_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered, _ = materialize(counts.repartitionByRange(max(1, parts), "_v").sortWithinPartitions("_v"),
-                             count=False)
+    if max_partitions is None and spark.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        ranged = counts.repartitionByRange("_v")  # AQE sizes the ranges (~advisory bytes each)
+    else:
+        parts = max_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ranged = counts.repartitionByRange(max(1, parts), "_v")
+    ordered, _ = materialize(ranged.sortWithinPartitions("_v"), count=False)
     tagged = ordered.withColumn("_part", F.spark_partition_id())
     sizes = {r["_part"]: int(r["_n"]) for r in
              tagged.groupBy("_part").agg(F.sum("_c").alias("_n")).collect()}
