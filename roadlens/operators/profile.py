@@ -128,7 +128,9 @@ def casualty_histogram(df: DataFrame, column: str = "Number_of_Casualties",
     """Unit bins 1..int(p99) with their counts (0 for empty bins)."""
     x = F.col(column)
     cap = df.agg(F.floor(exact_quantile(x, q)).cast("int").alias("cap"))
-    bins = cap.select(F.explode(F.sequence(F.lit(1), F.col("cap"))).alias(column))
+    # no bins when the cap is below 1 (sequence(1, 0) would count down)
+    upto = F.when(F.col("cap") >= 1, F.sequence(F.lit(1), F.col("cap"))).otherwise(F.array().cast("array<int>"))
+    bins = cap.select(F.explode(upto).alias(column))
     counts = (df.filter((x >= 1) & (x <= cap.scalar()))
                 .groupBy(column).agg(_total().alias("cnt")))
     return (bins.join(counts, column, "left")

@@ -25,3 +25,12 @@ def test_hot_value_and_empty(spark):
     assert distributed_quantiles(df, "x", QS, max_partitions=5) == pytest.approx(list(np.quantile(vals, QS)))
     empty = spark.createDataFrame([(None,)], "x double")
     assert distributed_quantiles(empty, "x", [0.5]) == [None]
+
+
+def test_histogram_without_bins_when_cap_below_one(spark):
+    from roadlens.operators.profile import casualty_histogram
+
+    df = spark.createDataFrame([(0,), (0,), (0,)], "Number_of_Casualties int")
+    assert casualty_histogram(df).count() == 0
+    df2 = spark.createDataFrame([(1,), (3,), (3,)], "Number_of_Casualties int")
+    assert [tuple(r) for r in casualty_histogram(df2).collect()] == [(1, 1), (2, 0), (3, 2)]
