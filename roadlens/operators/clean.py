@@ -17,12 +17,13 @@ from roadlens.schemas import (HAZARD_NONE, HAZARD_PLACEHOLDER_REGEX, KEY_COL, NI
                               WEEKEND_DAYS)
 
 
-SOURCE_COLS = (SOURCE_ORDER_COL, "source_file")
+SOURCE_COLS = (SOURCE_ORDER_COL, "source_file", "source_block", "source_row")
 
 
 def dedup_accidents(raw: DataFrame) -> DataFrame:
-    """One row per accident, first by source order (``copy_no`` or the
-    ``source_file`` path, whichever is present); source columns dropped."""
+    """One row per accident, the first occurrence by source order
+    (``copy_no``, or file path / split / line position for CSV input,
+    whichever are present); source columns dropped."""
     order = [c for c in SOURCE_COLS if c in raw.columns]
     return keep_first(raw, KEY_COL, order).drop(*SOURCE_COLS)
 

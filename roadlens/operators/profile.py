@@ -27,8 +27,8 @@ def _total():
 
 
 def profiled(raw: DataFrame) -> DataFrame:
-    """The table as profiled: every loaded row, source marker left out."""
-    return raw.drop(SOURCE_ORDER_COL)
+    """The table as profiled: every loaded row, source position columns left out."""
+    return raw.drop(SOURCE_ORDER_COL, "source_file", "source_block", "source_row")
 
 
 def schema_report(df: DataFrame) -> DataFrame:

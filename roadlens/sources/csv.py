@@ -36,10 +36,21 @@ def schema_for(columns: list[str]) -> T.StructType:
 
 
 def read_csv_group(spark: SparkSession, path: str, source_col: str | None = "source_file") -> DataFrame:
-    """One file or folder/glob of files sharing a header."""
+    """One file or folder/glob of files sharing a header.
+
+    With ``source_col`` the rows also carry their position in the input:
+    file path, start offset of the split (``source_block``) and an id taken
+    right at the scan (``source_row``), which increases in line order within
+    a split. Ordered together they give "first occurrence" without a line
+    number in the file format.
+    """
     df = spark.read.options(**CSV_OPTIONS).schema(schema_for(header_columns(spark, path))).csv(path)
     if source_col:
-        df = df.withColumn(source_col, F.col("_metadata.file_path"))
+        df = df.withColumns({
+            source_col: F.col("_metadata.file_path"),
+            "source_block": F.col("_metadata.file_block_start"),
+            "source_row": F.monotonically_increasing_id(),
+        })
     return df
 
 

@@ -94,3 +94,19 @@ def test_land_existing_csv_files(spark):
                   for r in back.collect())
     assert rows == [("A1", "07:05", "Roundabout ", 2026, 4, "accidents_9.csv"),
                     ("A2", None, "x", 2026, 4, "accidents_9.csv")]
+
+
+def test_keep_first_follows_file_and_line_order(spark):
+    from roadlens.operators.clean import dedup_accidents
+
+    root = scratch_path(spark, "first-test")
+    os.makedirs(root, exist_ok=True)
+    # the same key twice in one file (later line has the smaller value) and once in a later file
+    with open(os.path.join(root, "accidents_1.csv"), "w") as f:
+        f.write("Accident_Index,Speed_limit\nK1,70\nK2,30\nK1,20\n")
+    with open(os.path.join(root, "accidents_2.csv"), "w") as f:
+        f.write("Accident_Index,Speed_limit\nK1,10\nK3,40\n")
+    raw = read_accident_csvs(spark, [os.path.join(root, "accidents_*.csv")], expand_globs=True)
+    got = sorted((r.Accident_Index, r.Speed_limit) for r in dedup_accidents(raw).collect())
+    assert got == [("K1", 70), ("K2", 30), ("K3", 40)]
+    assert "source_row" not in dedup_accidents(raw).columns
