@@ -25,7 +25,7 @@ from roadlens.plans import questions as Q
 from roadlens.schemas import DIMENSIONS, FACT_PARTITION_COL, KEY_COL
 from roadlens.session import scratch_path
 from roadlens.sources import landing
-from roadlens.sources.csv import file_report
+from roadlens.sources.csv import file_report, read_accident_csvs
 from roadlens.sources.sinks import write_table
 from roadlens.sources.tables import read_star
 
@@ -114,6 +114,14 @@ def _csv_roundtrip(p: Stages) -> DataFrame:
     return landing.read_landed(p.spark, p.land()).drop("year", "month", "source_file")
 
 
+@query("clean_from_csv")
+def _clean_from_csv(p: Stages) -> DataFrame:
+    """S1/S2/S9 + C12: land the source files as CSV, read them back with their
+    file and line positions, clean. Equals the cleaned table from the source tables."""
+    paths = list(p.land().values())
+    return C.clean_all(read_accident_csvs(p.spark, paths))
+
+
 @query("landing_roundtrip")
 def _landing_roundtrip(p: Stages) -> DataFrame:
     """Rows per dated landing partition and source file."""

@@ -342,6 +342,7 @@ def _register() -> None:
         "(SELECT Road_Type, median(Speed_limit) AS med FROM clean WHERE Speed_limit > 0 GROUP BY Road_Type) m "
         "ON c.Road_Type = m.Road_Type")
     o["clean_all"] = with_base("SELECT * FROM clean")
+    o["clean_from_csv"] = o["clean_all"]
     # star
     for d in DIM_COLS:
         o[d] = with_star(f"SELECT * FROM {d}")
