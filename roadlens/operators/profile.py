@@ -22,6 +22,9 @@ from roadlens.schemas import (CASUALTY_CAP_QUANTILE, CASUALTY_EXTREME, DAY_FIRST
                               UK_LAT_BOUNDS, UK_LON_BOUNDS, WORST_KEYS)
 
 
+MAX_EXACT_MAP_VALUES = 100_000
+
+
 def _total():
     return F.count(F.lit(1))
 
@@ -71,17 +74,24 @@ def numeric_summary(df: DataFrame, approx_cols: tuple[str, ...] = ()) -> DataFra
     """D3: count, mean, median, sample std, min, max (rounded to 4) for every
     numeric column, in one aggregate.
 
-    Medians are exact. Integer columns use Spark's ``percentile`` (its state
-    is a value->count map, small for codes and counts). Floating-point
-    columns (the coordinates) can have a distinct value per row, so their
-    medians come from ``distributed_quantiles`` instead: range-sorted value
-    counts, never all values in one task. Columns in ``approx_cols`` use a
-    bounded sketch instead.
+    Medians are exact. Spark's ``percentile`` keeps a value->count map, which
+    is small for codes and counts; a floating-point column (the coordinates)
+    can have a distinct value per row, so when it has more than
+    ``MAX_EXACT_MAP_VALUES`` distinct values (one approximate-distinct pass
+    decides) its median comes from ``distributed_quantiles`` instead:
+    range-sorted value counts, never all values in one task. Columns in
+    ``approx_cols`` use a bounded sketch.
     """
     cols = numeric_columns(df)
-    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-    distributed = {c: distributed_quantiles(df, c, [0.5])[0]
-                   for c in cols if c in floats and c not in approx_cols}
+    floats = [f.name for f in df.schema.fields
+              if isinstance(f.dataType, (T.FloatType, T.DoubleType)) and f.name not in approx_cols]
+    wide_floats = []
+    if floats:
+        # one pass decides: a small value map is fine, a wide one goes distributed
+        distinct = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"d{i}")
+                            for i, c in enumerate(floats)]).first()
+        wide_floats = [c for i, c in enumerate(floats) if distinct[f"d{i}"] > MAX_EXACT_MAP_VALUES]
+    distributed = {c: distributed_quantiles(df, c, [0.5])[0] for c in wide_floats}
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c)

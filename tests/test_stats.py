@@ -34,3 +34,19 @@ def test_histogram_without_bins_when_cap_below_one(spark):
     assert casualty_histogram(df).count() == 0
     df2 = spark.createDataFrame([(1,), (3,), (3,)], "Number_of_Casualties int")
     assert [tuple(r) for r in casualty_histogram(df2).collect()] == [(1, 1), (2, 0), (3, 2)]
+
+
+def test_numeric_summary_switches_to_distributed_for_wide_floats(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from roadlens.operators import profile as P
+
+    df = spark.range(0, 3001).select((F.col("id") * 1.5).alias("x"), (F.col("id") % 3).cast("int").alias("k"))
+    calls = []
+    real = P.distributed_quantiles
+    monkeypatch.setattr(P, "distributed_quantiles", lambda *a, **k: calls.append(a[1]) or real(*a, **k))
+    monkeypatch.setattr(P, "MAX_EXACT_MAP_VALUES", 1000)
+    rows = {r.column_name: r for r in P.numeric_summary(df).collect()}
+    assert calls == ["x"]
+    assert rows["x"].median == float(np.median(np.arange(3001) * 1.5))
+    assert rows["k"].median == 1.0
