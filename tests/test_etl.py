@@ -66,3 +66,23 @@ def test_shuffle_partitions_scoped_and_sized(spark, sf_small):
     assert partitions_for(orders, target_bytes=1024) > 1
     out = scratch_path(spark, "etl-test-parts")
     assert run_etl(spark, raw_accidents(spark, sf_small), out, shuffle_partitions=3).clean_rows == 1500
+
+
+def test_cli_runs_from_tables(spark, sf_small, capsys):
+    import json
+
+    from roadlens.plans.etl import main
+
+    out = scratch_path(spark, "etl-cli")
+    assert main(["--sf", sf_small, "--out", out, "--shuffle-partitions", "0"]) == 0
+    first = capsys.readouterr().out.splitlines()[0]
+    summary = json.loads(first)
+    assert (summary["raw_rows"], summary["clean_rows"], summary["fact_rows"]) == (1650, 1500, 1500)
+
+
+def test_etl_with_hashed_keys(spark, sf_small):
+    out = scratch_path(spark, "etl-test-hash")
+    result = run_etl(spark, raw_accidents(spark, sf_small), out, keys="hash")
+    rows = {(r.table_name, r.column_name): r for r in result.validation.collect()}
+    assert all(rows[(t, k)].ok for t, k in rows if t != "fact_accidents")
+    assert rows[("fact_accidents", "road_key")].ok and result.fact_rows == 1500
