@@ -1,0 +1 @@
+"""DataFrame -> DataFrame building blocks: dedup, cleaning, keys, star, checks, profiles."""

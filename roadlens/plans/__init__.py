@@ -1,0 +1 @@
+"""Business questions, chart datasets, the ETL run and plan inspection."""
