@@ -282,10 +282,6 @@ def final_stats_sql() -> str:
     return _union([sizes, sev, f"SELECT * FROM ({miss})", num])
 
 
-def _fact_q(select: str) -> str:
-    return with_star(select)
-
-
 ORACLES: dict[str, str] = {}
 
 

@@ -47,3 +47,22 @@ def test_dimension_members_on_hot_member(spark):
     assert ops[i - 1] == "HashAggregate" and ops[i + 1] == "HashAggregate" and ops[i + 2] == "Expand"
     # one row per distinct member in each grouping set; the hot member once
     assert members.filter(F.col(cols[0]) == "x").count() == 1
+
+
+def test_etl_with_a_hot_accident_key(spark, sf_small):
+    """A third of the raw rows carry one accident number: the run stays exact."""
+    from roadlens.fixture import raw_accidents
+    from roadlens.plans.etl import run_etl
+    from roadlens.session import scratch_path
+
+    raw = raw_accidents(spark, sf_small)
+    n = raw.count()
+    hot = raw.withColumn("Accident_Index",
+                         F.when(F.xxhash64("Accident_Index", "copy_no") % 3 == 0, F.lit("A_HOT"))
+                          .otherwise(F.col("Accident_Index")))
+    expected = hot.select("Accident_Index").distinct().count()
+    result = run_etl(spark, hot, scratch_path(spark, "etl-hot"))
+    assert result.raw_rows == n
+    assert result.clean_rows == result.fact_rows == expected
+    fact = spark.read.parquet(result.out_dir + "/fact_accidents")
+    assert fact.filter(F.col("Accident_Index") == "A_HOT").count() == 1
