@@ -319,7 +319,8 @@ def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_c
     places = docs.select("id", "th", "text").mapInArrow(segments, "anchor long, id long, th long, place long")
     again = places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", (F.col("n") > COMMON).alias("common"))
     found = places.join(again, "anchor").groupBy("id", "th").agg(F.collect_list(F.struct("anchor", F.shiftright("place", 8).alias("start"), F.col("place").bitwiseAND(255).alias("run"), "common")).alias("found"))
-    pieces = docs.join(found, ["id", "th"]).select("id", "th", "text", "found").mapInArrow(lambda batches: _pieces_of(batches, size, shards), "shard long, id long, th long, start long, run long, words binary")
+    # both joins with docs ask for the same columns, so that its texts are shuffled once
+    pieces = docs.join(found, ["id", "th"]).select("doc_id", "id", "th", "text", "found").mapInArrow(lambda batches: _pieces_of(batches, size, shards), "shard long, id long, th long, start long, run long, words binary")
     ranges = pieces.groupBy("shard").applyInArrow(lambda t: _shard(t, size), "id long, th long, start long, run long")
     ranges = ranges.groupBy("id", "th").agg(F.collect_list(F.struct("start", "run")).alias("ranges"))
     return docs.join(ranges, ["id", "th"], "left").select("doc_id", "text", "ranges").mapInArrow(lambda batches: _kept(batches, size), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
