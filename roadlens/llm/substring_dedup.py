@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm.bpe import Memo
-from roadlens.llm.common import NO_ID, id_and_text, slices
+from roadlens.llm.common import NO_ID, checkpointed, id_and_text, slices
 
 #: Words of an anchor.
 SEED = 8
@@ -49,6 +49,19 @@ SHARD = 4 << 20
 MERGED = 40_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+_PLACE = np.uint64((1 << 24) - 1)
+#: Bytes of a word's hash that travel.
+WIDE = 5
+
+
+def _packed(words: np.ndarray) -> bytes:
+    return words.view(np.uint8).reshape(-1, 8)[:, :WIDE].tobytes()
+
+
+def _unpacked(words: bytes) -> np.ndarray:
+    out = np.zeros((len(words) // WIDE, 8), np.uint8)
+    out[:, :WIDE] = np.frombuffer(words, np.uint8).reshape(-1, WIDE)
+    return out.view(np.uint64).ravel()
 
 
 @lru_cache(maxsize=1)
@@ -78,18 +91,17 @@ def _segments(words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.
         seeds = _mixed(seeds[:-reach], seeds[reach:])
         reach *= 2
     across = size - SEED + 1
-    least, have = seeds, 1
+    # the hash above, the place below, so that one minimum gives both; of equals the last
+    least, have = seeds & ~_PLACE | _PLACE - np.arange(len(seeds), dtype=np.uint64) & _PLACE, 1
     while have * 2 <= across:
         least = np.minimum(least[:-have], least[have:])
         have *= 2
     if have < across:
         least = np.minimum(least[: len(least) - (across - have)], least[across - have :])
-    at = np.zeros(n, np.int64)
-    starts = np.arange(n)
-    for k in range(across):  # the last place among equals: two equal windows name two places
-        np.copyto(at, starts + k, where=seeds[k : k + n] == least)
+    low = (_PLACE - least & _PLACE).astype(np.int64)
+    at = np.arange(n) + (low - np.arange(n)) % (int(_PLACE) + 1)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return least[first], first, np.diff(np.concatenate([first, [n]]))
+    return seeds[at[first]], first, np.diff(np.concatenate([first, [n]]))
 
 
 class WaveletMatrix:
@@ -193,8 +205,8 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b - a)) for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
-_PIECE = pa.schema([("shard", pa.int64()), ("id", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("run", pa.int64()), ("words", pa.binary())])
-_RANGE = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("start", pa.int64()), ("run", pa.int64())])
+_PIECE = pa.schema([("shard", pa.int64()), ("id", pa.int64()), ("th", pa.int32()), ("start", pa.int64()), ("run", pa.int64()), ("words", pa.binary())])
+_RANGE = pa.schema([("id", pa.int64()), ("th", pa.int32()), ("start", pa.int64()), ("run", pa.int64())])
 
 
 def _pieces_of(batches, size: int, shards: int):
@@ -222,18 +234,21 @@ def _pieces_of(batches, size: int, shards: int):
 
     for whole in batches:
         for part in slices(whole, "text"):
-            for i, th, text, found in zip(part.column("id").to_pylist(), part.column("th").to_pylist(), part.column("text").cast(pa.binary()).to_pylist(), part.column("found").to_pylist(), strict=True):
-                if not found:
-                    continue
+            found = part.column("found")
+            ends = found.offsets.to_numpy()
+            starts, runs, anchors, common = (found.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "run", "anchor", "common"))
+            for row, (i, th, text) in enumerate(zip(part.column("id").to_pylist(), part.column("th").to_pylist(), part.column("text").cast(pa.binary()).to_pylist(), strict=True)):
                 words = _hashes(text)
-                for f in sorted(found, key=lambda x: x["start"]):
-                    start, run, anchor = f["start"], f["run"], f["anchor"]
-                    if f["common"]:
+                packed = _packed(words)
+                here = slice(ends[row], ends[row + 1])
+                for at in (np.argsort(starts[here], kind="stable") + ends[row]).tolist():
+                    start, run = int(starts[at]), int(runs[at])
+                    if common[at]:
                         for k in range(start, start + run):
-                            window = words[k : k + size].tobytes()
+                            window = packed[k * WIDE : (k + size) * WIDE]
                             add(window, (i, th, k), 1, xxhash.xxh3_64_intdigest(window) % shards)
                     else:
-                        add(words[start : start + run + size - 1].tobytes(), (i, th, start), run, anchor % shards)
+                        add(packed[start * WIDE : (start + run + size - 1) * WIDE], (i, th, start), run, int(anchors[at]) % shards)
                     if len(merged) + len(out) > MERGED and (made := batch()):
                         yield made
     if made := batch():
@@ -253,8 +268,8 @@ def _shard(table: pa.Table, size: int) -> pa.Table:
         else:
             merged[words] = min(known, place)
             ranges.append((*max(known, place), run))
-    if len(merged) > 1 or merged and len(next(iter(merged))) > 8 * size:
-        contents = [np.frombuffer(w, np.uint64) for w in merged]
+    if len(merged) > 1 or merged and len(next(iter(merged))) > WIDE * size:
+        contents = [_unpacked(w) for w in merged]
         owner = np.array(list(merged.values()), np.int64)
         for (i, th, start), flags in zip(merged.values(), _repeated(contents, owner, size), strict=True):
             ranges += [(i, th, start + a, b) for a, b in _runs(flags)]
@@ -271,8 +286,8 @@ def _kept(batches, size: int):
                 if ranges:
                     cover = np.zeros(len(words) + 1, np.int64)
                     for r in ranges:
-                        cover[r["start"]] += 1
-                        cover[r["start"] + r["run"] + size - 1] -= 1
+                        cover[min(r["start"], len(words))] += 1
+                        cover[min(r["start"] + r["run"] + size - 1, len(words))] -= 1
                     kept = [w for w, c in zip(words, np.cumsum(cover).tolist(), strict=False) if not c]
                 else:
                     kept = words
@@ -286,16 +301,16 @@ def _kept(batches, size: int):
 def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 and kept_text (the words left, joined by one space).
 
-    A null text has no words. Rows with the same id are ordered by a hash of
-    their texts; rows alike in id and text are one document, and each gets that
-    document's result. Rows with a null id come after all others. An empty
+    A null text has no words. Rows with the same id are ordered by a 32-bit
+    hash of their texts; rows alike in id and that hash are one document, and
+    each gets that document's result. Words are compared by the hashes that
+    travel, of ``WIDE`` bytes each. Rows with a null id come after all others. An empty
     table gives no rows; other columns aren't looked at. Texts are read whole.
     """
     if size < SEED:
         raise ValueError(f"size must be at least {SEED}")
     given = id_and_text(df, id_col, text_col)
-    # the hash of a row with a null id differs from that of any row with an id
-    docs = given.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text", F.col("doc_id").isNull()).alias("th"))
+    docs = given.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.hash("text", F.col("doc_id").isNull()).alias("th"))
     n_bytes = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(16, -(-n_bytes // SHARD))
 
@@ -310,17 +325,18 @@ def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_c
                         [
                             pa.array(np.concatenate([m[2] for m in made]).view(np.int64)),
                             pa.array(np.repeat(np.array([m[0] for m in made], np.int64), counts)),
-                            pa.array(np.repeat(np.array([m[1] for m in made], np.int64), counts)),
+                            pa.array(np.repeat(np.array([m[1] for m in made], np.int32), counts)),
                             pa.array(np.concatenate([m[3] for m in made]) << 8 | np.concatenate([m[4] for m in made])),
                         ],
                         names=["anchor", "id", "th", "place"],
                     )
 
-    places = docs.select("id", "th", "text").mapInArrow(segments, "anchor long, id long, th long, place long")
-    again = places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", (F.col("n") > COMMON).alias("common"))
+    places = docs.select("id", "th", "text").mapInArrow(segments, "anchor long, id long, th int, place long")
+    # written first, so that the join sees two plain shuffles and can split a common anchor's rows
+    again = checkpointed(places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", (F.col("n") > COMMON).alias("common")))
     found = places.join(again, "anchor").groupBy("id", "th").agg(F.collect_list(F.struct("anchor", F.shiftright("place", 8).alias("start"), F.col("place").bitwiseAND(255).alias("run"), "common")).alias("found"))
     # both joins with docs ask for the same columns, so that its texts are shuffled once
-    pieces = docs.join(found, ["id", "th"]).select("doc_id", "id", "th", "text", "found").mapInArrow(lambda batches: _pieces_of(batches, size, shards), "shard long, id long, th long, start long, run long, words binary")
-    ranges = pieces.groupBy("shard").applyInArrow(lambda t: _shard(t, size), "id long, th long, start long, run long")
+    pieces = docs.join(found, ["id", "th"]).select("doc_id", "id", "th", "text", "found").mapInArrow(lambda batches: _pieces_of(batches, size, shards), "shard long, id long, th int, start long, run long, words binary")
+    ranges = pieces.groupBy("shard").applyInArrow(lambda t: _shard(t, size), "id long, th int, start long, run long")
     ranges = ranges.groupBy("id", "th").agg(F.collect_list(F.struct("start", "run")).alias("ranges"))
     return docs.join(ranges, ["id", "th"], "left").select("doc_id", "text", "ranges").mapInArrow(lambda batches: _kept(batches, size), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
