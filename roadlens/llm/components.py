@@ -29,7 +29,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, root) for each node of the links; the root is its component's least node.
+    """(node, root) for each node of the links but the roots; a root is its component's least node.
 
     Links that are null on either side or join a node to itself are left out,
     repeated ones count once; no links give no rows.

@@ -248,8 +248,11 @@ def find_spans(df: DataFrame, model: Model | None = None, precision: float = 0.9
 
 def summary(spans: DataFrame) -> DataFrame:
     """Per row of find_spans(): doc_id, the number of base spans of each kind, and digests of the spans."""
-    n = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
-    return spans.select("doc_id", *n, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+    def of_kind(k: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+
+    return spans.select("doc_id", *map(of_kind, range(len(KINDS))), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
 def redacted(text: Column, spans: Column) -> Column:
