@@ -23,6 +23,8 @@ from roadlens.llm.common import NO_ID, WORD, checkpointed, fresh, row_key, unifo
 
 #: Bins for each doubling of the key.
 BINS = 1024
+#: Up to so many sources, their budgets (a name and five numbers each) are broadcast.
+FEW_SOURCES = 10_000
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -84,6 +86,10 @@ def mix(df: DataFrame, weights: DataFrame | None = None, seed: str = "mix", sour
     cut = starts.where("before + n > rest").groupBy("source").agg(F.min(F.struct("bin", "before")).alias("at"))
     wanted = wanted.withColumnRenamed("source", "s").join(cut, F.col("s").eqNullSafe(F.col("source")), "left").select("s", "source_size", "target", "epochs", "rest", F.col("at.bin").alias("cut_bin"), F.col("at.before").alias("cut_before"))
 
+    # one row a source; joined by broadcast while they are few, so that a hot source's rows stay where they are
+    wanted = checkpointed(wanted)
+    if wanted.count() <= FEW_SOURCES:
+        wanted = F.broadcast(wanted)
     earlier = Window.partitionBy("source", "bin").orderBy("key", F.col("doc_id").asc_nulls_last(), "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
     placed = placed.join(wanted, F.col("source").eqNullSafe(F.col("s")))
