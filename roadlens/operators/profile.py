@@ -208,21 +208,22 @@ def weekday_distribution(df: DataFrame) -> DataFrame:
 
 def duplicate_report(df: DataFrame, key: str = KEY_COL) -> DataFrame:
     """Rows that repeat an earlier row in full, rows that repeat an
-    earlier key, and their % of all rows. Both are combined map-side."""
-    full = df.groupBy(*df.columns).agg(_total().alias("c")).agg(
-        F.sum(F.col("c") - 1).alias("full_row_dups"), F.sum("c").alias("_n"))
-    key_dups = df.groupBy(key).agg(_total().alias("c")).agg(F.sum(F.col("c") - 1)).scalar()
+    earlier key, and their % of all rows. One scan: rows are counted in full
+    first, and only their keys and counts go on to be counted by key."""
+    rows = df.groupBy(*df.columns).agg(_total().alias("_c"))
+    keys = rows.groupBy(key).agg(F.sum("_c").alias("_c"), F.sum(F.col("_c") - 1).alias("_full"))
+    sums = keys.agg(F.sum("_full").alias("full_row_dups"), F.sum(F.col("_c") - 1).alias("key_dups"),
+                    F.sum("_c").alias("_n"))
     n = F.col("_n")
-    return (full.withColumn("key_dups", key_dups)
-                .select(F.col("full_row_dups").cast("long").alias("full_row_dups"),
-                        pct(F.col("full_row_dups"), n, 4).alias("full_row_pct"),
-                        F.col("key_dups").cast("long").alias("key_dups"),
-                        pct(F.col("key_dups"), n, 4).alias("key_pct")))
+    return sums.select(F.col("full_row_dups").cast("long").alias("full_row_dups"),
+                       pct(F.col("full_row_dups"), n, 4).alias("full_row_pct"),
+                       F.col("key_dups").cast("long").alias("key_dups"),
+                       pct(F.col("key_dups"), n, 4).alias("key_pct"))
 
 
 def worst_keys(df: DataFrame, key: str = KEY_COL, top: int = WORST_KEYS) -> DataFrame:
-    """The most repeated keys (count of rows per duplicated key)."""
-    return (df.groupBy(key).agg(_total().alias("cnt"))
+    """The most repeated keys (count of rows per duplicated key); null is no key."""
+    return (df.filter(F.col(key).isNotNull()).groupBy(key).agg(_total().alias("cnt"))
               .filter(F.col("cnt") > 1)
               .orderBy(F.col("cnt").desc(), key)
               .limit(top))

@@ -456,8 +456,8 @@ def _register() -> None:
         f"{pct('(SELECT SUM(k - 1) FROM (SELECT COUNT(*) AS k FROM acc GROUP BY Accident_Index))', 'SUM(c)', 4)} "
         f"AS key_pct FROM (SELECT COUNT(*) AS c FROM acc GROUP BY {all_cols})")
     o["worst_keys"] = with_acc(
-        "SELECT Accident_Index, COUNT(*) AS cnt FROM acc GROUP BY Accident_Index HAVING COUNT(*) > 1 "
-        "ORDER BY cnt DESC, Accident_Index NULLS FIRST LIMIT 5")
+        "SELECT Accident_Index, COUNT(*) AS cnt FROM acc WHERE Accident_Index IS NOT NULL "
+        "GROUP BY Accident_Index HAVING COUNT(*) > 1 ORDER BY cnt DESC, Accident_Index LIMIT 5")
     o["iqr_outliers"] = with_acc(iqr_sql())
     box = ("(Latitude < 49 OR Latitude > 61 OR Longitude < -8 OR Longitude > 2)")
     checks_cols = {

@@ -94,7 +94,6 @@ def _run(spark, raw, out_dir, keys, null_safe, max_broadcast_rows, strict_hour,
 
 def main(argv: list[str] | None = None) -> int:
     from roadlens.fixture import raw_accidents
-    from roadlens.session import build_session
     from roadlens.sources.csv import read_accident_csvs
 
     ap = argparse.ArgumentParser(description="Run the accident ETL into a star schema.")
@@ -107,7 +106,7 @@ def main(argv: list[str] | None = None) -> int:
                     help="dedup shuffle partitions; 0 = derive from input size (256 MB each)")
     args = ap.parse_args(argv)
 
-    spark = build_session()
+    spark = SparkSession.builder.appName("roadlens-etl").getOrCreate()  # as submitted
     if args.sf:
         raw = raw_accidents(spark, args.sf)
     else:

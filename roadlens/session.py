@@ -42,9 +42,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root, setting a local one only if unset."""
+    """Return the shared checkpoint root; a local master gets a local one if unset, a cluster an error."""
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="roadlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     try:
