@@ -33,15 +33,15 @@ class Lists:
         by_id = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[by_id], vectors[by_id]
         # one list for each dimension and end; ties come by id either way
-        self.rising = np.argsort(self.vectors, axis=0, kind="stable")
-        self.falling = np.argsort(-self.vectors, axis=0, kind="stable")
+        self.rising = np.argsort(self.vectors, axis=0, kind="stable").astype(np.int32)
+        self.falling = np.argsort(-self.vectors, axis=0, kind="stable").astype(np.int32)
 
     def top(self, own: int | None, query: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The k best (score, id) of the block, by score, then id; the row with id ``own`` is left out."""
         n = len(self.ids)
         used = np.flatnonzero(query)
         weights = query[used]
-        lists = np.where(weights > 0, self.falling[:, used], self.rising[:, used])
+        up, down = used[weights > 0], used[weights < 0]
         met = np.zeros(n, bool)
         if own is not None:
             met[self.ids == own] = True
@@ -49,16 +49,20 @@ class Lists:
         done, step = 0, FIRST
         while done < n:
             upto = min(n, done + step) if len(used) else n
-            new = np.unique(lists[done:upto]) if len(used) else np.arange(n)
-            new = new[~met[new]]
-            met[new] = True
+            here = np.full(n, not len(used))
+            here[self.falling[done:upto, up]] = True
+            here[self.rising[done:upto, down]] = True
+            new = np.flatnonzero(here & ~met)
+            met |= here
             scores = np.concatenate([best_scores, self.vectors[new] @ query])
             rows = np.concatenate([best_rows, new])
             order = np.lexsort((rows, -scores))[:k]  # rows are in the order of ids
             best_scores, best_rows = scores[order], rows[order]
-            if len(best_scores) == k and len(used):
-                reached = self.vectors[lists[upto - 1], used]
-                if (weights * reached).sum() < best_scores[-1]:
+            if met.all():
+                break
+            if len(best_scores) == k:
+                ends = ((up, self.falling[upto - 1, up]), (down, self.rising[upto - 1, down]))
+                if sum((query[d] * self.vectors[rows_, d]).sum() for d, rows_ in ends) < best_scores[-1]:
                     break
             done, step = upto, step * 2
         return [(int(s), int(self.ids[r])) for s, r in zip(best_scores, best_rows, strict=True)]
