@@ -76,7 +76,10 @@ class Encoder:
         return np.frombuffer(b"".join([known[x] for x in self.of.parts.findall(self.of.normalise(text))]), np.int32)
 
     def decode(self, ids: list[int]) -> str:
-        made = b"".join([self.of.spelling[i] if 0 <= i < len(self.of.spelling) else b"" for i in ids]).decode("utf-8", "replace")
+        spelling = self.of.spelling
+        if ids and not (min(ids) >= 0 and max(ids) < len(spelling)):
+            ids = [i for i in ids if 0 <= i < len(spelling)]
+        made = b"".join(map(spelling.__getitem__, ids)).decode("utf-8", "replace")
         return made[1:] if self.of.prefix and made.startswith(" ") else made
 
 
