@@ -22,7 +22,7 @@ from roadlens.operators.dedup import dedup_counts
 from roadlens.operators.small import broadcast_if_small
 from roadlens.operators.star import DEFAULT_MAX_BROADCAST_ROWS, Star, build_star
 from roadlens.plans import questions as Q
-from roadlens.schemas import DIMENSIONS, FACT_PARTITION_COL, KEY_COL
+from roadlens.schemas import DIMENSIONS, FACT_PARTITION_COL, KEY_COL, SOURCE_ORDER_COL
 from roadlens.session import scratch_path
 from roadlens.sources import landing
 from roadlens.sources.csv import file_report, read_accident_csvs
@@ -368,7 +368,6 @@ def _v4d(p: Stages) -> DataFrame:
 
 # -------------------------------------------------------------- profiling
 _PROFILES: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "profile_schema": P.schema_report,
     "profile_missing": P.missing_report,
     "profile_numeric": P.numeric_summary,
     "dist_severity": P.severity_distribution,
@@ -399,6 +398,12 @@ for _name, _fn in _PROFILES.items():
     _profile_query(_name, _fn)
 
 
+@query("profile_schema")
+def _schema(p: Stages) -> DataFrame:
+    """D1 with the first value of each column in source order."""
+    return P.schema_report(p.raw, order=(SOURCE_ORDER_COL, KEY_COL))
+
+
 @query("profile_secondary_schema")
 def _secondary_schema(p: Stages) -> DataFrame:
     return P.schema_report(secondary_source(p.spark, p.sf_dir))

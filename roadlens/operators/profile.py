@@ -9,22 +9,19 @@ denominators (all rows, or the non-null rows of the column where it used
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from roadlens.functions.labels import monday_first_ordinal, truncate_sample, weekday_name
 from roadlens.functions.parsing import parse_day_first_date, strict_hour
-from roadlens.operators.stats import (approx_quantile, distributed_quantiles, exact_quantile,
-                                      numeric_columns, pct, rows_from_wide, string_columns,
-                                      value_counts)
+from roadlens.operators.small import materialize
+from roadlens.operators.stats import (approx_quantile, numeric_columns, pct, rows_from_wide,
+                                      string_columns, table_quantiles, value_counts, value_table)
 from roadlens.schemas import (CASUALTY_CAP_QUANTILE, CASUALTY_EXTREME, DAY_FIRST_PATTERNS,
                               IQR_COLUMNS, IQR_FACTOR,
                               KEY_COL, MISSING_BANDS, RUSH_HOURS, SOURCE_ORDER_COL,
                               UK_LAT_BOUNDS, UK_LON_BOUNDS, WORST_KEYS)
 
 
-MAX_EXACT_MAP_VALUES = 100_000
-
-
 def _total():
     return F.count(F.lit(1))
 
@@ -34,18 +31,21 @@ def profiled(raw: DataFrame) -> DataFrame:
     return raw.drop(SOURCE_ORDER_COL, "source_file", "source_block", "source_row")
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """Column, type, non-null count, a sample value (the smallest, so the
-    answer does not depend on row order), truncated to 43 characters."""
-    fields = df.schema.fields
+def schema_report(df: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """Column, type, non-null count and a sample value truncated to 43
+    characters: the first non-null one by the columns in ``order`` (source
+    position, left out of the report), or the smallest without any, so the
+    answer never depends on row order."""
+    fields = [f for f in df.schema.fields if f.name not in order or f.name == KEY_COL]
 
-    def smallest(f):
-        lo = F.min(F.col(f.name))
+    def picked(f):
+        x = F.col(f.name)
+        lo = F.min_by(x, F.when(x.isNotNull(), F.struct(*order))) if order else F.min(x)
         # -0.0 and 0.0 are the same sample value
         return lo + F.lit(0.0) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else lo
 
     wide = df.agg(*[F.count(F.col(f.name)).alias(f"n{i}") for i, f in enumerate(fields)],
-                  *[smallest(f).cast("string").alias(f"s{i}") for i, f in enumerate(fields)])
+                  *[picked(f).cast("string").alias(f"s{i}") for i, f in enumerate(fields)])
     records = [{"position": F.lit(i + 1), "column_name": F.lit(f.name),
                 "data_type": F.lit(f.dataType.simpleString()), "non_null": F.col(f"n{i}"),
                 "sample": F.coalesce(truncate_sample(F.col(f"s{i}")), F.lit("N/A"))}
@@ -70,55 +70,46 @@ def missing_report(df: DataFrame) -> DataFrame:
                .orderBy(F.col("missing_pct").desc(), "column_name"))
 
 
+def _r4(name: str):
+    return F.round(F.col(name).cast("double"), 4)
+
+
+def _numeric_aggs(cols: list[str], approx_cols: tuple[str, ...] = ()) -> list:
+    return [a for i, c in enumerate(cols) for a in (
+        F.count(c).alias(f"c{i}"), F.avg(c).alias(f"a{i}"), F.stddev_samp(c).alias(f"s{i}"),
+        F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"),
+        *([approx_quantile(F.col(c), 0.5).alias(f"m{i}")] if c in approx_cols else []))]
+
+
+def _medians(table: DataFrame, n: int) -> list:
+    """Rounded medians of the first ``n`` columns of a value table, as literals."""
+    found = table_quantiles(table, {i: [0.5] for i in range(n)})
+    return [F.round(F.lit(found[i][0]).cast("double"), 4) for i in range(n)]
+
+
 def numeric_summary(df: DataFrame, approx_cols: tuple[str, ...] = ()) -> DataFrame:
     """D3: count, mean, median, sample std, min, max (rounded to 4) for every
-    numeric column, in one aggregate.
-
-    Medians are exact. Spark's ``percentile`` keeps a value->count map, which
-    is small for codes and counts; a floating-point column (the coordinates)
-    can have a distinct value per row, so when it has more than
-    ``MAX_EXACT_MAP_VALUES`` distinct values (one approximate-distinct pass
-    decides) its median comes from ``distributed_quantiles`` instead:
-    range-sorted value counts, never all values in one task. Columns in
-    ``approx_cols`` use a bounded sketch.
+    numeric column. One aggregate, and one pass of value counts from which the
+    exact medians of all columns come in the same way (``table_quantiles``);
+    columns in ``approx_cols`` use a bounded sketch instead.
     """
     cols = numeric_columns(df)
-    floats = [f.name for f in df.schema.fields
-              if isinstance(f.dataType, (T.FloatType, T.DoubleType)) and f.name not in approx_cols]
-    wide_floats = []
-    if floats:
-        # one pass decides: a small value map is fine, a wide one goes distributed
-        distinct = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"d{i}")
-                            for i, c in enumerate(floats)]).first()
-        wide_floats = [c for i, c in enumerate(floats) if distinct[f"d{i}"] > MAX_EXACT_MAP_VALUES]
-    distributed = {c: distributed_quantiles(df, c, [0.5])[0] for c in wide_floats}
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c)
-        if c in distributed:
-            med = F.lit(distributed[c]).cast("double")
-        elif c in approx_cols:
-            med = approx_quantile(x, 0.5)
-        else:
-            med = exact_quantile(x, 0.5)
-        aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"a{i}"), med.alias(f"m{i}"),
-                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    wide = df.agg(*aggs)
-
-    def r4(name):
-        return F.round(F.col(name).cast("double"), 4)
-
-    records = [{"column_name": F.lit(c), "count": F.col(f"c{i}"), "mean": r4(f"a{i}"),
-                "median": r4(f"m{i}"), "std": r4(f"s{i}"), "min": r4(f"lo{i}"), "max": r4(f"hi{i}")}
+    exact = [c for c in cols if c not in approx_cols]
+    median = dict(zip(exact, _medians(value_table(df, exact), len(exact))))
+    wide = df.agg(F.lit(0), *_numeric_aggs(cols, approx_cols))
+    records = [{"column_name": F.lit(c), "count": F.col(f"c{i}"), "mean": _r4(f"a{i}"),
+                "median": median[c] if c in median else _r4(f"m{i}"),
+                "std": _r4(f"s{i}"), "min": _r4(f"lo{i}"), "max": _r4(f"hi{i}")}
                for i, c in enumerate(cols)]
     return rows_from_wide(wide, records)
 
 
 def severity_distribution(df: DataFrame) -> DataFrame:
-    """Count and % (of all rows) per severity code, most frequent first."""
-    total = df.agg(_total().alias("_n")).scalar()
-    return (value_counts(df, "Accident_Severity")
-              .withColumn("pct", pct(F.col("cnt"), total, 2))
+    """Count and % (of all rows) per severity code, most frequent first.
+    One scan: the total is summed over the counted codes, null among them."""
+    counts = df.groupBy("Accident_Severity").agg(_total().alias("cnt"))
+    return (counts.withColumn("pct", pct(F.col("cnt"), F.sum("cnt").over(Window.partitionBy()), 2))
+              .filter(F.col("Accident_Severity").isNotNull())
               .orderBy(F.col("cnt").desc(), "Accident_Severity"))
 
 
@@ -135,43 +126,43 @@ def speed_invalid(df: DataFrame) -> DataFrame:
 
 def casualty_histogram(df: DataFrame, column: str = "Number_of_Casualties",
                        q: float = CASUALTY_CAP_QUANTILE) -> DataFrame:
-    """Unit bins 1..int(p99) with their counts (0 for empty bins)."""
-    x = F.col(column)
-    cap = df.agg(F.floor(exact_quantile(x, q)).cast("int").alias("cap"))
-    # no bins when the cap is below 1 (sequence(1, 0) would count down)
-    upto = F.when(F.col("cap") >= 1, F.sequence(F.lit(1), F.col("cap"))).otherwise(F.array().cast("array<int>"))
-    bins = cap.select(F.explode(upto).alias(column))
-    counts = (df.filter((x >= 1) & (x <= cap.scalar()))
-                .groupBy(column).agg(_total().alias("cnt")))
+    """Unit bins 1..int(p99) with their counts (0 for empty bins). One scan:
+    the cap and the bins come from the same value counts."""
+    table = value_table(df, [column])
+    cap = table_quantiles(table, {0: [q]})[0][0]
+    # no bins when the cap is below 1
+    bins = df.sparkSession.range(1, max(int(cap or 0), 0) + 1).select(F.col("id").cast("int").alias(column))
+    counts = table.select(F.col("_v").cast("int").alias(column), F.col("_n"), "_v").filter(F.col("_v") == F.col(column))
     return (bins.join(counts, column, "left")
-                .select(column, F.coalesce(F.col("cnt"), F.lit(0)).alias("cnt"))
+                .select(column, F.coalesce(F.col("_n"), F.lit(0)).alias("cnt"))
                 .orderBy(column))
 
 
 def casualty_stats(df: DataFrame, column: str = "Number_of_Casualties",
                    extreme: int = CASUALTY_EXTREME) -> DataFrame:
-    """Mean, median, max, and count / % (of non-null rows) above ``extreme``."""
-    x = F.col(column)
-    return (df.agg(F.avg(x).alias("_mean"), F.median(x).alias("_median"), F.max(x).alias("max"),
-                   F.count_if(x > extreme).alias("extreme_count"), F.count(x).alias("_n"))
-              .select(F.round("_mean", 4).alias("mean"), F.round("_median", 4).alias("median"), "max",
-                      "extreme_count", pct(F.col("extreme_count"), F.col("_n"), 3).alias("extreme_pct")))
+    """Mean, median, max, and count / % (of non-null rows) above ``extreme``,
+    all from one pass of value counts."""
+    table = value_table(df, [column])
+    median = table_quantiles(table, {0: [0.5]})[0][0]
+    v, n = F.col("_v"), F.col("_n")
+    return (table.agg((F.sum(v * n) / F.sum(n)).alias("_mean"), F.max(v).cast(df.schema[column].dataType).alias("max"),
+                      F.coalesce(F.sum(F.when(v > extreme, n)), F.lit(0)).alias("extreme_count"), F.sum(n).alias("_n"))
+                 .select(F.round("_mean", 4).alias("mean"), F.round(F.lit(median).cast("double"), 4).alias("median"), "max",
+                         "extreme_count", pct(F.col("extreme_count"), F.col("_n"), 3).alias("extreme_pct")))
 
 
 def box_stats(df: DataFrame, column: str = "Number_of_Casualties", k: float = IQR_FACTOR) -> DataFrame:
     """Median, quartiles, whiskers (furthest values inside the 1.5 IQR
-    fences) and the number of fliers — two passes, the second one reading the
-    fences as scalar subqueries."""
-    x = F.col(column)
-    q = df.agg(exact_quantile(x, [0.25, 0.5, 0.75]).alias("q")).scalar()
-    q1, med, q3 = q[0], q[1], q[2]
-    lo, hi = q1 - (q3 - q1) * k, q3 + (q3 - q1) * k
-    inside = x.between(lo, hi)
-    return (df.filter(x.isNotNull())
-              .agg(F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
-                   F.count_if(~inside).alias("fliers"))
-              .select(q1.alias("q1"), med.alias("median"), q3.alias("q3"), (q3 - q1).alias("iqr"),
-                      "whisker_low", "whisker_high", "fliers"))
+    fences) and the number of fliers, all from one pass of value counts."""
+    table = value_table(df, [column])
+    q1, med, q3 = (F.lit(x).cast("double") for x in table_quantiles(table, {0: [0.25, 0.5, 0.75]})[0])
+    v, n, dtype = F.col("_v"), F.col("_n"), df.schema[column].dataType
+    inside = v.between(q1 - (q3 - q1) * k, q3 + (q3 - q1) * k)
+    return (table.agg(F.min(F.when(inside, v)).cast(dtype).alias("whisker_low"),
+                      F.max(F.when(inside, v)).cast(dtype).alias("whisker_high"),
+                      F.coalesce(F.sum(F.when(~inside, n)), F.lit(0)).alias("fliers"))
+                 .select(q1.alias("q1"), med.alias("median"), q3.alias("q3"), (q3 - q1).alias("iqr"),
+                         "whisker_low", "whisker_high", "fliers"))
 
 
 def hour_distribution(df: DataFrame) -> DataFrame:
@@ -230,25 +221,29 @@ def worst_keys(df: DataFrame, key: str = KEY_COL, top: int = WORST_KEYS) -> Data
 
 
 def iqr_outliers(df: DataFrame, columns: list[str] = IQR_COLUMNS, k: float = IQR_FACTOR) -> DataFrame:
-    """Per column Q1, Q3, IQR, fences, outliers and % of non-null rows,
-    invalid (<= 0) speed limits. Quartiles in one aggregate; fences reach
-    the counting pass as scalar subqueries."""
+    """Per column Q1, Q3, IQR, fences, outliers and invalid (<= 0) speed
+    limits, both also as % of the column's non-null rows. One pass of value
+    counts serves the quartiles and the counting."""
     cols = [c for c in columns if c in df.columns]
-    quartiles = df.agg(F.struct(*[exact_quantile(F.col(c), [0.25, 0.75]).alias(f"q{i}")
-                                  for i, c in enumerate(cols)]).alias("q")).scalar()
+    table = value_table(df, cols)
+    quartiles = table_quantiles(table, {i: [0.25, 0.75] for i in range(len(cols))})
     aggs, records = [], []
     for i, c in enumerate(cols):
-        x = F.col(c)
-        q1, q3 = quartiles[f"q{i}"][0], quartiles[f"q{i}"][1]
+        q1, q3 = (F.lit(x).cast("double") for x in quartiles[i])
         lo, hi = q1 - (q3 - q1) * k, q3 + (q3 - q1) * k
-        aggs += [F.count_if((x < lo) | (x > hi)).alias(f"o{i}"), F.count(x).alias(f"n{i}"),
-                 (F.count_if(x <= 0) if c == "Speed_limit" else F.lit(0).cast("long")).alias(f"v{i}")]
+        v, n = F.col("_v"), F.when(F.col("_c") == i, F.col("_n"))
+        invalid = v <= 0 if c == "Speed_limit" else F.lit(False)
+        aggs += [F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).alias(f"{name}{i}")
+                 for name, cond in [("o", (v < lo) | (v > hi)), ("n", F.lit(True)), ("v", invalid)]]
         records.append({"column_name": F.lit(c), "q1": q1, "q3": q3, "iqr": q3 - q1,
-                        "lower": lo, "upper": hi,
-                        "outliers": F.col(f"o{i}"), "outlier_pct": pct(F.col(f"o{i}"), F.col(f"n{i}"), 3),
-                        "invalid": F.col(f"v{i}")})
-    wide = df.agg(*aggs)
-    return rows_from_wide(wide, records)
+                        "lower": lo, "upper": hi, "outliers": F.col(f"o{i}"),
+                        "outlier_pct": _share(f"o{i}", f"n{i}"), "invalid": F.col(f"v{i}"),
+                        "invalid_pct": _share(f"v{i}", f"n{i}")})
+    return rows_from_wide(table.agg(F.lit(0), *aggs), records)
+
+
+def _share(part: str, total: str):
+    return pct(F.col(part), F.nullif(F.col(total), F.lit(0)), 3)
 
 
 def format_checks(df: DataFrame) -> DataFrame:
@@ -281,24 +276,33 @@ def whitespace_report(df: DataFrame) -> DataFrame:
 
 def final_statistics(df: DataFrame, secondary: DataFrame) -> DataFrame:
     """Sizes, severity shares, the five worst missing columns and the
-    numeric summary as one long (section, item, metric, value) table."""
-    wide = df.agg(_total().alias("a")).withColumn("b", secondary.agg(_total()).scalar())
-    sizes = rows_from_wide(wide, [
-        {"section": F.lit("size"), "item": F.lit(item), "metric": F.lit(metric), "value": value}
-        for item, metric, value in [
-            ("accidents", "rows", F.col("a").cast("double")),
-            ("traffic_flow", "rows", F.col("b").cast("double")),
-            ("accidents", "columns", F.lit(float(len(df.columns)))),
-            ("traffic_flow", "columns", F.lit(float(len(secondary.columns))))]])
-    sev = severity_distribution(df).select(
-        F.lit("severity").alias("section"), F.col("Accident_Severity").cast("string").alias("item"),
-        F.lit("pct").alias("metric"), F.col("pct").alias("value"))
-    top_missing = missing_report(df).limit(5).select(
-        F.lit("missing").alias("section"), F.col("column_name").alias("item"),
-        F.lit("pct").alias("metric"), F.col("missing_pct").alias("value"))
-    num = numeric_summary(df)
-    metrics = ["mean", "median", "std", "min", "max"]
-    numeric = num.select(F.lit("numeric").alias("section"), F.col("column_name").alias("item"),
-                         F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
-                                            for m in metrics])))
-    return sizes.unionByName(sev).unionByName(top_missing).unionByName(numeric)
+    numeric summary as one long (section, item, metric, value) table. Two
+    scans of ``df``: value counts (medians, severity) and one wide aggregate."""
+    cols, numeric = df.columns, numeric_columns(df)
+    table = value_table(df, [*numeric, "Accident_Severity"])
+    medians = _medians(table, len(numeric))
+    wide, _ = materialize(df.agg(
+        _total().alias("_n"), *_numeric_aggs(numeric),
+        *[F.count_if(F.col(c).isNull()).alias(f"null{i}") for i, c in enumerate(cols)])
+        .withColumn("_m", secondary.agg(_total()).scalar()), count=False)
+
+    def line(section, item, metric, value):
+        return F.struct(F.lit(section).alias("section"), item.alias("item"), F.lit(metric).alias("metric"), value.alias("value"))
+
+    sizes = [line("size", F.lit(item), metric, value) for item, metric, value in [
+        ("accidents", "rows", F.col("_n").cast("double")), ("traffic_flow", "rows", F.col("_m").cast("double")),
+        ("accidents", "columns", F.lit(float(len(cols)))),
+        ("traffic_flow", "columns", F.lit(float(len(secondary.columns))))]]
+    summary = [line("numeric", F.lit(c), metric, value) for i, c in enumerate(numeric) for metric, value in [
+        ("mean", _r4(f"a{i}")), ("median", medians[i]), ("std", _r4(f"s{i}")), ("min", _r4(f"lo{i}")), ("max", _r4(f"hi{i}"))]]
+    # worst first: by falling share, then by name
+    gaps = F.array(*[F.struct((-pct(F.col(f"null{i}"), F.col("_n"), 3)).alias("k"), F.lit(c).alias("c"),
+                              F.col(f"null{i}").alias("missing")) for i, c in enumerate(cols)])
+    worst = F.transform(F.slice(F.array_sort(F.filter(gaps, lambda g: g["missing"] > 0)), 1, 5),
+                        lambda g: line("missing", g["c"], "pct", -g["k"]))
+    severity = (table.filter(F.col("_c") == len(numeric))
+                     .select(F.lit("severity").alias("section"),
+                             F.col("_v").cast(df.schema["Accident_Severity"].dataType).cast("string").alias("item"),
+                             F.lit("pct").alias("metric"),
+                             pct(F.col("_n"), wide.select("_n").scalar(), 2).alias("value")))
+    return wide.select(F.inline(F.concat(F.array(*sizes), worst, F.array(*summary)))).unionByName(severity)

@@ -175,11 +175,11 @@ def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def schema_sql(table: str, cols: list[tuple[str, str | None]]) -> str:
+def schema_sql(table: str, cols: list[tuple[str, str | None]], first: str | None = None) -> str:
     parts = []
     for i, (c, t) in enumerate(cols, start=1):
         dtype = f"'{t}'" if t else f"(SELECT {DUCK_TO_SPARK.format(c=q(c))} FROM {table} LIMIT 1)"
-        lo = f"MIN({q(c)})"
+        lo = f"arg_min({q(c)}, {first}) FILTER (WHERE {q(c)} IS NOT NULL)" if first else f"MIN({q(c)})"
         if t == "double" or (t is None and c in FLOAT_COLS):
             lo = f"({lo} + 0.0)"
         s = f"CAST({lo} AS VARCHAR)"
@@ -229,16 +229,16 @@ def iqr_sql() -> str:
             f"q3 + (q3 - q1) * 1.5 AS upper, "
             f"(SELECT COUNT(*) FROM acc WHERE {x} < q1 - (q3 - q1) * 1.5 OR {x} > q3 + (q3 - q1) * 1.5) AS outliers, "
             f"{pct(f'(SELECT COUNT(*) FROM acc WHERE {x} < q1 - (q3 - q1) * 1.5 OR {x} > q3 + (q3 - q1) * 1.5)', f'(SELECT COUNT({x}) FROM acc)', 3)} AS outlier_pct, "
-            f"{f'(SELECT {invalid} FROM acc)' if invalid else 'CAST(0 AS BIGINT)'} AS invalid "
+            f"{f'(SELECT {invalid} FROM acc)' if invalid else 'CAST(0 AS BIGINT)'} AS invalid, "
+            f"{pct(f'(SELECT {invalid} FROM acc)', f'(SELECT COUNT({x}) FROM acc)', 3) if invalid else 'CAST(0 AS DOUBLE)'} AS invalid_pct "
             f"FROM (SELECT CAST(quantile_cont({x}, 0.25) AS DOUBLE) AS q1, "
             f"CAST(quantile_cont({x}, 0.75) AS DOUBLE) AS q3 FROM acc)")
     return _union(parts)
 
 
 def validate_sql() -> str:
-    keys = {"fact_accidents": ["Accident_Index", "time_key", "geo_key", "road_key", "env_key"],
-            "dim_time": ["time_key"], "dim_geography": ["geo_key"], "dim_road": ["road_key"],
-            "dim_environment": ["env_key"]}
+    own = {dim: [key] for dim, (_, key) in DIM_COLS.items()}
+    keys = {"fact_accidents": ["Accident_Index", *[key for _, key in DIM_COLS.values()]], **own}
     parts = []
     for table, cols in keys.items():
         src = "fact" if table == "fact_accidents" else table
@@ -408,7 +408,7 @@ def _register() -> None:
         "SELECT e.Weather_Conditions AS weather, COUNT(*) AS cnt FROM fact f JOIN dim_environment e "
         "ON f.env_key = e.env_key GROUP BY e.Weather_Conditions ORDER BY cnt DESC, weather NULLS FIRST LIMIT 6")
     # profiling
-    o["profile_schema"] = with_acc(schema_sql("acc", [(c, t) for c, t in RAW_TYPES]))
+    o["profile_schema"] = with_raw(schema_sql("raw", [(c, t) for c, t in RAW_TYPES], "concat(copy_no, Accident_Index)"))
     o["profile_secondary_schema"] = schema_sql("lineitem", [(c, None) for c in LINEITEM_COLS])
     o["profile_missing"] = with_acc(missing_sql())
     o["profile_numeric"] = with_acc(numeric_sql())

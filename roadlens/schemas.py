@@ -65,11 +65,8 @@ FACT_PARTITION_COL = "Year_Derived"
 
 # Key columns checked after the star is written.
 VALIDATED_KEYS: dict[str, list[str]] = {
-    "fact_accidents": ["Accident_Index", "time_key", "geo_key", "road_key", "env_key"],
-    "dim_time": ["time_key"],
-    "dim_geography": ["geo_key"],
-    "dim_road": ["road_key"],
-    "dim_environment": ["env_key"],
+    "fact_accidents": [KEY_COL, *[key for _, key in DIMENSIONS.values()]],
+    **{name: [key] for name, (_, key) in DIMENSIONS.items()},
 }
 
 # ---------------------------------------------------------------------------

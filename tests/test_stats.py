@@ -10,19 +10,19 @@ from roadlens.operators.stats import distributed_quantiles
 QS = [0.0, 0.25, 0.5, 0.75, 0.99, 1.0]
 
 
-@pytest.mark.parametrize("n,parts", [(1, 4), (2, 4), (7, 3), (2000, 6)])
-def test_matches_numpy(spark, n, parts):
+@pytest.mark.parametrize("n,leaf", [(1, 4), (2, 4), (7, 3), (2000, 6)])
+def test_matches_numpy(spark, n, leaf):
     rng = random.Random(n)
     vals = [round(rng.gauss(50, 10), 3) for _ in range(n)]
     df = spark.createDataFrame([(v,) for v in vals + [None]], "x double")
-    got = distributed_quantiles(df, "x", QS, max_partitions=parts)
+    got = distributed_quantiles(df, "x", QS, leaf=leaf)
     assert got == pytest.approx(list(np.quantile(vals, QS)), abs=1e-9)
 
 
 def test_hot_value_and_empty(spark):
     vals = [7.5] * 3000 + [float(i) for i in range(6000)]  # one value holds a third of the rows
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    assert distributed_quantiles(df, "x", QS, max_partitions=5) == pytest.approx(list(np.quantile(vals, QS)))
+    assert distributed_quantiles(df, "x", QS, leaf=100) == pytest.approx(list(np.quantile(vals, QS)))
     empty = spark.createDataFrame([(None,)], "x double")
     assert distributed_quantiles(empty, "x", [0.5]) == [None]
 
@@ -36,17 +36,26 @@ def test_histogram_without_bins_when_cap_below_one(spark):
     assert [tuple(r) for r in casualty_histogram(df2).collect()] == [(1, 1), (2, 0), (3, 2)]
 
 
-def test_numeric_summary_switches_to_distributed_for_wide_floats(spark, monkeypatch):
+def test_numeric_summary_has_one_path_for_wide_and_narrow_columns(spark):
     from pyspark.sql import functions as F
 
-    from roadlens.operators import profile as P
-
-    df = spark.range(0, 3001).select((F.col("id") * 1.5).alias("x"), (F.col("id") % 3).cast("int").alias("k"))
-    calls = []
-    real = P.distributed_quantiles
-    monkeypatch.setattr(P, "distributed_quantiles", lambda *a, **k: calls.append(a[1]) or real(*a, **k))
-    monkeypatch.setattr(P, "MAX_EXACT_MAP_VALUES", 1000)
-    rows = {r.column_name: r for r in P.numeric_summary(df).collect()}
-    assert calls == ["x"]
-    assert rows["x"].median == float(np.median(np.arange(3001) * 1.5))
-    assert rows["k"].median == 1.0
+    from roadlens.operators.profile import numeric_summary
+    from roadlens.plans.explain import plan_text
+
+    n = 30_001  # more distinct values than one window may sort
+    df = spark.range(n).select((F.col("id") * 1.5).alias("x"), (F.col("id") * 7).alias("wide"),
+                               (F.col("id") % 3).cast("int").alias("k"))
+    out = numeric_summary(df)
+    assert "percentile" not in plan_text(out, "simple")
+    assert {r.column_name: r.median for r in out.collect()} == {"x": 22500.0, "wide": 105000.0, "k": 1.0}
+
+
+def test_profiles_scan_once(spark, sf_small):
+    """Value counts are kept: what follows them no longer reads the files."""
+    from roadlens.catalog import QUERIES
+    from roadlens.plans.explain import plan_text
+
+    for name in ["dist_casualties", "casualty_stats", "casualty_box", "iqr_outliers"]:
+        assert "FileScan parquet" not in plan_text(QUERIES[name](spark, sf_small), "simple"), name
+    # the raw relation is orders JOIN customer, unioned with its duplicate copies: 2 x 2 scans
+    assert plan_text(QUERIES["dist_severity"](spark, sf_small), "simple").count("FileScan parquet") <= 4
