@@ -100,7 +100,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", required=True, help="output folder for the star schema")
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--sf", help="scale-factor folder: derive raw accidents from its tables")
-    src.add_argument("--csv", nargs="+", help="accident CSV files or folders (one header each)")
+    src.add_argument("--csv", nargs="+", help="accident CSV files, folders or globs")
     ap.add_argument("--null-safe", action="store_true", help="match null attributes in key lookups")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="dedup shuffle partitions; 0 = derive from input size (256 MB each)")
@@ -111,7 +111,7 @@ def main(argv: list[str] | None = None) -> int:
         raw = raw_accidents(spark, args.sf)
     else:
         # keeps source_file: it orders keep-first
-        raw = read_accident_csvs(spark, args.csv, expand_globs=True)
+        raw = read_accident_csvs(spark, args.csv)
     parts = args.shuffle_partitions
     if parts == 0:
         from roadlens.session import partitions_for

@@ -1,14 +1,21 @@
 """CSV sources (S1-S3) and the CSV writer used by the landing zone.
 
-Files are read with an explicit schema, never inferred: per file group the
-header line names the columns present, the types come from the canonical
-schema (unknown columns are text), and groups are unioned by name with
-missing columns as null (U1). Whitespace is data (the profile counts
+Files are grouped by their header line and each group is read once with its
+own schema: known columns have their canonical type, all others the narrowest
+of bigint, double and string that holds every value of all files. A header
+that does not match the schema it is read with is an error, never a silent
+shift of columns. Groups are unioned by name with missing columns as null
+(U1). A record that does not fit its schema keeps its readable fields, and its
+text goes to ``CORRUPT_COL``. Whitespace is data (the profile counts
 leading/trailing spaces), so the reader and writer keep it.
 """
 
 from __future__ import annotations
 
+import csv as _csv
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from roadlens.schemas import RAW_FIELDS
@@ -19,32 +26,87 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "escape": '"',
+    "enforceSchema": "false",
 }
+CORRUPT_COL = "_corrupt_record"
+INTEGER = r"^\s*[+-]?\d+\s*$"
+DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 KNOWN_TYPES: dict[str, T.DataType] = {**dict(RAW_FIELDS), "copy_no": T.IntegerType()}
 
 
 def header_columns(spark: SparkSession, path: str) -> list[str]:
     """Column names from the first line of a file group (one row to the driver)."""
-    first = spark.read.option("header", "false").csv(path).limit(1).collect()
+    first = spark.read.options(quote='"', escape='"').option("header", "false").csv(path).limit(1).collect()
     if not first:
         return []
     return [str(v).strip() if v is not None else f"_c{i}" for i, v in enumerate(first[0])]
 
 
-def schema_for(columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, KNOWN_TYPES.get(c, T.StringType()), True) for c in columns])
-
+def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Non-empty files of ``paths`` (files, folders, globs) by their columns, sorted by file.
 
-def read_csv_group(spark: SparkSession, path: str, source_col: str | None = "source_file") -> DataFrame:
-    """One file or folder/glob of files sharing a header.
+    The line at offset 0 of each file is its header; the lines are found in
+    one job and only they and the paths reach the driver (one per file).
+    """
+    lines = (spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value",
+                                           F.col("_metadata.file_block_start").alias("at"),
+                                           F.monotonically_increasing_id().alias("row"))
+                  .filter(F.col("at") == 0)
+                  .groupBy("path").agg(F.min_by("value", "row").alias("header")))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in sorted(lines.collect(), key=lambda r: r["path"]):
+        columns = next(_csv.reader([r["header"].removeprefix("\ufeff")]), [])
+        groups.setdefault(tuple(columns), []).append(unquote(r["path"]))
+    return groups
+
+
+def schema_for(columns: list[str], types: dict[str, T.DataType] | None = None) -> T.StructType:
+    known = {**(types or {}), **KNOWN_TYPES}
+    return T.StructType([T.StructField(c, known.get(c, T.StringType()), True) for c in columns])
+
+
+def unknown_types(spark: SparkSession, groups: dict[tuple[str, ...], list[str]], multi_line: bool = False) -> dict[str, T.DataType]:
+    """Types of the columns without a canonical one: bigint, double or string,
+    the narrowest that holds all their values in all files (one aggregate per
+    header over whole files; a column without values is a string)."""
+    fits: dict[str, list[bool]] = {}
+    for columns, files in groups.items():
+        wanted = [(i, c) for i, c in enumerate(columns) if c not in KNOWN_TYPES]
+        if not wanted:
+            continue
+        text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        df = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(text).csv(files)
+        found = df.agg(*[a for i, c in wanted for x in [F.col(f"`{c}`")] for a in (
+            F.count(x).alias(f"n{i}"), F.bool_and(x.rlike(INTEGER) & x.try_cast("bigint").isNotNull()).alias(f"i{i}"),
+            F.bool_and(x.rlike(DECIMAL)).alias(f"d{i}"))]).first()
+        for i, c in wanted:
+            if found[f"n{i}"]:
+                fits.setdefault(c, []).append((found[f"i{i}"], found[f"d{i}"]))
+    return {c: T.LongType() if all(i for i, _ in seen) else T.DoubleType() if all(d for _, d in seen) else T.StringType()
+            for c, seen in fits.items()}
+
+
+def read_csv_group(spark: SparkSession, path: str | list[str], source_col: str | None = "source_file",
+                   columns: list[str] | None = None, types: dict[str, T.DataType] | None = None,
+                   corrupt: bool = False, multi_line: bool = False) -> DataFrame:
+    """Files sharing one header (``columns``, read from the file if not given).
 
     With ``source_col`` the rows also carry their position in the input:
     file path, start offset of the split (``source_block``) and an id taken
     right at the scan (``source_row``), which increases in line order within
     a split. Ordered together they give "first occurrence" without a line
-    number in the file format.
+    number in the file format. ``corrupt`` keeps the text of records that do
+    not fit in ``CORRUPT_COL``; ``multi_line`` reads quoted line breaks (a
+    file is then one task).
     """
-    df = spark.read.options(**CSV_OPTIONS).schema(schema_for(header_columns(spark, path))).csv(path)
+    columns = list(columns) if columns is not None else header_columns(spark, path)
+    schema = schema_for(columns, types)
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT_COL, T.StringType())])
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line, columnNameOfCorruptRecord=CORRUPT_COL)
+    if corrupt:
+        reader = reader.option("columnPruning", "false")  # a record is judged by all its fields
+    df = reader.schema(schema).csv(path)
     if source_col:
         df = df.withColumns({
             source_col: F.col("_metadata.file_path"),
@@ -54,30 +116,36 @@ def read_csv_group(spark: SparkSession, path: str, source_col: str | None = "sou
     return df
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files matching a path glob, sorted (only paths are read, not contents;
-    the list is bounded by the number of files, not their size)."""
-    found = spark.read.format("binaryFile").load(pattern).select("path").collect()
-    return sorted(r["path"] for r in found)
+def list_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """Files behind paths, folders and globs, empty ones included, sorted (as
+    Spark's reader lists them; the list is bounded by the number of files)."""
+    return sorted(unquote(path) for path in spark.read.text(paths).inputFiles())
 
 
-def read_accident_csvs(spark: SparkSession, paths: list[str],
-                       source_col: str | None = "source_file",
-                       expand_globs: bool = False) -> DataFrame:
-    """S1 + S2 + U1: read each group, union by name, missing columns -> null.
+def read_accident_csvs(spark: SparkSession, paths: list[str], source_col: str | None = "source_file",
+                       infer_unknown: bool = True, corrupt: bool = False, multi_line: bool = False) -> DataFrame:
+    """S1 + S2 + U1: files, folders and globs, one read per distinct header,
+    unioned by name, missing columns -> null. Columns outside the canonical
+    schema are typed by their values (``infer_unknown``) or left as text."""
+    groups = header_groups(spark, paths)
+    types = unknown_types(spark, groups, multi_line) if infer_unknown else {}
+    if not groups:
+        place = [T.StructField(source_col, T.StringType()), *(T.StructField(c, T.LongType()) for c in ("source_block", "source_row"))]
+        known = schema_for([name for name in KNOWN_TYPES if name != "copy_no"]).fields
+        return spark.createDataFrame([], T.StructType([*known, *(place if source_col else [])]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [read_csv_group(spark, files, source_col, list(columns), types, corrupt, multi_line)
+                   for columns, files in groups.items()])
 
-    Each entry is a file or a folder/glob whose files share one header. With
-    ``expand_globs`` a glob is expanded into its sorted files first and each
-    file gets its own header (for file sets whose columns differ); that costs
-    one tiny header read per file, so keep it for tens of files, not thousands.
-    """
-    if expand_globs:
-        paths = [f for p in paths for f in (list_files(spark, p) if any(ch in p for ch in "*?[") else [p])]
-    out = None
-    for path in paths:
-        df = read_csv_group(spark, path, source_col)
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out
+
+def load_report(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame:
+    """Per source file: records read, records that do not fit their schema, and
+    records without a value in any column."""
+    df = read_accident_csvs(spark, paths, "source_file", corrupt=True, multi_line=multi_line)
+    fields = [F.col(f"`{c}`").cast("string") for c in df.columns
+              if c not in (CORRUPT_COL, "source_file", "source_block", "source_row")]
+    return (df.groupBy("source_file").agg(F.count(F.lit(1)).alias("records"), F.count(CORRUPT_COL).alias("corrupt"),
+                                          F.count_if(F.coalesce(*fields).isNull()).alias("blank")))
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -92,20 +160,20 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def file_report(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
-    """S3: per source file (a folder of part files): part files, size in MB,
-    rows, columns (from its header)."""
+    """S3: per source (a file or a folder of part files): part files, size in
+    MB, rows, columns (from its header)."""
     parts = []
     for name, folder in folders.items():
-        cols = header_columns(spark, folder)
-        df = spark.read.options(**CSV_OPTIONS).schema(schema_for(cols)).csv(folder)
-        parts.append(df.select(F.lit(name).alias("source_file"), F.lit(len(cols)).alias("columns"),
-                               F.col("_metadata.file_path").alias("_part"),
-                               F.col("_metadata.file_size").alias("_size")))
-    files = parts[0]
-    for p in parts[1:]:
-        files = files.unionByName(p)
-    per_part = (files.groupBy("source_file", "columns", "_part")
-                     .agg(F.count(F.lit(1)).alias("_rows"), F.max("_size").alias("_size")))
+        for columns, files in (header_groups(spark, [folder]) or {(): []}).items():
+            if files:
+                df = read_csv_group(spark, files, None, list(columns))
+                parts.append(df.select(F.lit(name).alias("source_file"), F.lit(len(columns)).alias("columns"),
+                                       F.col("_metadata.file_path").alias("_part"),
+                                       F.col("_metadata.file_size").alias("_size")))
+    if not parts:
+        return spark.createDataFrame([], "source_file string, columns int, part_files bigint, size_mb double, rows bigint")
+    per_part = (reduce(DataFrame.unionByName, parts).groupBy("source_file", "columns", "_part")
+                .agg(F.count(F.lit(1)).alias("_rows"), F.max("_size").alias("_size")))
     return (per_part.groupBy("source_file", "columns")
                     .agg(F.count(F.lit(1)).alias("part_files"),
                          F.round(F.sum("_size") / F.lit(1024.0 * 1024.0), 2).alias("size_mb"),

@@ -13,7 +13,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from roadlens.sources.csv import read_csv_group, write_csv
+from roadlens.sources.csv import CSV_OPTIONS, header_groups, list_files, read_accident_csvs, read_csv_group, write_csv
 
 
 def landing_folder(root: str, ingest_date: dt.date) -> str:
@@ -29,18 +29,57 @@ def land_sources(sources: dict[str, DataFrame], root: str, ingest_date: dt.date)
     return out
 
 
-def land_csv_files(spark: SparkSession, paths: list[str], root: str,
-                   ingest_date: dt.date) -> dict[str, str]:
-    """Land existing CSV files: each is read with every column as text (the
-    landing zone does not interpret values) and rewritten under its own
-    ``source_file=NAME`` folder, header in every part file."""
-    from roadlens.sources.csv import CSV_OPTIONS, header_columns
-
+class LandingRefused(ValueError):
+    """Incoming files that did not pass the checks; nothing was landed."""
+
+
+def incoming_checks(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame:
+    """S10 on incoming CSV files, one row per real file: size in bytes, text
+    lines, records (without the header), whether its bytes are UTF-8, ok.
+
+    Lines come from the text source, which keeps the bytes as they are, so a
+    bad byte is seen; files can be cut into many tasks. An empty file fails.
+    """
+    listed = spark.createDataFrame([(path,) for path in spark.read.text(paths).inputFiles()], "file string")
+    path = F.col("_metadata.file_path").alias("file")
+    lines = (spark.read.text(paths).select(path, F.col("_metadata.file_size").alias("bytes"), "value").groupBy("file")
+                  .agg(F.max("bytes").alias("bytes"), F.count(F.lit(1)).alias("lines"),
+                       F.bool_and(F.is_valid_utf8("value")).alias("valid_utf8")))
+    records = (read_accident_csvs(spark, paths, infer_unknown=False, multi_line=multi_line)
+               .groupBy(F.col("source_file").alias("file")).agg(F.count(F.lit(1)).alias("records")))
+    # a local file is file:/x in one place and file:///x in another
+    listed, lines, records = (df.withColumn("file", F.regexp_replace("file", "^file:/+", "file:/")) for df in (listed, lines, records))
+    return (listed.join(lines, "file", "left").join(records, "file", "left")
+                  .fillna(0, ["bytes", "lines", "records"]).fillna({"valid_utf8": True})
+                  .withColumn("ok", (F.col("lines") > 0) & F.col("valid_utf8")))
+
+
+def land_csv_files(spark: SparkSession, paths: list[str], root: str, ingest_date: dt.date,
+                   multi_line: bool = False) -> dict[str, str]:
+    """Land existing CSV files behind the gate of ``incoming_checks``: no file,
+    or one that fails, and nothing is landed (``LandingRefused`` names it).
+    Each is read with every column as text (the landing zone does not interpret
+    values) and rewritten under its own ``source_file=NAME`` folder, header in
+    every part file; files of one name in several folders are refused."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        files = list_files(spark, paths)
+    except AnalysisException as exc:
+        raise LandingRefused(f"no such input: {exc}") from exc
+    if not files:
+        raise LandingRefused(f"no CSV file in {paths}")
+    failed = incoming_checks(spark, files, multi_line).filter(~F.col("ok")).orderBy("file").first()
+    if failed:
+        raise LandingRefused(f"{failed['file']}: {'not UTF-8' if failed['lines'] else 'empty'}")
+    names = [os.path.basename(path) for path in files]
+    if len(set(names)) < len(names):
+        raise LandingRefused("two incoming files share a name")
     sources = {}
-    for path in paths:
-        cols = header_columns(spark, path)
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-        sources[os.path.basename(path.rstrip("/"))] = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    for columns, group in header_groups(spark, files).items():
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+        for path in group:
+            sources[os.path.basename(path)] = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(schema).csv(path)
     return land_sources(sources, root, ingest_date)
 
 

@@ -65,7 +65,7 @@ def test_sorted_glob_with_differing_headers(spark):
 
     files = list_files(spark, os.path.join(root, "accidents_*.csv"))
     assert [os.path.basename(f) for f in files] == ["accidents_1.csv", "accidents_2.csv"]
-    df = read_accident_csvs(spark, [os.path.join(root, "accidents_*.csv")], expand_globs=True)
+    df = read_accident_csvs(spark, [os.path.join(root, "accidents_*.csv")])
     rows = sorted((r.Accident_Index, r.Road_Type, r.Speed_limit) for r in df.collect())
     assert rows == [("A1", "Roundabout", 20), ("B1", None, 30)]
 
@@ -106,7 +106,72 @@ def test_keep_first_follows_file_and_line_order(spark):
         f.write("Accident_Index,Speed_limit\nK1,70\nK2,30\nK1,20\n")
     with open(os.path.join(root, "accidents_2.csv"), "w") as f:
         f.write("Accident_Index,Speed_limit\nK1,10\nK3,40\n")
-    raw = read_accident_csvs(spark, [os.path.join(root, "accidents_*.csv")], expand_globs=True)
+    raw = read_accident_csvs(spark, [os.path.join(root, "accidents_*.csv")])
     got = sorted((r.Accident_Index, r.Speed_limit) for r in dedup_accidents(raw).collect())
     assert got == [("K1", 70), ("K2", 30), ("K3", 40)]
     assert "source_row" not in dedup_accidents(raw).columns
+
+
+def _files(spark, **texts):
+    root = scratch_path(spark, "csv-files")
+    os.makedirs(root)
+    for name, text in texts.items():
+        with open(os.path.join(root, f"{name}.csv"), "wb") as f:
+            f.write(text if isinstance(text, bytes) else text.encode())
+    return root
+
+
+def test_folder_with_headers_in_different_order(spark):
+    root = _files(spark, a="Accident_Index,Accident_Severity,Speed_limit\nA1,3,60\n", b="Accident_Index,Speed_limit,Accident_Severity\nB1,30,2\n")
+    df = read_accident_csvs(spark, [root], source_col=None)
+    assert sorted((r.Accident_Index, r.Accident_Severity, r.Speed_limit) for r in df.collect()) == [("A1", 3, 60), ("B1", 2, 30)]
+
+
+def test_header_that_does_not_match_its_schema_fails(spark):
+    import pytest
+
+    root = _files(spark, a="Accident_Index,Speed_limit\nA1,3\n", b="Speed_limit,Accident_Index\n30,B1\n")
+    from roadlens.sources.csv import read_csv_group
+
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_group(spark, root, None, ["Accident_Index", "Speed_limit"]).collect()
+
+
+def test_unknown_columns_are_typed_by_all_their_values(spark):
+    root = _files(spark, a="Accident_Index,flow,share,road,empty\nA1,12,3,M1,\n", b="road,share,flow,Accident_Index\nA40,0.25,7,B1\n")
+    df = read_accident_csvs(spark, [root], source_col=None)
+    assert {c: t for c, t in df.dtypes} == {"Accident_Index": "string", "flow": "bigint", "share": "double", "road": "string", "empty": "string"}
+    assert sorted((r.flow, r.share) for r in df.collect()) == [(7, 0.25), (12, 3.0)]
+
+
+def test_records_that_do_not_fit_are_kept_and_counted(spark):
+    from roadlens.sources.csv import CORRUPT_COL, load_report
+
+    root = _files(spark, a="Accident_Index,Speed_limit\nA1,fast\nA2,30\n", b="Accident_Index,Speed_limit\nB1,20\n")
+    rows = {r.Accident_Index: (r.Speed_limit, r[CORRUPT_COL]) for r in read_accident_csvs(spark, [root], corrupt=True).collect()}
+    assert rows == {"A1": (None, "A1,fast"), "A2": (30, None), "B1": (20, None)}
+    report = {os.path.basename(r.source_file): (r.records, r.corrupt, r.blank) for r in load_report(spark, [root]).collect()}
+    assert report == {"a.csv": (2, 1, 0), "b.csv": (1, 0, 0)}
+
+
+def test_quoted_line_breaks_are_one_record(spark):
+    root = _files(spark, a='Accident_Index,Road_Type\nA1,"two\nlines"\nA2,x\n')
+    df = read_accident_csvs(spark, [root], source_col=None, multi_line=True)
+    assert sorted(tuple(r) for r in df.collect()) == [("A1", "two\nlines"), ("A2", "x")]
+    check = landing.incoming_checks(spark, [root], multi_line=True).first()
+    assert (check.lines, check.records, check.ok) == (4, 2, True)
+
+
+def test_gate_lands_nothing_when_a_file_fails(spark):
+    import pytest
+
+    for bad, why in [(b"Accident_Index\nA\xff1\n", "not UTF-8"), (b"", "empty")]:
+        root = _files(spark, good="Accident_Index\nA1\n", worse=bad)
+        zone = os.path.join(root, "zone")
+        with pytest.raises(landing.LandingRefused, match=f"worse.csv: {why}"):
+            landing.land_csv_files(spark, [os.path.join(root, "*.csv")], zone, dt.date(2026, 4, 1))
+        assert not os.path.exists(zone)
+    checks = {os.path.basename(r.file): (r.bytes, r.lines, r.records, r.ok) for r in landing.incoming_checks(spark, [os.path.join(root, "*.csv")]).collect()}
+    assert checks == {"good.csv": (18, 2, 1, True), "worse.csv": (0, 0, 0, False)}
+    with pytest.raises(landing.LandingRefused):
+        landing.land_csv_files(spark, [os.path.join(root, "none-*.csv")], zone, dt.date(2026, 4, 1))
