@@ -7,7 +7,6 @@ Layers:
 * ``operators`` — DataFrame -> DataFrame building blocks: dedup, cleaning,
   dense keys, star schema, validation, profiling.
 * ``plans``     — the business questions, chart datasets and the ETL run.
-* ``streaming`` — intentionally empty: the reference has no streaming part.
 
 Every operator returns a lazy DataFrame; collection is the caller's job.
 """

@@ -20,12 +20,13 @@ from roadlens.fixture import raw_accidents, secondary_source, source_files
 from roadlens.operators import checks, clean as C, profile as P
 from roadlens.operators.dedup import dedup_counts
 from roadlens.operators.small import broadcast_if_small
-from roadlens.operators.star import DEFAULT_MAX_BROADCAST_ROWS, Star, build_star
+from roadlens.operators.star import Star, build_star
 from roadlens.plans import questions as Q
+from roadlens.plans.etl import run_etl
 from roadlens.schemas import DIMENSIONS, FACT_PARTITION_COL, KEY_COL, SOURCE_ORDER_COL
-from roadlens.session import scratch_path
+from roadlens.session import remove_folder, scratch_path
 from roadlens.sources import landing
-from roadlens.sources.csv import file_report, read_accident_csvs
+from roadlens.sources.csv import file_report, load_report, read_accident_csvs, write_csv
 from roadlens.sources.sinks import write_table
 from roadlens.sources.tables import read_star
 
@@ -65,10 +66,10 @@ class Stages:
         return build_star(self.clean, null_safe=True)
 
     def dim(self, name: str, star: Star | None = None) -> DataFrame:
-        """A dimension for joining: broadcast when its counted rows allow
+        """A dimension for joining: broadcast when its measured bytes allow
         (the lazily built dimensions carry no size statistics of their own)."""
         s = star or self.star
-        return broadcast_if_small(s.dims[name], s.dim_rows[name], DEFAULT_MAX_BROADCAST_ROWS)
+        return broadcast_if_small(s.dims[name], s.dim_bytes[name])
 
     @property
     def fact(self) -> DataFrame:
@@ -129,16 +130,42 @@ def _landing_roundtrip(p: Stages) -> DataFrame:
                    .groupBy("year", "month", "source_file").agg(F.count(F.lit(1)).alias("rows")))
 
 
+@query("csv_glob_union")
+def _csv_glob(p: Stages) -> DataFrame:
+    """All landed files by one glob, whatever their headers."""
+    folder = os.path.dirname(next(iter(p.land().values())))
+    return read_accident_csvs(p.spark, [os.path.join(folder, "source_file=*")], source_col=None)
+
+
+@query("csv_folder_mixed_headers")
+def _csv_mixed(p: Stages) -> DataFrame:
+    """Files of one folder with the same columns in two orders, one of them of no known type."""
+    cols = [KEY_COL, SOURCE_ORDER_COL, "Accident_Severity", "Speed_limit", "severity_x_ten"]
+    raw = p.raw.withColumn("severity_x_ten", F.col("Accident_Severity") * F.lit(10).cast("bigint"))
+    root = scratch_path(p.spark, "mixed")
+    for part, order in enumerate([cols, cols[::-1]]):
+        write_csv(raw.filter(F.col("Number_of_Vehicles") % 2 == part).select(*order), os.path.join(root, str(part)))
+    return read_accident_csvs(p.spark, [os.path.join(root, "*")], source_col=None)
+
+
+@query("csv_corrupt_counts")
+def _csv_corrupt(p: Stages) -> DataFrame:
+    """Records and those that do not fit the schema (a word where a speed limit belongs)."""
+    odd = F.when(F.col("Speed_limit") == 30, F.lit("fast")).otherwise(F.col("Speed_limit").cast("string"))
+    path = write_csv(p.raw.withColumn("Speed_limit", odd), scratch_path(p.spark, "corrupt"))
+    return load_report(p.spark, [path]).agg(*[F.sum(c).alias(c) for c in ("records", "corrupt", "blank")])
+
+
 @query("file_report")
 def _file_report(p: Stages) -> DataFrame:
-    """S3: per landed file: parts, size MB, rows, columns."""
-    return file_report(p.spark, p.land())
+    """S3: per landed file: rows and columns (parts and sizes depend on the run)."""
+    return file_report(p.spark, p.land()).select("source_file", "columns", "rows")
 
 
 @query("file_checks")
 def _file_checks(p: Stages) -> DataFrame:
-    """Per landed file: lines, data rows, UTF-8 validity."""
-    return landing.file_checks(p.spark, p.land())
+    """Per landed file: data rows, UTF-8 validity."""
+    return landing.file_checks(p.spark, p.land()).select("source_file", "rows", "valid_utf8")
 
 
 @query("secondary_source_totals")
@@ -286,12 +313,17 @@ def _validate(p: Stages) -> DataFrame:
 
 @query("integrity_star")
 def _integrity(p: Stages) -> DataFrame:
-    return checks.integrity(p.fact, p.star.dims, p.star.dim_rows)
+    return checks.integrity(p.fact, p.star.dims, p.star.dim_bytes)
 
 
 @query("etl_summary")
 def _etl_summary(p: Stages) -> DataFrame:
-    return checks.run_summary(p.raw, p.clean, p.fact)
+    """M8/M9: the staged run; its rows were counted while they were written."""
+    out = scratch_path(p.spark, "etl")
+    run = run_etl(p.spark, p.raw, out)
+    remove_folder(p.spark, out)
+    return p.spark.createDataFrame([(run.raw_rows, run.clean_rows, run.fact_rows)],
+                                   "raw_rows bigint, clean_rows bigint, fact_rows bigint")
 
 
 # -------------------------------------------------------------- questions

@@ -1,4 +1,4 @@
-"""Validation, integrity and the run summary (M6-M8)."""
+"""Validation and integrity (M6, M7)."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from roadlens.operators.small import broadcast_if_small
 from roadlens.schemas import DIMENSIONS, VALIDATED_KEYS
 
 
@@ -27,21 +28,18 @@ def validate_tables(tables: dict[str, DataFrame],
 
 
 def integrity(fact: DataFrame, dims: dict[str, DataFrame],
-              dim_rows: dict[str, int] | None = None,
-              max_broadcast_rows: int = 2_000_000) -> DataFrame:
+              dim_bytes: dict[str, int] | None = None) -> DataFrame:
     """M7: per dimension: rows, distinct keys, duplicated keys, fact rows with
     a null foreign key, and fact rows whose key has no dimension row.
 
     The fact is scanned once: each dimension's key set is left-joined
-    (broadcast when its counted size allows) and flagged, then one aggregate
+    (broadcast when its measured size allows) and flagged, then one aggregate
     counts nulls and misses for all four keys together.
     """
     probe = fact.select(*[key for _, key in DIMENSIONS.values()])
     for name, (_, key) in DIMENSIONS.items():
         keys = dims[name].select(key).distinct().withColumn(f"_hit_{key}", F.lit(True))
-        rows = (dim_rows or {}).get(name)
-        side = F.broadcast(keys) if rows is not None and rows <= max_broadcast_rows else keys
-        probe = probe.join(side, key, "left")
+        probe = probe.join(broadcast_if_small(keys, (dim_bytes or {}).get(name)), key, "left")
     counted = probe.agg(*[c for _, key in DIMENSIONS.values() for c in (
         F.count_if(F.col(key).isNull()).alias(f"_null_{key}"),
         F.count_if(F.col(key).isNotNull() & F.col(f"_hit_{key}").isNull()).alias(f"_orphan_{key}"))])
@@ -56,11 +54,3 @@ def integrity(fact: DataFrame, dims: dict[str, DataFrame],
             fact_counts[f"_null_{key}"].alias("null_fk_rows"),
             fact_counts[f"_orphan_{key}"].alias("orphan_fact_rows")))
     return reduce(DataFrame.unionByName, parts)
-
-
-def run_summary(raw: DataFrame, clean: DataFrame, fact: DataFrame) -> DataFrame:
-    """M8: raw rows read, rows after dedup/cleaning, fact rows written."""
-    base = raw.agg(F.count(F.lit(1)).alias("raw_rows"))
-    return base.select("raw_rows",
-                       clean.agg(F.count(F.lit(1))).scalar().alias("clean_rows"),
-                       fact.agg(F.count(F.lit(1))).scalar().alias("fact_rows"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from roadlens.functions.fill import fill_columns, fill_nulls
 from roadlens.functions.parsing import lenient_hour, parse_day_first_date
 from roadlens.operators.dedup import keep_first
-from roadlens.operators.small import broadcast_if_small, materialize
+from roadlens.operators.small import broadcast_if_small, materialize, measured_bytes
 from roadlens.schemas import (HAZARD_NONE, HAZARD_PLACEHOLDER_REGEX, KEY_COL, NIGHT,
                               NO_JUNCTION_CONTROL, SECOND_ROAD_CLASS_FILL,
                               SECOND_ROAD_NUMBER_FILL, SOURCE_ORDER_COL, TIME_PERIODS,
@@ -136,21 +136,20 @@ def fill_unknowns(df: DataFrame) -> DataFrame:
     return fill_nulls(df, UNKNOWN_FILLS)
 
 
-def impute_speed_limit(df: DataFrame, group_col: str = "Road_Type",
-                       max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def impute_speed_limit(df: DataFrame, group_col: str = "Road_Type") -> DataFrame:
     """``Speed_limit`` <= 0 -> median of the valid limits of its road type.
 
     The per-type medians come from one exact, map-side-combined aggregate
     (its state is a value->count map, bounded by the few distinct limits).
-    That small result is checkpointed once, its row count checked, and it is
-    broadcast only within ``max_broadcast_rows`` (else a shuffle join).
+    That small result is checkpointed once, its bytes measured, and it is
+    broadcast only within the session's threshold (else a shuffle join).
     Types without a valid limit keep their value.
     """
     medians = (df.filter(F.col("Speed_limit") > 0)
                  .groupBy(group_col)
                  .agg(F.median("Speed_limit").alias("_median_speed")))
-    medians, rows = materialize(medians)
-    joined = df.join(broadcast_if_small(medians, rows, max_broadcast_rows), on=group_col, how="left")
+    medians, _ = materialize(medians, count=False)
+    joined = df.join(broadcast_if_small(medians, measured_bytes(medians)), on=group_col, how="left")
     fixed = F.when((F.col("Speed_limit") <= 0) & F.col("_median_speed").isNotNull(),
                    F.round(F.col("_median_speed"), 0).cast("int")).otherwise(F.col("Speed_limit"))
     return joined.withColumn("Speed_limit", fixed).select(*df.columns)

@@ -39,27 +39,20 @@ def _lookup(mapping: dict, key: Column) -> Column:
 
 
 def dense_keys(df: DataFrame, order_cols: list[str], key_col: str,
-               group_col: str | None = None, max_partitions: int = 64) -> tuple[DataFrame, dict]:
+               group_col: str | None = None) -> tuple[DataFrame, dict]:
     """Add ``key_col`` = 1..n by ``order_cols`` ascending, nulls first,
     restarting at 1 for each value of ``group_col`` if given.
 
-    With AQE on, the range sort gets no explicit count, so AQE coalesces it
-    to the members' actual size (a few partitions even at scale); without
-    AQE it uses at most ``max_partitions`` ranges (not the session's shuffle
-    count, which may be sized for the fact table). Either way the
-    per-partition offsets stay a handful of numbers.
+    The range sort gets no explicit count, so AQE coalesces it to the
+    members' actual size (a few partitions even at scale); without AQE it
+    has the session's shuffle partitions. One offset per partition.
 
     Returns the keyed DataFrame and the row count per group value (or
     ``{None: n}`` without groups).
     """
     lead = [group_col] if group_col else []
     spec = [F.col(c).asc_nulls_first() for c in lead + order_cols]
-    conf = df.sparkSession.conf
-    if conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
-        ranged = df.repartitionByRange(*spec)
-    else:
-        parts = max(1, min(max_partitions, int(conf.get("spark.sql.shuffle.partitions"))))
-        ranged = df.repartitionByRange(parts, *spec)
+    ranged = df.repartitionByRange(*spec)
     ordered, _ = materialize(ranged.sortWithinPartitions(*spec), count=False)
 
     rid = F.monotonically_increasing_id()

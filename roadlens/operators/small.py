@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from roadlens.session import ensure_checkpoint_dir
+from roadlens.session import broadcast_limit, ensure_checkpoint_dir
 
 
 def materialize(df: DataFrame, count: bool = True) -> tuple[DataFrame, int | None]:
@@ -18,6 +18,19 @@ def materialize(df: DataFrame, count: bool = True) -> tuple[DataFrame, int | Non
     return stored, (stored.count() if count else None)
 
 
-def broadcast_if_small(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
-    """Broadcast hint only for a side whose row count is known to fit."""
-    return F.broadcast(df) if rows <= max_rows else df
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row as a join keeps it: 8 a field and 8 before them, and texts at their length."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 8
+             for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    return sum(texts, F.lit(8 + 8 * len(df.columns))).cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of a materialized frame, by one aggregate."""
+    return int(df.agg(F.sum(row_bytes(df)).alias("b")).first()["b"] or 0)
+
+
+def broadcast_if_small(df: DataFrame, nbytes: int | None) -> DataFrame:
+    """Broadcast hint only for a side measured to fit the session's broadcast threshold."""
+    fits = nbytes is not None and nbytes <= broadcast_limit(df.sparkSession)
+    return F.broadcast(df) if fits else df

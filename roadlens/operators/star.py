@@ -8,7 +8,7 @@
   ``roadlens.operators.keys``. Dense keys for all four dimensions are
   assigned by one range sort keyed on (grouping id, attributes).
 * The fact attaches keys with left equi-joins. A dimension is broadcast only
-  when its counted row total is within ``max_broadcast_rows``; otherwise it
+  when its measured bytes fit the session's broadcast threshold; otherwise it
   is a shuffle join (AQE may still switch it, and splits skewed partitions).
   Default joins reproduce the published behaviour that a null attribute
   never matches (null foreign key); ``null_safe=True`` matches nulls too.
@@ -22,16 +22,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from roadlens.operators.keys import dense_keys, hash_key
-from roadlens.operators.small import broadcast_if_small, materialize
+from roadlens.operators.small import broadcast_if_small, materialize, row_bytes
 from roadlens.schemas import DIMENSIONS, FACT_COLS
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
 @dataclass
 class Star:
     dims: dict[str, DataFrame]
     dim_rows: dict[str, int]
+    dim_bytes: dict[str, int]
     fact: DataFrame
 
 
@@ -52,35 +50,34 @@ def dimension_members(clean: DataFrame) -> DataFrame:
     return clean.groupingSets(sets, *all_cols).agg(F.grouping_id().alias("_gid"))
 
 
-def build_dimensions(clean: DataFrame, keys: str = "dense") -> tuple[dict[str, DataFrame], dict[str, int]]:
-    """``{name: DataFrame(attributes..., key)}`` and row counts per dimension."""
+def build_dimensions(clean: DataFrame, keys: str = "dense") -> tuple[dict[str, DataFrame], dict[str, int], dict[str, int]]:
+    """``{name: DataFrame(attributes..., key)}``, and rows and bytes per dimension."""
     all_cols = _all_dim_cols()
     members = dimension_members(clean)
     if keys == "dense":
-        keyed, counts = dense_keys(members, all_cols, "_key", group_col="_gid")
+        keyed, _ = dense_keys(members, all_cols, "_key", group_col="_gid")
     elif keys == "hash":
         keyed, _ = materialize(members, count=False)
-        counts = {r["_gid"]: r["count"] for r in keyed.groupBy("_gid").count().collect()}
         keyed = keyed.withColumn("_key", F.lit(None).cast("long"))
     else:
         raise ValueError(f"unknown key scheme {keys!r}")
-    dims, rows = {}, {}
+    sizes = {r["_gid"]: r for r in keyed.groupBy("_gid").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(keyed)).alias("bytes")).collect()}
+    dims, rows, nbytes = {}, {}, {}
     for name, (cols, key) in DIMENSIONS.items():
         gid = _grouping_id(cols, all_cols)
         key_expr = F.col("_key") if keys == "dense" else hash_key(cols)
         dims[name] = keyed.filter(F.col("_gid") == gid).select(*cols, key_expr.alias(key))
-        rows[name] = int(counts.get(gid, 0))
-    return dims, rows
+        rows[name], nbytes[name] = (int(sizes[gid]["rows"]), int(sizes[gid]["bytes"])) if gid in sizes else (0, 0)
+    return dims, rows, nbytes
 
 
-def attach_keys(clean: DataFrame, dims: dict[str, DataFrame], dim_rows: dict[str, int],
-                null_safe: bool = False,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def attach_keys(clean: DataFrame, dims: dict[str, DataFrame], dim_bytes: dict[str, int],
+                null_safe: bool = False) -> DataFrame:
     """Left-join each dimension on its natural key to pick up the surrogate key."""
     out = clean
     for name, (cols, key) in DIMENSIONS.items():
-        side = broadcast_if_small(dims[name], dim_rows.get(name, max_broadcast_rows + 1),
-                                  max_broadcast_rows)
+        side = broadcast_if_small(dims[name], dim_bytes.get(name))
         if not null_safe:
             out = out.join(side, on=cols, how="left")
         else:
@@ -91,14 +88,12 @@ def attach_keys(clean: DataFrame, dims: dict[str, DataFrame], dim_rows: dict[str
     return out
 
 
-def build_fact(clean: DataFrame, dims: dict[str, DataFrame], dim_rows: dict[str, int],
-               null_safe: bool = False,
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def build_fact(clean: DataFrame, dims: dict[str, DataFrame], dim_bytes: dict[str, int],
+               null_safe: bool = False) -> DataFrame:
     """M5: one row per accident: keys, measures, degenerate attributes, year."""
-    return attach_keys(clean, dims, dim_rows, null_safe, max_broadcast_rows).select(*FACT_COLS)
+    return attach_keys(clean, dims, dim_bytes, null_safe).select(*FACT_COLS)
 
 
-def build_star(clean: DataFrame, keys: str = "dense", null_safe: bool = False,
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> Star:
-    dims, rows = build_dimensions(clean, keys)
-    return Star(dims, rows, build_fact(clean, dims, rows, null_safe, max_broadcast_rows))
+def build_star(clean: DataFrame, keys: str = "dense", null_safe: bool = False) -> Star:
+    dims, rows, nbytes = build_dimensions(clean, keys)
+    return Star(dims, rows, nbytes, build_fact(clean, dims, nbytes, null_safe))

@@ -294,6 +294,18 @@ def _register() -> None:
     o["landing_roundtrip"] = with_raw(
         f"SELECT CAST(2026 AS INTEGER) AS year, CAST(4 AS INTEGER) AS month, source_file, COUNT(*) AS rows "
         f"FROM (SELECT {source_file_expr()} AS source_file FROM raw) GROUP BY source_file")
+    o["csv_glob_union"] = o["raw_union"]
+    o["csv_folder_mixed_headers"] = with_raw(
+        "SELECT Accident_Index, copy_no, Accident_Severity, Speed_limit, "
+        "CAST(Accident_Severity * 10 AS BIGINT) AS severity_x_ten FROM raw")
+    o["csv_corrupt_counts"] = with_raw(
+        "SELECT COUNT(*) AS records, COUNT(*) FILTER (WHERE Speed_limit = 30) AS corrupt, "
+        "CAST(0 AS BIGINT) AS blank FROM raw")
+    per_file = f"(SELECT {source_file_expr()} AS source_file FROM raw) GROUP BY source_file"
+    o["file_report"] = with_raw(
+        "SELECT source_file, CAST(CASE source_file WHEN 'accidents_3.csv' THEN 21 ELSE 22 END AS INTEGER) AS columns, "
+        f"COUNT(*) AS rows FROM {per_file}")
+    o["file_checks"] = with_raw(f"SELECT source_file, COUNT(*) AS rows, true AS valid_utf8 FROM {per_file}")
     o["secondary_source_totals"] = with_raw(
         "SELECT (SELECT COUNT(*) FROM raw) AS accident_rows, (SELECT COUNT(*) FROM lineitem) AS traffic_flow_rows, "
         "CAST((SELECT COUNT(*) FROM information_schema.columns WHERE table_name = 'lineitem') AS INTEGER) "

@@ -12,8 +12,11 @@ Shape of the job at scale:
    keys assigned with one small range sort (see ``operators.keys``);
    dimensions written.
 3. Fact = staged table joined to the written dimensions (broadcast only
-   within the checked row limit), written partitioned by year.
-4. Validation re-reads the written tables: one aggregate per table.
+   where their measured bytes fit), written partitioned by year.
+4. All tables are written to a folder of the run inside ``out_dir`` and moved
+   into place at the end, so a run that fails leaves the star before it whole;
+   the staged copy is deleted.
+5. Validation re-reads the published tables: one aggregate per table.
 
 Row counts for the summary come from ``Observation`` metrics collected
 while writing, not from extra count jobs.
@@ -24,6 +27,7 @@ from __future__ import annotations
 import argparse
 import json
 import os
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -31,11 +35,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from roadlens.operators.checks import validate_tables
 from roadlens.operators.clean import clean_all, impute_speed_limit
-from roadlens.operators.star import DEFAULT_MAX_BROADCAST_ROWS, build_dimensions, build_fact
+from roadlens.operators.star import build_dimensions, build_fact
 from roadlens.schemas import DIMENSIONS, FACT_PARTITION_COL
-from roadlens.session import scratch_path, shuffle_partitions as scoped_partitions
+from roadlens.session import (move_folder, partitions_for, remove_folder, scratch_path,
+                              shuffle_partitions as scoped_partitions)
 from roadlens.sources.sinks import write_table
-from roadlens.sources.tables import read_star
+from roadlens.sources.tables import STAR_TABLES, read_star
 
 
 @dataclass
@@ -53,38 +58,50 @@ class EtlResult:
 
 
 def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "dense",
-            null_safe: bool = False, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-            strict_hour: bool = False, strict_coordinates: bool = False,
+            null_safe: bool = False, strict_hour: bool = False, strict_coordinates: bool = False,
             impute_speed: bool = False, shuffle_partitions: int | None = None) -> EtlResult:
-    """Run the ETL into ``out_dir``. ``shuffle_partitions`` (e.g. from
-    ``session.partitions_for(raw)``) sizes the dedup shuffle for the run."""
-    with scoped_partitions(spark, shuffle_partitions):
-        return _run(spark, raw, out_dir, keys, null_safe, max_broadcast_rows,
-                    strict_hour, strict_coordinates, impute_speed)
+    """Run the ETL into ``out_dir``. ``shuffle_partitions`` sizes the dedup
+    shuffle for the run; by default ``session.partitions_for(raw)``."""
+    staged_path = scratch_path(spark, "staged-clean")
+    run_dir = os.path.join(out_dir, f"_run-{uuid.uuid4().hex}")
+    try:
+        with scoped_partitions(spark, shuffle_partitions or partitions_for(raw)):
+            return _run(spark, raw, out_dir, run_dir, staged_path, keys, null_safe,
+                        strict_hour, strict_coordinates, impute_speed)
+    finally:
+        remove_folder(spark, staged_path)
+        remove_folder(spark, run_dir)
+
 
+def publish(spark: SparkSession, run_dir: str, out_dir: str) -> None:
+    """Move the run's tables into place, those before them out first (renames only)."""
+    for name in STAR_TABLES:
+        move_folder(spark, os.path.join(out_dir, name), os.path.join(run_dir, "before", name))
+        move_folder(spark, os.path.join(run_dir, name), os.path.join(out_dir, name))
 
-def _run(spark, raw, out_dir, keys, null_safe, max_broadcast_rows, strict_hour,
+
+def _run(spark, raw, out_dir, run_dir, staged_path, keys, null_safe, strict_hour,
          strict_coordinates, impute_speed) -> EtlResult:
     raw_obs, clean_obs, fact_obs = Observation("raw"), Observation("clean"), Observation("fact")
     observed_raw = raw.observe(raw_obs, F.count(F.lit(1)).alias("rows"))
     clean = clean_all(observed_raw, strict_hour=strict_hour, strict_coordinates=strict_coordinates)
     # staged in the shared scratch folder (spark.checkpoint.dir), not beside the star
-    staged_path = scratch_path(spark, "staged-clean")
     write_table(clean.observe(clean_obs, F.count(F.lit(1)).alias("rows")), staged_path)
     staged = spark.read.parquet(staged_path)
     if impute_speed:
         # medians from the staged table: a two-column scan, not a second dedup
         staged = impute_speed_limit(staged)
 
-    dims, dim_rows = build_dimensions(staged, keys)
+    dims, dim_rows, dim_bytes = build_dimensions(staged, keys)
     # Four small, independent writes: submitted together so they share the cluster.
     with ThreadPoolExecutor(max_workers=len(dims)) as pool:
-        list(pool.map(lambda item: write_table(item[1], os.path.join(out_dir, item[0])), dims.items()))
-    written_dims = {name: spark.read.parquet(os.path.join(out_dir, name)) for name in DIMENSIONS}
+        list(pool.map(lambda item: write_table(item[1], os.path.join(run_dir, item[0])), dims.items()))
+    written_dims = {name: spark.read.parquet(os.path.join(run_dir, name)) for name in DIMENSIONS}
 
-    fact = build_fact(staged, written_dims, dim_rows, null_safe, max_broadcast_rows)
+    fact = build_fact(staged, written_dims, dim_bytes, null_safe)
     write_table(fact.observe(fact_obs, F.count(F.lit(1)).alias("rows")),
-                os.path.join(out_dir, "fact_accidents"), FACT_PARTITION_COL)
+                os.path.join(run_dir, "fact_accidents"), FACT_PARTITION_COL)
+    publish(spark, run_dir, out_dir)
 
     tables = read_star(spark, out_dir)
     return EtlResult(out_dir=out_dir, raw_rows=int(raw_obs.get["rows"]),
@@ -103,7 +120,7 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--csv", nargs="+", help="accident CSV files, folders or globs")
     ap.add_argument("--null-safe", action="store_true", help="match null attributes in key lookups")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
-                    help="dedup shuffle partitions; 0 = derive from input size (256 MB each)")
+                    help="dedup shuffle partitions; derived from the input size by default (256 MB each)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("roadlens-etl").getOrCreate()  # as submitted
@@ -112,11 +129,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         # keeps source_file: it orders keep-first
         raw = read_accident_csvs(spark, args.csv)
-    parts = args.shuffle_partitions
-    if parts == 0:
-        from roadlens.session import partitions_for
-        parts = partitions_for(raw)
-    result = run_etl(spark, raw, args.out, null_safe=args.null_safe, shuffle_partitions=parts)
+    result = run_etl(spark, raw, args.out, null_safe=args.null_safe, shuffle_partitions=args.shuffle_partitions)
     print(json.dumps(result.summary()))
     for row in result.validation.collect():
         print(json.dumps(row.asDict()))

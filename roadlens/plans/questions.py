@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from roadlens.functions.labels import month_label, severity_label, weekday_name
+from roadlens.operators.small import materialize
 from roadlens.schemas import (BQ2_MIN_ACCIDENTS, BQ3_TOP, BQ5_MIN_FATAL, BQ5_TOP,
                               RUSH_HOURS, TOP_WEATHER)
 
@@ -140,7 +141,8 @@ def weekday_hour_matrix(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
                 .select(weekday_name(F.col("_dow")).alias("Day_of_Week"),
                         F.col("_dow").alias("day_order"), "Hour", "cnt")
                 .filter(F.col("Day_of_Week").isNotNull()))
-    # Pivot values are the hours present (at most 100: two-digit hours).
+    # Kept (seven weekdays x at most 100 two-digit hours): the pivot looks for its hours there, not in the fact.
+    long, _ = materialize(long, count=False)
     wide = long.groupBy("Day_of_Week", "day_order").pivot("Hour").agg(F.sum("cnt"))
     hour_cols = [c for c in wide.columns if c not in ("Day_of_Week", "day_order")]
     return wide.fillna(0, subset=hour_cols).orderBy("day_order")

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import contextlib
 import os
+import re
 import tempfile
 import uuid
 
@@ -80,15 +81,49 @@ def shuffle_partitions(spark: SparkSession, n: int | None):
 
 
 def partitions_for(df, target_bytes: int = 256 * 1024 * 1024) -> int:
-    """Shuffle partitions for ``df``'s input files at ``target_bytes`` each
-    (file sizes come from the file listing Spark already did for planning)."""
+    """Shuffle partitions for ``df``'s inputs at ``target_bytes`` each, from the
+    sizes in its plan (no file is listed again); the session's own number where
+    that is larger or no input has a known size."""
     spark = df.sparkSession
-    files = df.inputFiles()
-    if not files:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sizes = (spark.read.format("binaryFile").load(files)
-                  .select("length").agg({"length": "sum"}).first()[0] or 0)
-    return max(1, -(-int(sizes) // target_bytes))
+    unknown = _size(spark.conf.get("spark.sql.defaultSizeInBytes"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    known = sum(size for size in sizes if size < unknown)
+    return max(-(-known // target_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _size(text: str) -> int:
+    """Bytes of a size as Spark's settings spell it (``10MB``, ``10485760b``)."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", text.lower()).groups()
+    return int(number) << 10 * " kmgt".index(unit or " ")
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes (negative: none)."""
+    return _size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+
+
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this run made, in whatever store it is."""
+    fs, where = _folder(spark, path)
+    fs.delete(where, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder inside one store; False if there is none."""
+    fs, where = _folder(spark, source)
+    if not fs.exists(where):
+        return False
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(where, to):
+        raise OSError(f"could not move {source} to {target}")
+    return True
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:

@@ -140,7 +140,8 @@ def read_accident_csvs(spark: SparkSession, paths: list[str], source_col: str |
 
 def load_report(spark: SparkSession, paths: list[str], multi_line: bool = False) -> DataFrame:
     """Per source file: records read, records that do not fit their schema, and
-    records without a value in any column."""
+    records without a value in any column (keep all three when you aggregate
+    further: Spark refuses a CSV read that needs the corrupt column alone)."""
     df = read_accident_csvs(spark, paths, "source_file", corrupt=True, multi_line=multi_line)
     fields = [F.col(f"`{c}`").cast("string") for c in df.columns
               if c not in (CORRUPT_COL, "source_file", "source_block", "source_row")]

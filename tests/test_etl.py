@@ -62,8 +62,9 @@ def test_shuffle_partitions_scoped_and_sized(spark, sf_small):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     orders = spark.read.parquet(os.path.join(sf_small, "orders.parquet"))
-    assert partitions_for(orders) == 1
-    assert partitions_for(orders, target_bytes=1024) > 1
+    assert partitions_for(orders) == int(before)
+    assert partitions_for(orders, target_bytes=1024) == -(-os.path.getsize(os.path.join(sf_small, "orders.parquet")) // 1024)
+    assert partitions_for(spark.createDataFrame([(1,)], "x int")) == int(before)
     out = scratch_path(spark, "etl-test-parts")
     assert run_etl(spark, raw_accidents(spark, sf_small), out, shuffle_partitions=3).clean_rows == 1500
 
@@ -74,7 +75,7 @@ def test_cli_runs_from_tables(spark, sf_small, capsys):
     from roadlens.plans.etl import main
 
     out = scratch_path(spark, "etl-cli")
-    assert main(["--sf", sf_small, "--out", out, "--shuffle-partitions", "0"]) == 0
+    assert main(["--sf", sf_small, "--out", out]) == 0
     first = capsys.readouterr().out.splitlines()[0]
     summary = json.loads(first)
     assert (summary["raw_rows"], summary["clean_rows"], summary["fact_rows"]) == (1650, 1500, 1500)
@@ -86,3 +87,50 @@ def test_etl_with_hashed_keys(spark, sf_small):
     rows = {(r.table_name, r.column_name): r for r in result.validation.collect()}
     assert all(rows[(t, k)].ok for t, k in rows if t != "fact_accidents")
     assert rows[("fact_accidents", "road_key")].ok and result.fact_rows == 1500
+
+
+def test_failed_run_leaves_the_star_before_it_and_no_scratch(spark, sf_small, monkeypatch):
+    import pytest
+
+    from roadlens.plans import etl
+    from roadlens.session import ensure_checkpoint_dir
+
+    raw, out = raw_accidents(spark, sf_small), scratch_path(spark, "etl-fail")
+    run_etl(spark, raw, out)
+    names = sorted(os.listdir(out))
+    assert names == ["dim_environment", "dim_geography", "dim_road", "dim_time", "fact_accidents"]
+    rows = {n: sorted(map(str, spark.read.parquet(os.path.join(out, n)).collect())) for n in names}
+
+    scratch = os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "roadlens")
+    before = {d for d in os.listdir(scratch) if d.startswith("staged-clean")}
+    real = etl.write_table
+
+    def failing(df, path, *args, **kwargs):
+        if path.endswith("fact_accidents"):
+            raise OSError("disk")
+        return real(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(etl, "write_table", failing)
+    with pytest.raises(OSError):
+        run_etl(spark, raw.filter("Speed_limit > 30"), out)
+    assert sorted(os.listdir(out)) == names
+    assert rows == {n: sorted(map(str, spark.read.parquet(os.path.join(out, n)).collect())) for n in names}
+    assert {d for d in os.listdir(scratch) if d.startswith("staged-clean")} == before
+
+
+def test_broadcast_is_decided_by_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from roadlens.operators.small import broadcast_if_small, measured_bytes
+    from roadlens.plans.explain import join_strategies
+    from roadlens.session import broadcast_limit
+
+    assert broadcast_limit(spark) == 10 << 20
+    narrow = spark.range(2000).withColumn("v", F.lit("x"))
+    wide = spark.range(2000).withColumn("v", F.repeat(F.lit("x"), 10_000))  # as many rows, 20 MB
+    left = spark.range(3_000_000)
+    assert measured_bytes(narrow) < 10 << 20 < measured_bytes(wide)
+    for side, hinted in [(narrow, True), (wide, False)]:
+        plan = left.join(broadcast_if_small(side, measured_bytes(side)), "id")._jdf.queryExecution().logical().toString()
+        assert ("broadcast" in plan) == hinted
+    assert join_strategies(left.join(broadcast_if_small(narrow, measured_bytes(narrow)), "id")) == ["BroadcastHashJoin"]
