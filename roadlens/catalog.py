@@ -28,7 +28,7 @@ from roadlens.session import remove_folder, scratch_path
 from roadlens.sources import landing
 from roadlens.sources.csv import file_report, load_report, read_accident_csvs, write_csv
 from roadlens.sources.sinks import write_table
-from roadlens.sources.tables import read_star
+from roadlens.sources.tables import read_star, register_star
 
 INGEST_DATE = dt.date(2026, 4, 1)
 PRUNED_YEAR = 1996
@@ -202,6 +202,36 @@ def _year_pruned(p: Stages) -> DataFrame:
     return Q.year_scoped_totals(p.spark.read.parquet(path), PRUNED_YEAR)
 
 
+@query("views_road_vehicles")
+def _views(p: Stages) -> DataFrame:
+    """SQL over the star's session views."""
+    register_star(p.spark, p.tables())
+    return p.spark.sql("""
+        SELECT road.Road_Type, SUM(acc.Number_of_Vehicles) AS vehicles
+        FROM dim_road road, fact_accidents acc
+        WHERE acc.road_key = road.road_key AND acc.Number_of_Casualties >= 3
+        GROUP BY ALL""")
+
+
+@query("dynamic_overwrite_totals")
+def _dynamic(p: Stages) -> DataFrame:
+    """One year written again replaces its own partition and no other."""
+    path = write_table(p.fact, scratch_path(p.spark, "fact"), FACT_PARTITION_COL)
+    again = p.fact.filter(F.col(FACT_PARTITION_COL) == PRUNED_YEAR)
+    write_table(again.withColumn("Number_of_Casualties", F.col("Number_of_Casualties") + 1), path,
+                FACT_PARTITION_COL, dynamic_overwrite=True)
+    return (p.spark.read.parquet(path).groupBy(FACT_PARTITION_COL)
+             .agg(F.count(F.lit(1)).alias("accidents"), F.sum("Number_of_Casualties").alias("casualties")))
+
+
+@query("hashed_keys_roads")
+def _hashed(p: Stages) -> DataFrame:
+    """With hashed keys every accident finds its own road attributes again."""
+    star = build_star(p.clean, keys="hash", null_safe=True)
+    cols, key = DIMENSIONS["dim_road"]
+    return star.fact.join(p.dim("dim_road", star), key).select(KEY_COL, *cols)
+
+
 # ------------------------------------------------------------------- dedup
 @query("dedup_accidents")
 def _dedup(p: Stages) -> DataFrame:

@@ -316,6 +316,13 @@ def _register() -> None:
     o["year_pruned_count"] = with_star(
         "SELECT Year_Derived, COUNT(*) AS accidents, CAST(SUM(Number_of_Casualties) AS BIGINT) AS casualties "
         "FROM fact WHERE Year_Derived = 1996 GROUP BY Year_Derived")
+    o["views_road_vehicles"] = with_star(
+        "SELECT Road_Type, CAST(SUM(Number_of_Vehicles) AS BIGINT) AS vehicles FROM fact JOIN dim_road USING (road_key) "
+        "WHERE Number_of_Casualties >= 3 GROUP BY Road_Type")
+    o["dynamic_overwrite_totals"] = with_star(
+        "SELECT Year_Derived, COUNT(*) AS accidents, CAST(SUM(Number_of_Casualties + CASE WHEN Year_Derived = 1996 "
+        "THEN 1 ELSE 0 END) AS BIGINT) AS casualties FROM fact GROUP BY Year_Derived")
+    o["hashed_keys_roads"] = with_base("SELECT Accident_Index, Road_Type, Speed_limit, Junction_Detail, Junction_Control FROM clean")
     # dedup
     o["dedup_accidents"] = with_base("SELECT * FROM dedup")
     o["dedup_summary"] = with_raw(
