@@ -65,11 +65,17 @@ LEAF_VALUES = 10_000  # distinct values that one window may sort
 FANOUT = 64           # parts a larger range is cut into
 
 
+def _rows(spark, schema: str, rows: list[tuple]) -> DataFrame:
+    """A few rows as literals of the plan."""
+    fields = [f.split() for f in schema.split(", ")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 def _find(table: DataFrame, ranges: dict) -> DataFrame:
     """Rows of ``table`` inside each ``{(column, lo, hi): id}`` (a few ranges: at most two per quantile)."""
-    spark = table.sparkSession
-    side = spark.createDataFrame([(i, c, lo, hi) for (c, lo, hi), i in ranges.items()],
-                                 "_r int, _rc int, _lo double, _hi double")
+    side = _rows(table.sparkSession, "_r int, _rc int, _lo double, _hi double",
+                 [(i, c, lo, hi) for (c, lo, hi), i in ranges.items()])
     return table.join(F.broadcast(side), (F.col("_c") == F.col("_rc")) & F.col("_v").between(F.col("_lo"), F.col("_hi")))
 
 
@@ -118,9 +124,8 @@ def table_quantiles(table: DataFrame, wants: dict[int, list[float]], leaf: int =
     values: dict[tuple[int, int], float] = {}
     if at:
         ranges = numbered(at)
-        asked = table.sparkSession.createDataFrame(
-            [(ranges[c, lo, hi], rank, rank - before) for (c, rank), (lo, hi, before, _) in at.items()],
-            "_r int, _rank bigint, _local bigint")
+        asked = _rows(table.sparkSession, "_r int, _rank bigint, _local bigint",
+                      [(ranges[c, lo, hi], rank, rank - before) for (c, rank), (lo, hi, before, _) in at.items()])
         upto = Window.partitionBy("_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         found = (_find(table, ranges).withColumn("_cum", F.sum("_n").over(upto))
                  .join(F.broadcast(asked), "_r").filter(F.col("_cum") > F.col("_local"))
