@@ -9,13 +9,20 @@ High-recall generators propose spans of four kinds, which may overlap:
   numbers without ``+``; and the base matches that fail their check.
 
 Format and context features of a candidate (number of digits, separators, the
-characters around it, a cue word before it, its first digit) go to gradient
+characters around it, a cue word before it, its first digit; of a card also its
+Luhn result and whether it has an issuer's prefix and length) go to gradient
 boosted trees. They learn which base matches pass their check, which the
 features don't show, so that a score says how much a span looks like the real
-ones of its kind. As the features have few values, the corpus is counted
+ones of its kind. Of cards, whose check is a feature, they learn another thing: how
+many of the matches that pass are more than chance. One number in ten passes the
+Luhn check by chance, so each match that fails stands for 1/9 of a match of equal
+features that passes and is none. As the features have few values, the corpus is counted
 into cells of equal features first, all of it, and the trees are boosted on those counts.
 Each kind's threshold is the least score from which on at least ``precision`` of the
-held-out candidates are real; candidates above it are redacted as well.
+candidates are real, each scored by trees that have not seen its document. That
+share is smoothed towards the share of all kinds together from that score on, and
+that one towards what the score itself says, so that every kind has a finite
+threshold at every size. Candidates above it are redacted as well.
 
 Built-in functions throughout; the trees become one expression.
 """
@@ -28,7 +35,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import fresh, held_out, id_and_text
+from roadlens.llm.common import fresh, id_and_text
 from roadlens.llm.line_rules import let
 
 KINDS = ("email", "ip", "card", "phone")
@@ -49,7 +56,13 @@ LOOSE = {
     "phone": r"(?<![0-9+()./-])(?<![0-9+]\x20)(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])",
 }
 CUES = r"(?i)(?:mail|contact|phone|tel|call|fax|mobile|cell|card|visa|account|host|server|address|ip)[^\n]{0,16}$"
-FEATURES = ("kind", "digits", "separators", "before", "after", "cue", "lead")
+#: Prefixes and lengths that card issuers use.
+ISSUERS = r"^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|(?:5[1-5]|2[2-7])[0-9]{14}|3[47][0-9]{13}|3(?:0[0-5]|[689][0-9])[0-9]{11}|(?:6011|64[4-9][0-9]|65[0-9]{2}|35[2-8][0-9]|62[0-9]{2})[0-9]{12,15}|(?:50|5[6-9]|6[0-9])[0-9]{10,17})$"
+FEATURES = ("kind", "digits", "separators", "before", "after", "cue", "lead", "check", "issuer")
+#: Documents are dealt to so many folds for calibration; each is scored by trees of the others.
+FOLDS = 5
+#: Candidates that a smoothed share of real ones is worth before any is counted.
+PRIOR = 4.0
 _FIELDS = "struct<start:int,end:int,base:boolean,loose:boolean," + ",".join(f"{f}:int" for f in FEATURES) + ">"
 
 
@@ -79,7 +92,7 @@ def _passes(kind: str, match: Column) -> Column:
     if kind == "ip":
         return F.forall(F.split(match, r"\."), lambda p: let(F.ltrim(p, F.lit("0")), lambda t: (F.length(t) <= 3) & (F.concat(F.lit("0"), F.substring(t, 1, 3)).cast("int") <= 255)))
     if kind == "card":
-        return let(F.regexp_replace(match, "[ -]", ""), lambda d: F.length(d).between(12, 19) & F.call_function("luhn_check", F.substring(d, 1, 19)))
+        return let(F.regexp_replace(match, "[^0-9]", ""), lambda d: F.length(d).between(12, 19) & F.call_function("luhn_check", F.substring(d, 1, 19)))
     if kind == "phone":
         return F.length(F.regexp_replace(match, "[^0-9]", "")).between(9, 15)
     return F.lit(True)
@@ -99,11 +112,14 @@ def _found(text: Column, kind: str, loose: bool) -> Column:
                 digits = F.length(F.regexp_replace(x, "[^0-9]", ""))
                 separators = F.when(x.rlike(r"[\[(]"), 4).when(x.contains(" "), 1).when(x.contains("-"), 2).when(x.contains("."), 3).otherwise(0)
                 lead = F.regexp_extract(x, r"^\D{0,3}([0-9])", 1)
+                passes = _passes(kind, x)
+                check, issuer = (passes, F.regexp_replace(x, "[^0-9]", "").rlike(ISSUERS)) if kind == "card" else (F.lit(False), F.lit(False))
                 return F.struct(
-                    start.alias("start"), (start + F.length(x)).alias("end"), (F.lit(False) if loose else _passes(kind, x)).alias("base"), F.lit(loose).alias("loose"),
+                    start.alias("start"), (start + F.length(x)).alias("end"), (F.lit(False) if loose else passes).alias("base"), F.lit(loose).alias("loose"),
                     F.lit(KINDS.index(kind)).alias("kind"), F.least(digits, F.lit(20)).alias("digits"), separators.alias("separators"),
                     _side(F.right(left, F.lit(1))).alias("before"), _side(F.left(F.get(pieces, i + 1), F.lit(1))).alias("after"),
                     F.right(left, F.lit(24)).rlike(CUES).cast("int").alias("cue"), F.when(lead == "", 10).otherwise(lead.cast("int")).alias("lead"),
+                    check.cast("int").alias("check"), issuer.cast("int").alias("issuer"),
                 ).cast(_FIELDS)
 
             return let(running(steps), lambda starts: F.transform(m, lambda x, i: one(x, i, starts)))
@@ -162,9 +178,9 @@ class Model:
         return value >= F.get(F.array(*[F.lit(t) for t in self.thresholds]), c["kind"])
 
 
-def boost(cells: list[tuple[dict[str, int], int, int]], rounds: int = 30, depth: int = 3, rate: float = 0.3) -> tuple[list[Tree], float]:
-    """Gradient boosted trees for the logistic loss. cells: features, how many candidates, how many of them real."""
-    total, real = sum(n for _, n, _ in cells), sum(p for *_, p in cells)
+def boost(cells: list[tuple[dict[str, int], int, float]], rounds: int = 30, depth: int = 3, rate: float = 0.3) -> tuple[list[Tree], float]:
+    """Gradient boosted trees for the logistic loss. cells: features, how many candidates, how many of them real (an estimate, which may be below 0)."""
+    total, real = sum(n for _, n, _ in cells), max(0.0, sum(p for *_, p in cells))
     base = math.log((real + 0.5) / (total - real + 0.5))
     z, trees = [base] * len(cells), []
 
@@ -201,27 +217,76 @@ def boost(cells: list[tuple[dict[str, int], int, int]], rounds: int = 30, depth:
     return trees, base
 
 
-def train(found: DataFrame, precision: float = 0.98, least: int = 50) -> Model:
-    """Boost on four fifths of the documents, calibrate on the rest; ``found`` as candidates() gives it.
+def _targets(counts: dict[tuple, tuple[int, int]]) -> list[tuple[dict[str, int], int, float]]:
+    """Cells with targets, of (candidates, passing ones) by features; for cards, passing ones beyond chance."""
+    check, card = FEATURES.index("check"), KINDS.index("card")
+    out: dict[tuple, list] = {}
+    for key, (n, real) in sorted(counts.items()):
+        cell = out.setdefault(key, [0, 0.0])
+        cell[0] += n
+        cell[1] += real
+        if key[0] == card and not key[check] and 12 <= key[1] <= 19:
+            out.setdefault((*key[:check], 1, *key[check + 1 :]), [0, 0.0])[1] -= n / 9
+    return [(dict(zip(FEATURES, key, strict=True)), n, real) for key, (n, real) in sorted(out.items())]
 
-    All base matches of all rows count. The driver gets one row a cell, of
-    which there are at most 4 x 21 x 5 x 5 x 5 x 2 x 11. A kind whose held-out matches above
-    any score are fewer than ``least``, or not precise enough, gets no added span.
+
+def thresholds(scored: list[tuple[int, float, int, float]], precision: float) -> list[float]:
+    """For each kind, the least score from which on the smoothed share of real ones is ``precision``; always finite.
+
+    scored: kind, score, how many candidates, how many of them real. A kind is
+    tried at its own scores and, above all of these, at the other kinds'.
     """
-    one = found.select(held_out("doc_id", 5, 0).alias("check"), F.explode("found").alias("c")).where("not c.loose")
-    counts = one.groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES], "check").agg(F.count("*").alias("n"), F.sum(F.col("c.base").cast("long")).alias("real"))
-    rows = sorted(counts.collect(), key=lambda r: (*[r[f] for f in FEATURES], r.check))
-    cells = [({f: r[f] for f in FEATURES}, r.n, r.real, r.check) for r in rows]
-    trees, base = boost([c[:3] for c in cells if not c[3]])
-    model = Model(trees, base, [math.inf] * len(KINDS))
+    sure = math.log(precision / (1 - precision)) if precision < 1 else 30.0
+    tried = sorted({v for _, v, _, _ in scored} | {sure}, reverse=True)
+    out = []
     for kind in range(len(KINDS)):
-        ranked = sorted(((model.value(c), n, real) for c, n, real, check in cells if check and c["kind"] == kind), reverse=True)
-        n = real = 0
-        for i, (value, m, r) in enumerate(ranked):
-            n, real = n + m, real + r
-            if (i + 1 == len(ranked) or ranked[i + 1][0] < value) and n >= least and real >= precision * n:
-                model.thresholds[kind] = value
-    return model
+        ranked = sorted(((v, k == kind, n, real) for k, v, n, real in scored), reverse=True)
+        highest = max((v for k, v, n, _ in scored if k == kind and n), default=-math.inf)
+        own = {v for k, v, n, _ in scored if k == kind and n}
+        found = max(tried[0], sure) + 1.0
+        n = real = every = every_real = 0.0
+        at = 0
+        for t in tried:
+            while at < len(ranked) and ranked[at][0] >= t:
+                _, mine, m, r = ranked[at]
+                every, every_real = every + m, every_real + r
+                if mine:
+                    n, real = n + m, real + r
+                at += 1
+            says = 1 / (1 + math.exp(-max(-30.0, min(30.0, t))))
+            pooled = (every_real + PRIOR * says) / (every + PRIOR)
+            if (t in own or t > highest) and real + PRIOR * pooled >= precision * (n + PRIOR):
+                found = t
+        out.append(found)
+    return out
+
+
+def train(found: DataFrame, precision: float = 0.98) -> Model:
+    """Boost on all documents, calibrate by trees of four fifths on the fifth they haven't seen; ``found`` as candidates() gives it.
+
+    All base matches of all rows count; a row without an id goes to a fold by
+    its text. The driver gets one row a cell and fold, of which there are at
+    most 4 x 21 x 5 x 5 x 5 x 2 x 11 x 2 x 2 cells.
+    """
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.col("text")).cast("binary")) % FOLDS
+    one = found.select(fold.cast("int").alias("fold"), F.explode("found").alias("c")).where("not c.loose")
+    counts = one.groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES], "fold").agg(F.count("*").alias("n"), F.sum(F.col("c.base").cast("long")).alias("real"))
+    rows = [(r.fold, tuple(r[f] for f in FEATURES), r.n, r.real) for r in counts.collect()]
+
+    def cells(of) -> list[tuple[dict[str, int], int, float]]:
+        sums: dict[tuple, tuple[int, int]] = {}
+        for k, key, n, real in rows:
+            if of(k):
+                had = sums.get(key, (0, 0))
+                sums[key] = (had[0] + n, had[1] + real)
+        return _targets(sums)
+
+    scored = []
+    for out in range(FOLDS):
+        seen, unseen = cells(lambda k, out=out: k != out), cells(lambda k, out=out: k == out)
+        model = Model(*boost(seen), [])
+        scored += [(c["kind"], model.value(c), n, real) for c, n, real in unseen]
+    return Model(*boost(cells(lambda k: True)), thresholds(scored, precision))
 
 
 def _joined(spans: Column) -> Column:

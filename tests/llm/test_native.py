@@ -140,3 +140,31 @@ def test_mix_meets_its_targets(frame):
     words = {r.doc_id: r.n for r in docs.groupBy("doc_id").agg(F.sum(F.regexp_count("text", F.lit(WORD))).alias("n")).collect()}
     assert words == {r.doc_id: r.taken for r in mixed.collect() if r.taken} and docs.columns == df.columns
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_every_kind_has_a_threshold_at_every_size(frame):
+    rng = random.Random(8)
+
+    def card(real):
+        d = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        return next(d + c for c in "0123456789" if _luhn(d + c) == real)
+
+    few = [(i, f"see user{i}@mail.example.com or +1 (234) 555-{1000 + i}; card {card(True)}, host 10.0.0.{i}, part {card(True).replace('4', '7', 1)}") for i in range(40)]
+    for n in (0, 3, 40):
+        model = pii.train(pii.candidates(frame(few[:n])))
+        assert all(abs(t) < 100 for t in model.thresholds)
+    rows = [*few, (1000, "host 10[.]0[.]0[.]7, mail jo (at) mail (dot) example (dot) com"), (None, "a@b.co")]
+    spans = {r.doc_id: r for r in pii.find_spans(frame(rows)).collect()}
+    assert {s.kind for s in spans[1000].spans} == {0, 1} and not spans[1000].base
+
+
+def test_card_targets_are_matches_beyond_chance():
+    def cell(lead, check):
+        return tuple({"kind": 2, "digits": 16, "lead": lead, "check": check, "issuer": int(lead == 4)}.get(f, 0) for f in pii.FEATURES)
+
+    got = pii._targets({cell(4, 1): (158, 158), cell(4, 0): (11, 0), cell(5, 1): (2, 2), cell(5, 0): (20, 0)})
+    real = {(c["lead"], c["check"]): p for c, _, p in got}
+    assert real == pytest.approx({(4, 0): 0, (4, 1): 158 - 11 / 9, (5, 0): 0, (5, 1): 2 - 20 / 9})
+    trees, base = pii.boost(got)
+    value = {k: pii.Model(trees, base, []).value(c) for c, n, p in got for k in [(c["lead"], c["check"])]}
+    assert value[4, 1] > 2 and max(value[4, 0], value[5, 0], value[5, 1]) < 0
