@@ -5,8 +5,14 @@ High-recall generators propose spans of four kinds, which may overlap:
 * the base patterns. A match that passes its check (parts up to 255, Luhn,
   number of digits) is a base span and is always redacted;
 * looser patterns, for spellings that avoid the base ones: ``name (at) host
-  (dot) tld``, addresses with ``[.]``, cards in dotted groups, national phone
-  numbers without ``+``; and the base matches that fail their check.
+  (dot) tld``, addresses with ``[.]`` or ``dot``, cards in dotted or spaced groups, phone
+  numbers with ``00``, a trunk 0, an area code or digits as words; and the base matches that fail their check;
+* numbers inside a base match that runs on into what follows it and so fails
+  its check: phone numbers cut at a separator (the shortest and the longest of
+  9 to 15 digits), cards at the start, in the middle or at the end of a
+  run of digits, addresses after a number and a dot.
+
+A looser span that overlaps a base span of its kind is no candidate.
 
 Format and context features of a candidate (number of digits, separators, the
 characters around it, a cue word before it, its first digit; of a card also its
@@ -49,12 +55,35 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _LABEL = "[A-Za-z0-9-]{1,63}"
-LOOSE = {
-    "email": rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}\x20?[(\[](?:at|AT)[)\]]\x20?{_LABEL}(?:(?:\x20?[(\[](?:dot|DOT)[)\]]\x20?|\.){_LABEL}){{1,5}}",
-    "ip": r"(?<![0-9.\]])[0-9]{1,3}(?:\[\.\][0-9]{1,3}){3}(?![0-9])",
-    "card": r"(?<![0-9.])[0-9]{4}(?:\.[0-9]{4}){2}\.[0-9]{1,7}(?![0-9.])",
-    "phone": r"(?<![0-9+()./-])(?<![0-9+]\x20)(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])",
-}
+_AT, _DOT = r"\x20?[(\[{<](?:at|AT|@)[)\]}>]\x20?", r"\x20?[(\[{<](?:dot|DOT|\.)[)\]}>]\x20?"
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?![0-9])"
+_GROUPS = r"(?:[0-9]{4}(?:[\x20-][0-9]{4}){3}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{5})"
+_WIDE = r"(?:[./_: ‐-―]|\x20-\x20|\x20{2,3}|\[[.-]\])"
+_PLUS = r"\+[0-9](?:[\x20().-]{0,3}[0-9])"
+_NEW, _OVER = "(?<![0-9+]|[0-9][./-])", r"(?![0-9]|[./-][0-9])"
+_NATIONAL = "|".join([
+    rf"{_NEW}(?:\([0-9]{{3}}\)\x20?|[0-9]{{3}}[\x20./-])[0-9]{{3}}[\x20./-][0-9]{{4}}{_OVER}",
+    # nine digits at least, and no date
+    rf"{_NEW}(?=\(?0(?:[\x20)./-]{{0,2}}[0-9]){{8}})(?![0-9]{{2}}[./-][0-9]{{2}}[./-](?:[0-9]{{4}}|[0-9]{{2}})(?![0-9]|[./-][0-9]))(?:\(0[0-9]{{1,4}}\)[\x20./-]?|0[1-9][0-9]{{0,4}}[\x20./-])[0-9]{{2,8}}(?:[\x20./-][0-9]{{2,5}}){{0,3}}{_OVER}",
+    rf"{_NEW}00[1-9](?:[\x20().-]{{0,2}}[0-9]){{7,11}}{_OVER}",
+    r"(?:\+|\b(?:plus|PLUS|Plus)\x20?)[0-9](?:(?:[\x20().-]{0,3}|[/_ ‐-―]|\[[.-]\]|\x20?[(\[]?(?:dot|DOT|dash|DASH)[)\]]?\x20?)[0-9]){8,14}(?![0-9])",
+    r"(?<![0-9])[0-9]{3}(?:\[[.-]\]|\x20?[(\[]?(?:dot|DOT|dash|DASH)[)\]]?\x20?)[0-9]{3}(?:\[[.-]\]|\x20?[(\[]?(?:dot|DOT|dash|DASH)[)\]]?\x20?)[0-9]{4}(?![0-9])",
+])
+_DIGIT = "(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
+#: (kind, pattern); each pattern's matches are found on their own, so they may overlap.
+LOOSE = [
+    ("email", rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}(?:{_AT}{_LABEL}(?:(?:{_DOT}|\x20(?:dot|DOT)\x20|\.){_LABEL}){{1,5}}|@{_LABEL}(?:(?:{_DOT}){_LABEL}){{1,5}}|\x20(?:at|AT)\x20{_LABEL}(?:(?:{_DOT}|\x20(?:dot|DOT)\x20){_LABEL}){{1,5}})"),
+    ("ip", rf"(?<![0-9.\]]){_OCTET}(?!(?:\.[0-9]{{1,3}}){{3}})(?:(?:{_DOT}|\x20(?:dot|DOT)\x20|\.){_OCTET}){{3}}"),
+    ("ip", rf"(?<=[0-9]\.){_OCTET}(?:\.{_OCTET}){{3}}"),
+    ("card", rf"(?<![0-9]|[0-9][./_:])(?:[0-9]{{4}}(?:{_WIDE}[0-9]{{4}}){{2}}{_WIDE}[0-9]{{1,7}}|[0-9]{{4}}{_WIDE}[0-9]{{6}}{_WIDE}[0-9]{{4,5}})(?![0-9]|[./_:][0-9])"),
+    ("card", rf"(?<![0-9]|[0-9][\x20-]){_GROUPS}(?![0-9])"),
+    ("card", rf"(?<![0-9])(?:[0-9]{{12,19}}|{_GROUPS})(?![0-9])"),
+    ("card", rf"(?<![0-9]){_GROUPS}(?![\x20-]?[0-9])"),
+    ("phone", rf"{_PLUS}{{8,14}}?(?![0-9]|[.-][0-9])"),
+    ("phone", rf"{_PLUS}{{8,14}}(?![0-9]|[.-][0-9])"),
+    ("phone", _NATIONAL),
+    ("phone", rf"(?i)\b{_DIGIT}(?:[\x20,-]{{1,2}}{_DIGIT}){{6,14}}\b"),
+]
 CUES = r"(?i)(?:mail|contact|phone|tel|call|fax|mobile|cell|card|visa|account|host|server|address|ip)[^\n]{0,16}$"
 #: Prefixes and lengths that card issuers use.
 ISSUERS = r"^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|(?:5[1-5]|2[2-7])[0-9]{14}|3[47][0-9]{13}|3(?:0[0-5]|[689][0-9])[0-9]{11}|(?:6011|64[4-9][0-9]|65[0-9]{2}|35[2-8][0-9]|62[0-9]{2})[0-9]{12,15}|(?:50|5[6-9]|6[0-9])[0-9]{10,17})$"
@@ -98,9 +127,8 @@ def _passes(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _found(text: Column, kind: str, loose: bool) -> Column:
+def _found(text: Column, kind: str, pattern: str, loose: bool) -> Column:
     """The matches of one pattern, with places in code points and features."""
-    pattern = (LOOSE if loose else BASE)[kind]
 
     def of(pieces: Column) -> Column:
         def placed(m: Column) -> Column:
@@ -109,7 +137,7 @@ def _found(text: Column, kind: str, loose: bool) -> Column:
             def one(x: Column, i: Column, starts: Column) -> Column:
                 left = F.get(pieces, i)
                 start = F.get(starts, i) + F.length(left)
-                digits = F.length(F.regexp_replace(x, "[^0-9]", ""))
+                digits = F.regexp_count(x, F.lit(rf"(?i){_DIGIT}")) if _DIGIT in pattern else F.length(F.regexp_replace(x, "[^0-9]", ""))
                 separators = F.when(x.rlike(r"[\[(]"), 4).when(x.contains(" "), 1).when(x.contains("-"), 2).when(x.contains("."), 3).otherwise(0)
                 lead = F.regexp_extract(x, r"^\D{0,3}([0-9])", 1)
                 passes = _passes(kind, x)
@@ -137,18 +165,20 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _with_candidates(df: DataFrame, text_col: str, out: str) -> DataFrame:
     text, none = F.coalesce(F.col(text_col), F.lit("")), F.array().cast(f"array<{_FIELDS}>")
     lower = F.lower(text)
-    gates = {
-        ("email", False): text.contains("@"), ("email", True): lower.contains("(at)") | lower.contains("[at]"),
-        ("ip", False): text.rlike(r"[0-9]\.[0-9]"), ("ip", True): text.contains("[.]"),
-        ("card", False): text.rlike(r"[0-9](?:[\x20-]?[0-9]){6}"), ("card", True): text.rlike(r"[0-9]{4}\.[0-9]{4}"),
-        ("phone", False): text.rlike(r"\+[0-9]"), ("phone", True): text.rlike(r"[0-9]{3}[.-][0-9]{4}"),
-    }
-    (number,) = fresh(df, "number")
+    at, dot, runs = lower.rlike(r"[(\[{<](?:at|@)[)\]}>]"), lower.rlike(r"[(\[{<](?:dot|\.)[)\]}>]|\sdot\s"), text.rlike(r"[0-9](?:[\x20-]?[0-9]){6}")
+    base = {"email": text.contains("@"), "ip": text.rlike(r"[0-9]\.[0-9]"), "card": runs, "phone": text.rlike(r"\+[0-9]")}
+    # no match without the gate; a number's looser matches need a base match that fails, or a spelling of their own
+    over = text.rlike(r"\+[0-9](?:[\x20().-]*[0-9]){15}")
+    long = text.rlike(r"[0-9](?:[\x20-]?[0-9]){12}")
+    gates = [at | dot, dot, text.rlike(r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]+\.[0-9]"), text.rlike(rf"[0-9]{{4}}{_WIDE}[0-9]{{4}}"), long, long, long, over, over, text.rlike(r"[0-9][^0-9]{0,8}[0-9][^0-9]{0,8}[0-9]{2}"), lower.rlike(rf"{_DIGIT}[\x20,-]{{1,2}}{_DIGIT}")]
+    number, sure, more = fresh(df, "number", "sure", "more")
     marked = df.withColumn(number, text.rlike("[0-9]"))
-    parts = []
-    for (kind, loose), gate in gates.items():
-        parts.append(F.when(gate if kind == "email" else F.col(number) & gate, _found(text, kind, loose)).otherwise(none))
-    return marked.withColumn(out, F.concat(*parts)).drop(number)
+    first = [F.when(gate if kind == "email" else F.col(number) & gate, _found(text, kind, BASE[kind], False)).otherwise(none) for kind, gate in base.items()]
+    rest = [F.when(gate if kind == "email" or _DIGIT in pattern else F.col(number) & gate, _found(text, kind, pattern, True)).otherwise(none) for (kind, pattern), gate in zip(LOOSE, gates, strict=True)]
+    marked = marked.withColumn(sure, F.concat(*first)).withColumn(more, F.array_distinct(F.concat(*rest)))
+    spans = F.filter(sure, lambda s: s["base"])
+    apart = F.filter(more, lambda c: ~F.exists(spans, lambda s: (s["kind"] == c["kind"]) & (s["start"] < c["end"]) & (c["start"] < s["end"])))
+    return marked.withColumn(out, F.when(F.size(more) == 0, F.col(sure)).otherwise(F.concat(sure, apart))).drop(number, sure, more)
 
 
 Tree = tuple  # (feature, cut, left, right) or (value,)

@@ -168,3 +168,37 @@ def test_card_targets_are_matches_beyond_chance():
     trees, base = pii.boost(got)
     value = {k: pii.Model(trees, base, []).value(c) for c, n, p in got for k in [(c["lead"], c["check"])]}
     assert value[4, 1] > 2 and max(value[4, 0], value[5, 0], value[5, 1]) < 0
+
+
+def test_numbers_inside_failed_matches_and_other_spellings_are_proposed(frame):
+    want = {
+        1: ("des +1 (826) 555-4081 190.137.223.204 du", "phone", "+1 (826) 555-4081"),
+        2: ("des +1 (843) 555-7672 170.106.47.218 et", "phone", "+1 (843) 555-7672"),
+        3: ("tel +33 1 23 45 67 89 190.1.1.1", "phone", "+33 1 23 45 67 89"),
+        4: ("een 7536784127813050 4845168114407329 que", "card", "4845168114407329"),
+        5: ("555-4081 4111 1111 1111 1111x", "card", "4111 1111 1111 1111"),
+        6: ("build 2024.190.137.223.204", "ip", "190.137.223.204"),
+        7: ("call 030 1234 5678, please", "phone", "030 1234 5678"),
+        8: ("call 0049 170 1234567", "phone", "0049 170 1234567"),
+        9: ("call +1/826/555-4081/ and", "phone", "+1/826/555-4081"),
+        10: ("call five five five, one two three four five", "phone", "five five five, one two three four five"),
+        11: ("jo at mail dot example dot com", "email", "jo at mail dot example dot com"),
+        12: ("jo@mail[.]com", "email", "jo@mail[.]com"),
+        13: ("10 dot 0 dot 0 dot 7", "ip", "10 dot 0 dot 0 dot 7"),
+        14: ("4111/1111/1111/1111", "card", "4111/1111/1111/1111"),
+        15: ("is 826 555-4081.", "phone", "826 555-4081"),
+    }
+    found = pii.candidates(frame([(i, t) for i, (t, *_) in want.items()]))
+    for r in found.collect():
+        text, kind, span = want[r.doc_id]
+        got = {(pii.KINDS[c.kind], text[c.start : c.end]) for c in r.found if not c.base}
+        assert (kind, span) in got, (text, got)
+    clean = pii.candidates(frame([(1, "+1 (234) 555-7713 or a@b.co, 4111 1111 1111 1111 and 10.0.0.7 on 01/02/2024")])).collect()[0]
+    assert not any(c.loose for c in clean.found)
+
+
+def test_a_phone_that_runs_into_an_address_is_redacted_alone(frame):
+    rows = [(i, f"call +1 (234) 555-{1000 + i} now") for i in range(300)]
+    rows += [(1000, "des +1 (826) 555-4081 190.137.223.204 du")]
+    texts = {r.doc_id: r.text for r in pii.redact(frame(rows)).collect()}
+    assert texts[1000] == "des [PHONE] [IP] du"
