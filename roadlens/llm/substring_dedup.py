@@ -50,18 +50,15 @@ MERGED = 40_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _PLACE = np.uint64((1 << 24) - 1)
-#: Bytes of a word's hash that travel.
-WIDE = 5
+#: Up to so many repeated ids are broadcast, so that rows of other ids travel without a digest.
+FEW_IDS = 100_000
+#: Words of more bytes than this travel as a digest of 128 bits; all others as they are.
+LONG = 40
 
 
-def _packed(words: np.ndarray) -> bytes:
-    return words.view(np.uint8).reshape(-1, 8)[:, :WIDE].tobytes()
-
-
-def _unpacked(words: bytes) -> np.ndarray:
-    out = np.zeros((len(words) // WIDE, 8), np.uint8)
-    out[:, :WIDE] = np.frombuffer(words, np.uint8).reshape(-1, WIDE)
-    return out.view(np.uint64).ravel()
+def _travelling(words: list[bytes]) -> list[bytes]:
+    """The words, long ones as a line feed, which no word holds, and their digest."""
+    return [w if len(w) <= LONG else b"\n" + xxhash.xxh3_128_hexdigest(w).encode() for w in words]
 
 
 @lru_cache(maxsize=1)
@@ -159,7 +156,7 @@ class FmIndex:
 def _repeated(contents: list[np.ndarray], owner: np.ndarray, size: int) -> list[np.ndarray]:
     """For each distinct segment (its words), which of its windows start earlier elsewhere.
 
-    owner: rows of (id, text hash, first word) of the segments.
+    owner: rows of (id, two halves of the text's digest, first word) of the segments.
     """
     sizes = np.array([len(c) for c in contents])
     starts = np.cumsum(sizes + 1) - (sizes + 1)
@@ -174,7 +171,7 @@ def _repeated(contents: list[np.ndarray], owner: np.ndarray, size: int) -> list[
     segment = np.repeat(np.arange(len(sizes)), sizes + 1)
     offset = np.arange(n) - starts[segment]
     windows = np.flatnonzero(offset <= sizes[segment] - size)
-    by_place = np.lexsort((owner[segment[windows], 2] + offset[windows], owner[segment[windows], 1], owner[segment[windows], 0]))
+    by_place = np.lexsort((owner[segment[windows], 3] + offset[windows], owner[segment[windows], 2], owner[segment[windows], 1], owner[segment[windows], 0]))
     place = np.full(n, n, np.int64)  # of the windows, in the order that decides
     place[windows[by_place]] = np.arange(len(windows))
 
@@ -205,8 +202,8 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b - a)) for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
-_PIECE = pa.schema([("shard", pa.int64()), ("id", pa.int64()), ("th", pa.int32()), ("start", pa.int64()), ("run", pa.int64()), ("words", pa.binary())])
-_RANGE = pa.schema([("id", pa.int64()), ("th", pa.int32()), ("start", pa.int64()), ("run", pa.int64())])
+_PIECE = pa.schema([("shard", pa.int64()), ("id", pa.int64()), ("th", pa.int64()), ("tl", pa.int64()), ("start", pa.int64()), ("run", pa.int64()), ("words", pa.binary())])
+_RANGE = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("tl", pa.int64()), ("start", pa.int64()), ("run", pa.int64())])
 
 
 def _pieces_of(batches, size: int, shards: int):
@@ -227,8 +224,8 @@ def _pieces_of(batches, size: int, shards: int):
         elif known[0] != place:  # a repeated row is no copy of itself
             first, second = sorted((known[0], place))
             merged[words] = (first, run, shard)
-            if out and out[-1][1:3] == second[:2] and out[-1][3] + out[-1][4] == second[2]:
-                out[-1] = (*out[-1][:4], out[-1][4] + run, None)
+            if out and out[-1][1:4] == second[:3] and out[-1][4] + out[-1][5] == second[3]:
+                out[-1] = (*out[-1][:5], out[-1][5] + run, None)
             else:
                 out.append((second[1] % shards, *second, run, None))
 
@@ -237,18 +234,19 @@ def _pieces_of(batches, size: int, shards: int):
             found = part.column("found")
             ends = found.offsets.to_numpy()
             starts, runs, anchors, common = (found.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "run", "anchor", "common"))
-            for row, (i, th, text) in enumerate(zip(part.column("id").to_pylist(), part.column("th").to_pylist(), part.column("text").cast(pa.binary()).to_pylist(), strict=True)):
-                words = _hashes(text)
-                packed = _packed(words)
+            for row, (*key, text) in enumerate(zip(*(part.column(c).to_pylist() for c in ("id", "th", "tl")), part.column("text").cast(pa.binary()).to_pylist(), strict=True)):
+                words = _travelling((text or b"").split())
+                whole_text = b" ".join(words)
+                at_byte = np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
                 here = slice(ends[row], ends[row + 1])
                 for at in (np.argsort(starts[here], kind="stable") + ends[row]).tolist():
                     start, run = int(starts[at]), int(runs[at])
                     if common[at]:
                         for k in range(start, start + run):
-                            window = packed[k * WIDE : (k + size) * WIDE]
-                            add(window, (i, th, k), 1, xxhash.xxh3_64_intdigest(window) % shards)
+                            window = whole_text[at_byte[k] : at_byte[k + size] - 1]
+                            add(window, (*key, k), 1, xxhash.xxh3_64_intdigest(window) % shards)
                     else:
-                        add(packed[start * WIDE : (start + run + size - 1) * WIDE], (i, th, start), run, int(anchors[at]) % shards)
+                        add(whole_text[at_byte[start] : at_byte[start + run + size - 1] - 1], (*key, start), run, int(anchors[at]) % shards)
                     if len(merged) + len(out) > MERGED and (made := batch()):
                         yield made
     if made := batch():
@@ -259,8 +257,8 @@ def _shard(table: pa.Table, size: int) -> pa.Table:
     """Ranges of windows to remove, of the segments of one shard."""
     ranges: list[tuple] = []
     merged: dict[bytes, tuple] = {}
-    for i, th, start, run, words in zip(*(table.column(c).to_pylist() for c in ("id", "th", "start", "run", "words")), strict=True):
-        place = (i, th, start)
+    for *place, run, words in zip(*(table.column(c).to_pylist() for c in ("id", "th", "tl", "start", "run", "words")), strict=True):
+        place = tuple(place)
         if words is None:
             ranges.append((*place, run))
         elif (known := merged.get(words)) is None or known == place:
@@ -268,12 +266,13 @@ def _shard(table: pa.Table, size: int) -> pa.Table:
         else:
             merged[words] = min(known, place)
             ranges.append((*max(known, place), run))
-    if len(merged) > 1 or merged and len(next(iter(merged))) > WIDE * size:
-        contents = [_unpacked(w) for w in merged]
+    if len(merged) > 1 or merged and next(iter(merged)).count(b" ") >= size:
+        codes: dict[bytes, int] = {}
+        contents = [np.array([codes.setdefault(w, len(codes)) for w in words.split(b" ")], np.int64) for words in merged]
         owner = np.array(list(merged.values()), np.int64)
-        for (i, th, start), flags in zip(merged.values(), _repeated(contents, owner, size), strict=True):
-            ranges += [(i, th, start + a, b) for a, b in _runs(flags)]
-    columns = zip(*ranges, strict=True) if ranges else [[]] * 4
+        for (*key, start), flags in zip(merged.values(), _repeated(contents, owner, size), strict=True):
+            ranges += [(*key, start + a, b) for a, b in _runs(flags)]
+    columns = zip(*ranges, strict=True) if ranges else [[]] * 5
     return pa.Table.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _RANGE.types, strict=True)], schema=_RANGE)
 
 
@@ -286,8 +285,11 @@ def _kept(batches, size: int):
                 if ranges:
                     cover = np.zeros(len(words) + 1, np.int64)
                     for r in ranges:
-                        cover[min(r["start"], len(words))] += 1
-                        cover[min(r["start"] + r["run"] + size - 1, len(words))] -= 1
+                        end = r["start"] + r["run"] + size - 1
+                        if end > len(words):
+                            raise ValueError(f"words {r['start']} to {end} of a text of {len(words)} words: not the text they were found in")
+                        cover[r["start"]] += 1
+                        cover[end] -= 1
                     kept = [w for w, c in zip(words, np.cumsum(cover).tolist(), strict=False) if not c]
                 else:
                     kept = words
@@ -301,42 +303,52 @@ def _kept(batches, size: int):
 def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 and kept_text (the words left, joined by one space).
 
-    A null text has no words. Rows with the same id are ordered by a 32-bit
-    hash of their texts; rows alike in id and that hash are one document, and
-    each gets that document's result. Words are compared by the hashes that
-    travel, of ``WIDE`` bytes each. Rows with a null id come after all others. An empty
+    A null text has no words. Rows with the same id are ordered by a 127-bit
+    digest of their texts; rows alike in id and that digest are one document, and
+    each gets that document's result. Words are compared as they are, those of more than
+    ``LONG`` bytes by a 128-bit digest. Rows with a null id come after all others. An empty
     table gives no rows; other columns aren't looked at. Texts are read whole.
     """
     if size < SEED:
         raise ValueError(f"size must be at least {SEED}")
     given = id_and_text(df, id_col, text_col)
-    docs = given.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.hash("text", F.col("doc_id").isNull()).alias("th"))
+    digest = F.md5(F.concat(F.when(F.col("doc_id").isNull(), "n").otherwise(""), F.coalesce("text", F.lit(""))).cast("binary"))
+    halves = [F.conv(F.substring(digest, start, 16), 16, -10).cast("long") for start in (1, 17)]
+    first = F.shiftrightunsigned(halves[0], 1)
+    # of null ids 0 or more, so that they come after the largest id too
+    halves = [F.when(F.col("doc_id").isNull(), first).otherwise(-1 - first).alias("th"), halves[1].alias("tl")]
+    docs = given.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), *halves)
+    # an id that one row has is all its identity: constants take no room on the way
+    several = checkpointed(given.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("several")))
+    if several.count() <= FEW_IDS:
+        needed = F.col("doc_id").isNull() | F.col("several").isNotNull()
+        marked = given.join(F.broadcast(several), F.col("doc_id") == F.col("several"), "left")
+        docs = marked.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), *(F.when(needed, h).otherwise(F.lit(none)).cast("long").alias(n) for h, n, none in zip(halves, ("th", "tl"), (-1, 0), strict=True)))
     n_bytes = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(16, -(-n_bytes // SHARD))
 
     def segments(batches):
         for whole in batches:
             for part in slices(whole, "text"):
-                made = [(i, th, *_segments(_hashes(text), size)) for i, th, text in zip(part.column("id").to_pylist(), part.column("th").to_pylist(), part.column("text").cast(pa.binary()).to_pylist(), strict=True)]
-                made = [m for m in made if len(m[2])]
+                made = [(*key, *_segments(_hashes(text), size)) for *key, text in zip(*(part.column(c).to_pylist() for c in ("id", "th", "tl")), part.column("text").cast(pa.binary()).to_pylist(), strict=True)]
+                made = [m for m in made if len(m[3])]
                 if made:
-                    counts = [len(m[2]) for m in made]
+                    counts = [len(m[3]) for m in made]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.concatenate([m[2] for m in made]).view(np.int64)),
-                            pa.array(np.repeat(np.array([m[0] for m in made], np.int64), counts)),
-                            pa.array(np.repeat(np.array([m[1] for m in made], np.int32), counts)),
-                            pa.array(np.concatenate([m[3] for m in made]) << 8 | np.concatenate([m[4] for m in made])),
+                            pa.array(np.concatenate([m[3] for m in made]).view(np.int64)),
+                            *(pa.array(np.repeat(np.array([m[k] for m in made], np.int64), counts)) for k in range(3)),
+                            pa.array(np.concatenate([m[4] for m in made]) << 8 | np.concatenate([m[5] for m in made])),
                         ],
-                        names=["anchor", "id", "th", "place"],
+                        names=["anchor", "id", "th", "tl", "place"],
                     )
 
-    places = docs.select("id", "th", "text").mapInArrow(segments, "anchor long, id long, th int, place long")
+    places = docs.select("id", "th", "tl", "text").mapInArrow(segments, "anchor long, id long, th long, tl long, place long")
     # written first, so that the join sees two plain shuffles and can split a common anchor's rows
     again = checkpointed(places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", (F.col("n") > COMMON).alias("common")))
-    found = places.join(again, "anchor").groupBy("id", "th").agg(F.collect_list(F.struct("anchor", F.shiftright("place", 8).alias("start"), F.col("place").bitwiseAND(255).alias("run"), "common")).alias("found"))
+    found = places.join(again, "anchor").groupBy("id", "th", "tl").agg(F.collect_list(F.struct("anchor", F.shiftright("place", 8).alias("start"), F.col("place").bitwiseAND(255).alias("run"), "common")).alias("found"))
     # both joins with docs ask for the same columns, so that its texts are shuffled once
-    pieces = docs.join(found, ["id", "th"]).select("doc_id", "id", "th", "text", "found").mapInArrow(lambda batches: _pieces_of(batches, size, shards), "shard long, id long, th int, start long, run long, words binary")
-    ranges = pieces.groupBy("shard").applyInArrow(lambda t: _shard(t, size), "id long, th int, start long, run long")
-    ranges = ranges.groupBy("id", "th").agg(F.collect_list(F.struct("start", "run")).alias("ranges"))
-    return docs.join(ranges, ["id", "th"], "left").select("doc_id", "text", "ranges").mapInArrow(lambda batches: _kept(batches, size), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    pieces = docs.join(found, ["id", "th", "tl"]).select("doc_id", "id", "th", "tl", "text", "found").mapInArrow(lambda batches: _pieces_of(batches, size, shards), "shard long, id long, th long, tl long, start long, run long, words binary")
+    ranges = pieces.groupBy("shard").applyInArrow(lambda t: _shard(t, size), "id long, th long, tl long, start long, run long")
+    ranges = ranges.groupBy("id", "th", "tl").agg(F.collect_list(F.struct("start", "run")).alias("ranges"))
+    return docs.join(ranges, ["id", "th", "tl"], "left").select("doc_id", "text", "ranges").mapInArrow(lambda batches: _kept(batches, size), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

@@ -121,3 +121,47 @@ def test_repeats_of_odd_rows(frame):
     assert substring_dedup.remove_repeats(frame([])).count() == 0
     long = " ".join(map(str, range(30_000)))
     assert [r.n_removed for r in substring_dedup.remove_repeats(frame([(1, f"{long} {long}")])).collect()] == [30_000]
+
+
+def test_rows_of_one_id_are_told_apart_beyond_32_bits(frame, spark):
+    # two texts under a null id whose 32-bit hashes are equal: the second repeats the first's passage
+    from pyspark.sql import functions as F
+
+    passage = " ".join(f"w{k}" for k in range(30))
+    many = spark.range(400_000).select(F.concat(F.lit(f"{passage} t"), F.col("id").cast("string")).alias("text"))
+    hit = many.groupBy(F.hash("text", F.lit(True)).alias("h")).agg(F.collect_list("text").alias("t")).where("size(t) > 1").orderBy("h").first()
+    got = substring_dedup.remove_repeats(frame([(None, t) for t in hit.t[:2]])).collect()
+    assert sorted(r.n_removed for r in got) == [0, 30]
+
+
+def test_a_range_beyond_its_text_is_an_error():
+    import pyarrow as pa
+
+    ranges = pa.array([[{"start": 5, "run": 1}]], pa.list_(pa.struct([("start", pa.int64()), ("run", pa.int64())])))
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array(["a b c"]), ranges], names=["doc_id", "text", "ranges"])
+    with pytest.raises(ValueError):
+        list(substring_dedup._kept([batch], 20))
+
+
+def test_words_are_compared_whole(frame, monkeypatch):
+    # hashes of all words equal: only the words themselves tell the windows apart
+    monkeypatch.setattr(substring_dedup, "_hashes", lambda text: substring_dedup.np.full(len((text or b"").split()), 7, substring_dedup.np.uint64))
+    texts = [b" ".join(b"%c%d" % (c, k) for k in range(30)) for c in b"ab"]
+    anchors, first, runs = substring_dedup._segments(substring_dedup._hashes(texts[0]), 20)
+    import pyarrow as pa
+
+    found = [[{"anchor": int(x.view("i8")), "start": int(f), "run": int(r), "common": False} for x, f, r in zip(anchors, first, runs, strict=True)]] * 2
+    kind = pa.list_(pa.struct([("anchor", pa.int64()), ("start", pa.int64()), ("run", pa.int64()), ("common", pa.bool_())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([1, 2]), pa.array([1, 2]), pa.array([t.decode() for t in texts]), pa.array(found, kind)], names=["id", "th", "tl", "text", "found"])
+    pieces = pa.Table.from_batches(list(substring_dedup._pieces_of([batch], 20, 1)))
+    assert pieces.num_rows and substring_dedup._shard(pieces, 20).num_rows == 0
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_repeated_ids_and_the_largest_id(frame, monkeypatch, few):
+    monkeypatch.setattr(substring_dedup, "FEW_IDS", few)
+    a, b = (" ".join(f"{c}{k}" for k in range(30)) for c in "ab")
+    rows = [(1, a), (2, f"{a} x"), (2, f"y {b}"), (2, f"{b} z"), (3, b), (2**63 - 1, f"{a} q"), (None, f"{a} q")]
+    got = substring_dedup.remove_repeats(frame(rows)).collect()
+    assert sorted((r.doc_id or 0, r.n_removed) for r in got if r.doc_id != 2) == [(0, 31), (1, 0), (3, 30), (2**63 - 1, 30)]
+    assert sorted(r.n_removed for r in got if r.doc_id == 2) == [0, 30, 30]
