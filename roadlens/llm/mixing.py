@@ -94,7 +94,8 @@ def mix(df: DataFrame, weights: DataFrame | None = None, seed: str = "mix", sour
     placed = rows.withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
     placed = placed.join(wanted, F.col("source").eqNullSafe(F.col("s")))
     left = F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("cut_before") - F.col("before")))
-    part = F.when(F.col("bin") < F.col("cut_bin"), F.col("size")).when(F.col("bin") == F.col("cut_bin"), left).otherwise(0)
+    # no bin crosses the line where the rest is, rounded, the whole source
+    part = F.when(F.col("cut_bin").isNull() & (F.col("rest") > 0) | (F.col("bin") < F.col("cut_bin")), F.col("size")).when(F.col("bin") == F.col("cut_bin"), left).otherwise(0)
     return placed.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"), "text_hash")
 
 

@@ -202,3 +202,10 @@ def test_a_phone_that_runs_into_an_address_is_redacted_alone(frame):
     rows += [(1000, "des +1 (826) 555-4081 190.137.223.204 du")]
     texts = {r.doc_id: r.text for r in pii.redact(frame(rows)).collect()}
     assert texts[1000] == "des [PHONE] [IP] du"
+
+
+def test_a_rest_that_rounds_to_the_whole_source_is_taken(frame):
+    rows = [(1, "w w w", "a"), (2, "w w w", "a"), (3, "w w", "b"), (4, "w w", "b")]
+    got = mixing.mix(frame(rows, "doc_id long, text string, source string")).collect()
+    by = {r.source_size: (r.target, sum(x.taken for x in got if x.source_size == r.source_size)) for r in got}
+    assert by == {6: (11.25, 11), 4: (3.75, 4)}
