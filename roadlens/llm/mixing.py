@@ -1,7 +1,7 @@
 """Mixing sources to target weights: Efraimidis-Spirakis order, cut at token budgets.
 
 Every document draws an exponential key, -ln(u) / weight, with u from a hash of
-its id: the smaller, the earlier; heavier documents tend to come first. A source
+its id (of its text, where the id is null): the smaller, the earlier; heavier documents tend to come first. A source
 whose budget is e times its size and a rest first gives e complete epochs. The rest
 is a fractional selection: documents in the order of their keys, while their
 running sum of words lasts; the document that crosses the line gives its first words.
@@ -58,8 +58,9 @@ def mix(df: DataFrame, weights: DataFrame | None = None, seed: str = "mix", sour
     of an id count by their mean.
 
     A null text has size 0 and gives nothing; a null source is a source of its
-    own. Rows with the same id (or a null id) draw the same key and follow each
-    other by size and a hash of the text; among rows alike in all, which one is cut is open,
+    own. Rows with the same id draw the same key and follow each other by size
+    and a hash of the text, in one task; rows with a null id draw by that hash, so
+    that they don't fall into one bin; among rows alike in all, which one is cut is open,
     but not how much of them is taken. Sources of size 0 have target 0.
     An empty table gives no rows; other columns aren't looked at.
     """
@@ -70,7 +71,8 @@ def mix(df: DataFrame, weights: DataFrame | None = None, seed: str = "mix", sour
         given = weights.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("weight").cast("double").alias("weight")).groupBy("doc_id").agg(F.avg("weight").alias("weight"))
         rows = rows.join(given, "doc_id", "left")
         weight = F.coalesce(F.nanvl("weight", F.lit(1.0)), F.lit(1.0))
-    key = F.when(weight > 0, -F.log(uniform("doc_id", seed=seed)) / weight).otherwise(F.lit(float("inf")))
+    drawn = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.col("text_hash").cast("string")))
+    key = F.when(weight > 0, -F.log(uniform(drawn, seed=seed)) / weight).otherwise(F.lit(float("inf")))
     rows = rows.select("doc_id", "source", "size", "text_hash", key.alias("key"))
     bin_ = F.when(F.col("key") < 1e300, F.floor(F.log2("key") * BINS)).otherwise(F.lit(1 << 40)).cast("long")
     rows = checkpointed(rows.select("*", bin_.alias("bin")))

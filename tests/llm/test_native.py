@@ -209,3 +209,12 @@ def test_a_rest_that_rounds_to_the_whole_source_is_taken(frame):
     got = mixing.mix(frame(rows, "doc_id long, text string, source string")).collect()
     by = {r.source_size: (r.target, sum(x.taken for x in got if x.source_size == r.source_size)) for r in got}
     assert by == {6: (11.25, 11), 4: (3.75, 4)}
+
+
+def test_null_ids_do_not_share_a_bin(frame):
+    rows = [(None, f"{'w ' * 9}{i}", "a") for i in range(400)] + [(i, "w " * 10, "b") for i in range(400)]
+    mixed = mixing.mix(frame(rows, "doc_id long, text string, source string"), source_weights=(1, 1), share=0.5)
+    # of rows in the order of their texts' hashes alone, those taken would all come before those that aren't
+    got = sorted((r.text_hash, r.taken) for r in mixed.where("doc_id is null").collect())
+    taken = [t for _, t in got]
+    assert sum(taken) == 2_000 and taken != sorted(taken, reverse=True)
