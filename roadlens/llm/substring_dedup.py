@@ -311,6 +311,8 @@ def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_c
     """
     if size < SEED:
         raise ValueError(f"size must be at least {SEED}")
+    if size - SEED + 1 > 65535:
+        raise ValueError(f"size must be at most {65535 + SEED - 1}: a segment's number of windows travels in 16 bits")
     given = id_and_text(df, id_col, text_col)
     digest = F.md5(F.concat(F.when(F.col("doc_id").isNull(), "n").otherwise(""), F.coalesce("text", F.lit(""))).cast("binary"))
     halves = [F.conv(F.substring(digest, start, 16), 16, -10).cast("long") for start in (1, 17)]
@@ -338,7 +340,7 @@ def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_c
                         [
                             pa.array(np.concatenate([m[3] for m in made]).view(np.int64)),
                             *(pa.array(np.repeat(np.array([m[k] for m in made], np.int64), counts)) for k in range(3)),
-                            pa.array(np.concatenate([m[4] for m in made]) << 8 | np.concatenate([m[5] for m in made])),
+                            pa.array(np.concatenate([m[4] for m in made]) << 16 | np.concatenate([m[5] for m in made])),
                         ],
                         names=["anchor", "id", "th", "tl", "place"],
                     )
@@ -346,7 +348,7 @@ def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_c
     places = docs.select("id", "th", "tl", "text").mapInArrow(segments, "anchor long, id long, th long, tl long, place long")
     # written first, so that the join sees two plain shuffles and can split a common anchor's rows
     again = checkpointed(places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", (F.col("n") > COMMON).alias("common")))
-    found = places.join(again, "anchor").groupBy("id", "th", "tl").agg(F.collect_list(F.struct("anchor", F.shiftright("place", 8).alias("start"), F.col("place").bitwiseAND(255).alias("run"), "common")).alias("found"))
+    found = places.join(again, "anchor").groupBy("id", "th", "tl").agg(F.collect_list(F.struct("anchor", F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(65535).alias("run"), "common")).alias("found"))
     # both joins with docs ask for the same columns, so that its texts are shuffled once
     pieces = docs.join(found, ["id", "th", "tl"]).select("doc_id", "id", "th", "tl", "text", "found").mapInArrow(lambda batches: _pieces_of(batches, size, shards), "shard long, id long, th long, tl long, start long, run long, words binary")
     ranges = pieces.groupBy("shard").applyInArrow(lambda t: _shard(t, size), "id long, th long, tl long, start long, run long")

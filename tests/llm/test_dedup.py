@@ -165,3 +165,11 @@ def test_repeated_ids_and_the_largest_id(frame, monkeypatch, few):
     got = substring_dedup.remove_repeats(frame(rows)).collect()
     assert sorted((r.doc_id or 0, r.n_removed) for r in got if r.doc_id != 2) == [(0, 31), (1, 0), (3, 30), (2**63 - 1, 30)]
     assert sorted(r.n_removed for r in got if r.doc_id == 2) == [0, 30, 30]
+
+
+def test_windows_of_many_words(frame):
+    passage = " ".join(f"w{k}" for k in range(1200))
+    got = {r.doc_id: r.n_removed for r in substring_dedup.remove_repeats(frame([(1, passage), (2, f"x {passage} y"), (3, " ".join(passage.split()[:290]))]), size=300).collect()}
+    assert got == {1: 0, 2: 1200, 3: 0}
+    with pytest.raises(ValueError):
+        substring_dedup.remove_repeats(frame([(1, passage)]), size=70_000)
