@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.llm import line_rules, mixing, pii, quality_gam, sentencepiece_fst, simhash, substring_dedup, token_counts, topk, toxicity
-from roadlens.llm.common import model_bytes, ship, table
+from roadlens.llm import line_rules, merkle, mixing, pii, quality_gam, sentencepiece_fst, simhash, substring_dedup, token_counts, token_files, topk, toxicity, whitening
+from roadlens.llm.common import model_bytes, shared_folder, ship, table
 
 TOKENIZER = "piece_bpe_32k.model"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
-def tokenizer(path: str | None = None) -> bytes:
+def tokenizer(path: str | None = None, name: str = TOKENIZER) -> bytes:
     """The vocabulary file at ``path``, or the public one that the contract names."""
     if path is None:
         import public_tokenizers
 
-        path = public_tokenizers.path(TOKENIZER)
+        path = public_tokenizers.path(name)
     return model_bytes(path)
 
 
@@ -75,6 +77,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.apply_rules(table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    folder = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
+    # this vocabulary drops white space
+    manifest = token_files.write(table(spark, sf_dir, "documents"), tokenizer(name=WORD_TOKENIZER), folder, end_id=1, by_words=True)
+    return token_files.read_documents(spark, manifest, folder).drop("part")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), tampered=tampered)
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,9 +104,52 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_topk_search, op3_toxicity, op4_substring_dedup, op5_sentencepiece, op6_quality_classifier, op7_pii, op8_mixing, op9_simhash, op10_quality_rules, pipeline)
+    for f in (op1_token_counts, op2_topk_search, op3_toxicity, op4_substring_dedup, op5_sentencepiece, op6_quality_classifier, op7_pii, op8_mixing, op9_simhash, op10_quality_rules, op11_token_files, op12_merkle_manifest, op13_whitening, pipeline)
 }
 
+
+def _merkle_sql(levels: int = 8, group_levels: int = 4) -> str:
+    """The tree and the proofs, level by level: 8 ** ``levels`` documents a language and 8 ** ``group_levels`` languages at most."""
+
+    def told(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    other = [told(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    crc = """xor(list_reduce(flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+                lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)), 4294967295::BIGINT), 4294967295::BIGINT)"""
+    ctes = [f"""d AS (
+            SELECT doc_id, lang, sha256({" || ".join([*other, told("text")])}) AS leaf,
+                   CASE WHEN {crc} % 3 = 0 THEN sha256({" || ".join([*other, told(lower)])}) END AS given
+            FROM documents
+        ), f0 AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf) - 1 AS i, coalesce(given, leaf) AS folded, '' AS proof FROM d
+        ), a0 AS (SELECT lang, i, leaf AS h FROM f0)"""]
+
+    def level(k: int, a: str, f: str, group: str) -> None:
+        ctes.append(f"""{a}{k + 1} AS (
+            SELECT {group}, i // 8 AS i, m > 1 AS hashed, list(h ORDER BY i) AS run, CASE WHEN m > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE max(h) END AS h
+            FROM (SELECT *, count(*) OVER (PARTITION BY {group}) AS m FROM {a}{k}) GROUP BY {group}, i // 8, m
+        ), {f}{k + 1} AS (
+            SELECT f.* EXCLUDE (i, folded, proof), f.i // 8 AS i,
+                   CASE WHEN hashed THEN sha256(array_to_string(run[1:f.i % 8], '') || folded || array_to_string(run[f.i % 8 + 2:], '')) ELSE folded END AS folded,
+                   CASE WHEN hashed THEN proof || array_to_string(run[1:f.i % 8], '') || array_to_string(run[f.i % 8 + 2:], '') ELSE proof END AS proof
+            FROM {f}{k} f JOIN {a}{k + 1} a ON f.{group} IS NOT DISTINCT FROM a.{group} AND f.i // 8 = a.i
+        )""")
+
+    for k in range(levels):
+        level(k, "a", "f", "lang")
+    ctes.append(f"""s AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, 0 AS one FROM a{levels}
+        ), t0 AS (SELECT one, i, h FROM s
+        ), g0 AS (SELECT f.* EXCLUDE (i), s.i, s.h AS subroot, 0 AS one FROM f{levels} f JOIN s ON f.lang IS NOT DISTINCT FROM s.lang)""")
+    for k in range(group_levels):
+        level(k, "t", "g", "one")
+    # doc_id, source, lang and n_chars by value, text by its bytes; strlen counts bytes
+    return "WITH " + ", ".join(ctes) + f"""
+        SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.h AS verified
+        FROM g{group_levels} JOIN t{group_levels} t USING (one)"""
+
+
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 #: Only what SQL can state for whole tables; tests hold the others against brute force.
@@ -149,4 +213,5 @@ ORACLES: dict[str, str] = {
             FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
         )
         SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM p""",
+    "op12_merkle_manifest": _merkle_sql(),
 }

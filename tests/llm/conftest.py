@@ -22,3 +22,12 @@ def frame(spark):
         return df
 
     return make
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """Small results of a shuffle stay in as many partitions as it has."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)

@@ -21,5 +21,5 @@ def test_stages_in_order_and_columns(spark, sf_small):
 
 def test_all_numbered_queries_are_registered(spark, sf_small):
     numbers = sorted(int(m[1]) for n in queries.QUERIES if (m := re.match(r"op(\d+)_", n)))
-    assert numbers == list(range(1, 11)) and "pipeline" in queries.QUERIES and set(queries.ORACLES) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and "pipeline" in queries.QUERIES and set(queries.ORACLES) <= set(queries.QUERIES)
 
