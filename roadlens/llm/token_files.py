@@ -37,9 +37,9 @@ from pyspark.sql import functions as F
 
 from roadlens.llm.common import checkpointed, id_and_text, slices
 
-#: Words of more bytes are encoded each time; as many words as this are remembered by a worker.
+#: Words of more bytes are encoded each time; from so many words on, a worker forgets all and starts anew.
 LONG_WORD = 64
-WORDS = 1 << 18
+WORDS = 3 << 18
 
 MANIFEST = "part int, documents long, tokens long, sequences long, length int, batch_rows int"
 
@@ -59,8 +59,10 @@ class Encoder:
     """Texts to ids by the tokenizers library, without added special tokens, truncation or padding.
 
     ``by_words``: the vocabulary drops white space, so that no token reaches
-    over it and a text's ids are those of its words one after the other.
-    Words are then encoded once and remembered.
+    over it and a text's ids are those of its words one after the other. New
+    words then go through the library's normaliser and pre-tokenizer together,
+    and their pieces through its model; what words and pieces give is remembered.
+    A word that holds an added token's string goes through the whole library.
     """
 
     def __init__(self, vocabulary: bytes, by_words: bool = False):
@@ -72,28 +74,72 @@ class Encoder:
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.by_words = by_words
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _by_pieces(self, words: list[str]) -> list[bytes]:
+        """The ids of words without added tokens."""
+        normalised = self.tokenizer.normalizer.normalize_str(" ".join(words)) if self.tokenizer.normalizer else " ".join(words)
+        ends = [len(w) for w in normalised.split(" ")]
+        if len(ends) != len(words):  # some word holds white space of another kind
+            return self._library(words)
+        out, now, k, end = [], [], 0, ends[0]
+        pieces, tokenize, size = self.pieces, self.tokenizer.model.tokenize, self.dtype.itemsize
+        for piece, (_, stop) in self.tokenizer.pre_tokenizer.pre_tokenize_str(normalised):
+            while stop > end:
+                out.append(b"".join(now))
+                now, k = [], k + 1
+                end += 1 + ends[k]
+            ids = pieces.get(piece)
+            if ids is None:
+                ids = b"".join([t.id.to_bytes(size, "little") for t in tokenize(piece)])
+                if len(piece) <= LONG_WORD:
+                    pieces[piece] = ids
+            now.append(ids)
+        out.append(b"".join(now))
+        return out + [b""] * (len(words) - len(out))
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain, special = [], []
+        for word in words:
+            (special if self.added.search(text := word.decode()) else plain).append(text)
+        for some, encode in ((special, self._library), (plain, self._by_pieces)):
+            for at in range(0, len(some), 1024):
+                part = some[at : at + 1024]
+                self.known.update(zip([w.encode() for w in part], encode(part), strict=True))
+
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each UTF-8 text as bytes."""
         if not self.by_words:
             yield from self._library([t.decode() for t in texts])
             return
-        for text in texts:
-            words = text.split()  # at the six ASCII white-space characters
-            if len(self.known) > WORDS:
-                self.known.clear()
-            try:
-                yield b"".join([self.known[w] for w in words])
-                continue
-            except KeyError:
-                new = list({w for w in words if w not in self.known})
-            found = dict(zip(new, self._library([w.decode() for w in new]), strict=True))
-            self.known.update((w, ids) for w, ids in found.items() if len(w) <= LONG_WORD)
-            yield b"".join([found[w] if w in found else self.known[w] for w in words])
+        for memory in (self.known, self.pieces):
+            if len(memory) > WORDS:
+                memory.clear()
+        split = [text.split() for text in texts]  # at the six ASCII white-space characters
+        self._learn(list(set().union(*split).difference(self.known)))
+        known = self.known
+        for words in split:
+            yield b"".join([known[w] for w in words])
+        for w in {w for words in split for w in words if len(w) > LONG_WORD}:
+            del known[w]
+
+
+_encoders: dict[tuple[int, bool], Encoder] = {}
+
+
+def encoder_of(vocabulary: bytes, by_words: bool) -> Encoder:
+    """One encoder a worker process and vocabulary: what it remembers serves the tasks to come."""
+    key = (hash(vocabulary), by_words)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(vocabulary, by_words)
+    return _encoders[key]
 
 
 class _Writer:
@@ -184,7 +230,7 @@ def write(df: DataFrame, vocabulary: bytes, folder: str, end_id: int, length: in
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary, by_words)
+        encoder = encoder_of(vocabulary, by_words)
         end = np.array([end_id], encoder.dtype).tobytes()
         out = _Writer(folder, TaskContext.get().partitionId(), length, batch_rows, encoder.dtype)
         for batch in batches:
