@@ -58,7 +58,7 @@ def ranked(rows: DataFrame, order: list[Column]) -> DataFrame:
     A range sort; a range may split a g and also rows that are alike. One number
     a partition is summed up in one place, and one row a g is joined.
     """
-    placed = rows.withColumn("place", F.monotonically_increasing_id())
+    placed = checkpointed(rows).withColumn("place", F.monotonically_increasing_id())  # the range sort reads its rows twice
     keys = [*order, F.col("place")]
     stored = checkpointed(placed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("place")).withColumn("at", F.monotonically_increasing_id())
     part, position = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)

@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -14,11 +15,16 @@ TEXTS = [
 ]
 
 
-def _library(text, name=WORD_TOKENIZER):
+@functools.cache
+def _tokenizer(name):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(public_tokenizers.path(name)).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
+def _library(text, name=WORD_TOKENIZER):
+    return _tokenizer(name).encode(text or "", add_special_tokens=False).ids
 
 
 def _want(rows, end_id=1, name=WORD_TOKENIZER):
