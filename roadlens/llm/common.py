@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -90,6 +91,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """df, written as Parquet to the shared folder and read from there: compressed, and read by column."""
+    path = f"{shared_folder(df.sparkSession)}/{purpose}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose ``column`` holds about max_bytes each, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

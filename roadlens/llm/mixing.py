@@ -7,8 +7,9 @@ is a fractional selection: documents in the order of their keys, while their
 running sum of words lasts; the document that crosses the line gives its first words.
 
 No source is sorted as a whole. Keys fall into bins of 1/1024 octave, of which
-none holds over 0.03 % of a source whatever the weights are (the density of
-log2 of an exponential variable is at most 0.26). Running sums are taken over
+none holds over 0.03 % of a source's ids whatever their weights are (the density of
+log2 of an exponential variable is at most 0.26); documents without weight are dealt
+to bins after these by a hash. Running sums are taken over
 the bins' totals, and inside each (source, bin) on its own.
 
 Built-in functions throughout.
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import NO_ID, WORD, checkpointed, fresh, row_key, uniform
+from roadlens.llm.common import WORD, checkpointed, fresh, row_key, stored, uniform
 
 #: Bins for each doubling of the key.
 BINS = 1024
@@ -50,8 +51,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
     return rate.select("source", "source_size", target.alias("target"))
 
 
-def mix(df: DataFrame, weights: DataFrame | None = None, seed: str = "mix", source_weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", size: Column | None = None) -> DataFrame:
-    """Per row: doc_id, size (words), source_size, target (its source's), taken (words, repeats counted), text_hash.
+def mix(df: DataFrame, weights: DataFrame | None = None, seed: str = "mix", source_weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", size: Column | None = None, row_col: str | None = None) -> DataFrame:
+    """Per row: doc_id, size (words), source_size, target (its source's), taken (words, repeats counted), text_hash, and row_col, if given, as ``row``.
 
     ``weights``: (doc_id, weight), the quality weights; a document without one
     weighs 1, one with a weight that isn't positive comes last. Several weights
@@ -65,7 +66,8 @@ def mix(df: DataFrame, weights: DataFrame | None = None, seed: str = "mix", sour
     An empty table gives no rows; other columns aren't looked at.
     """
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(f"{WORD}+")), F.lit(0)).cast("long") if size is None else size
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size"), row_key(id_col, text_col)[1].alias("text_hash"))
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size"), row_key(id_col, text_col)[1].alias("text_hash"), *([F.col(row_col).alias("row")] if row_col else []))
+    kept = ["row"] if row_col else []
     weight = F.lit(1.0)
     if weights is not None:
         given = weights.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("weight").cast("double").alias("weight")).groupBy("doc_id").agg(F.avg("weight").alias("weight"))
@@ -73,8 +75,10 @@ def mix(df: DataFrame, weights: DataFrame | None = None, seed: str = "mix", sour
         weight = F.coalesce(F.nanvl("weight", F.lit(1.0)), F.lit(1.0))
     drawn = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.col("text_hash").cast("string")))
     key = F.when(weight > 0, -F.log(uniform(drawn, seed=seed)) / weight).otherwise(F.lit(float("inf")))
-    rows = rows.select("doc_id", "source", "size", "text_hash", key.alias("key"))
-    bin_ = F.when(F.col("key") < 1e300, F.floor(F.log2("key") * BINS)).otherwise(F.lit(1 << 40)).cast("long")
+    rows = rows.select("doc_id", "source", "size", "text_hash", key.alias("key"), *kept)
+    # documents without weight follow in bins of their own, dealt by hash
+    last = F.lit(1 << 40) + F.floor(uniform(drawn, seed=f"{seed}:last") * 64 * BINS)
+    bin_ = F.when(F.col("key") < 1e300, F.floor(F.log2("key") * BINS)).otherwise(last).cast("long")
     rows = checkpointed(rows.select("*", bin_.alias("bin")))
 
     bins = checkpointed(rows.groupBy("source", "bin").agg(F.sum("size").alias("n")))
@@ -92,13 +96,13 @@ def mix(df: DataFrame, weights: DataFrame | None = None, seed: str = "mix", sour
     wanted = checkpointed(wanted)
     if wanted.count() <= FEW_SOURCES:
         wanted = F.broadcast(wanted)
-    earlier = Window.partitionBy("source", "bin").orderBy("key", F.col("doc_id").asc_nulls_last(), "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("source", "bin").orderBy("key", F.col("doc_id").asc_nulls_last(), "size", "text_hash", *kept).rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0)))
     placed = placed.join(wanted, F.col("source").eqNullSafe(F.col("s")))
     left = F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("cut_before") - F.col("before")))
     # no bin crosses the line where the rest is, rounded, the whole source
     part = F.when(F.col("cut_bin").isNull() & (F.col("rest") > 0) | (F.col("bin") < F.col("cut_bin")), F.col("size")).when(F.col("bin") == F.col("cut_bin"), left).otherwise(0)
-    return placed.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"), "text_hash")
+    return placed.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"), "text_hash", *kept)
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -106,15 +110,18 @@ def first_words(text: Column, n: Column) -> Column:
     return F.when(n <= 0, "").otherwise(F.call_function("regexp_extract", text, F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){"), n.cast("string"), F.lit("}+")), F.lit(0)))
 
 
-def mixed_documents(df: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df as the mix takes it: each document as often as it is taken whole, and once more cut to the words left over.
+def mixed_documents(df: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+    """df as mix() takes it: each document as often as it is taken whole, and once more cut to the words left over.
 
-    df must not hold rows alike in id and text; deduplicate it first.
+    ``more`` goes to mix(). The rows are stored with a number each, by which they
+    meet what is taken of them: rows alike in id and text, or without an id, are
+    taken each on their own account. A null or empty text is never taken, an
+    empty table stays empty; the other columns are handed on, whatever their names.
     """
-    key_id, key_text, id_, hash_, size, taken, words = fresh(df, "key_id", "key_text", "mixed_id", "mixed_hash", "size", "taken", "words")
-    n = mixed.where("taken > 0").select(F.coalesce("doc_id", F.lit(NO_ID)).alias(id_), F.col("text_hash").alias(hash_), F.col("size").alias(size), F.col("taken").alias(taken))
-    keys = row_key(id_col, text_col)
-    joined = df.withColumn(key_id, keys[0]).withColumn(key_text, keys[1]).join(n, (F.col(key_id) == F.col(id_)) & (F.col(key_text) == F.col(hash_)))
+    row, id_, size, taken, words = fresh(df, "row", "mixed_row", "size", "taken", "words")
+    numbered = stored(df.withColumn(row, F.monotonically_increasing_id()), "mixing")
+    mixed = mix(numbered, weights, id_col=id_col, text_col=text_col, row_col=row, **more).where("taken > 0")
+    joined = numbered.join(mixed.select(F.col("row").alias(id_), F.col("size").alias(size), F.col("taken").alias(taken)), F.col(row) == F.col(id_))
     rest = F.col(taken) % F.col(size)
     sizes = F.concat(F.array_repeat(F.col(size), F.floor(F.col(taken) / F.col(size)).cast("int")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<long>")))
     copies = joined.withColumn(words, F.explode(sizes))

@@ -16,13 +16,16 @@ A looser span that overlaps a base span of its kind is no candidate.
 
 Format and context features of a candidate (number of digits, separators, the
 characters around it, a cue word before it, its first digit; of a card also its
-Luhn result and whether it has an issuer's prefix and length) go to gradient
+Luhn result and whether it has an issuer's prefix and length, of an address
+whether its last label is a suffix) go to gradient
 boosted trees. They learn which base matches pass their check, which the
 features don't show, so that a score says how much a span looks like the real
 ones of its kind. Of cards, whose check is a feature, they learn another thing: how
 many of the matches that pass are more than chance. One number in ten passes the
 Luhn check by chance, so each match that fails stands for 1/9 of a match of equal
-features that passes and is none. As the features have few values, the corpus is counted
+features that passes and is none. Spelled-out addresses, "at" and "dot" being words, are
+counted in the same way: those whose last label is a suffix of addresses pass, the others are
+none, are never redacted, and each stands for ``CHANCE`` addresses of equal features whose last word is a suffix by chance. As the features have few values, the corpus is counted
 into cells of equal features first, all of it, and the trees are boosted on those counts.
 Each kind's threshold is the least score from which on at least ``precision`` of the
 candidates are real, each scored by trees that have not seen its document. That
@@ -41,7 +44,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.common import fresh, id_and_text
+from roadlens.llm.common import fresh, id_and_text, stored
 from roadlens.llm.line_rules import let
 
 KINDS = ("email", "ip", "card", "phone")
@@ -84,6 +87,15 @@ LOOSE = [
     ("phone", _NATIONAL),
     ("phone", rf"(?i)\b{_DIGIT}(?:[\x20,-]{{1,2}}{_DIGIT}){{6,14}}\b"),
 ]
+#: What the last label of a spelled-out address may be: generic ones and those of some countries, without those that are English words.
+SUFFIXES = (
+    "com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "name", "pro", "app", "dev", "cloud", "online", "shop", "site", "io", "ai", "co", "tv", "cc",
+    "eu", "uk", "ie", "de", "fr", "es", "pt", "nl", "ch", "dk", "se", "fi", "pl", "cz", "sk", "hu", "ro", "bg", "gr", "tr", "ru", "ua", "lt", "lv", "ee", "hr", "rs", "si",
+    "ca", "mx", "br", "ar", "cl", "pe", "ve", "au", "nz", "jp", "cn", "kr", "hk", "tw", "sg", "th", "vn", "ph", "pk", "lk", "il", "ae", "sa", "eg", "za", "ng", "ke", "ma",
+)
+_SUFFIX = rf"(?i)[.\x20\])}}>](?:{'|'.join(SUFFIXES)})$"
+#: Of words of prose, so many are a suffix too.
+CHANCE = 1 / 50
 CUES = r"(?i)(?:mail|contact|phone|tel|call|fax|mobile|cell|card|visa|account|host|server|address|ip)[^\n]{0,16}$"
 #: Prefixes and lengths that card issuers use.
 ISSUERS = r"^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|(?:5[1-5]|2[2-7])[0-9]{14}|3[47][0-9]{13}|3(?:0[0-5]|[689][0-9])[0-9]{11}|(?:6011|64[4-9][0-9]|65[0-9]{2}|35[2-8][0-9]|62[0-9]{2})[0-9]{12,15}|(?:50|5[6-9]|6[0-9])[0-9]{10,17})$"
@@ -141,7 +153,7 @@ def _found(text: Column, kind: str, pattern: str, loose: bool) -> Column:
                 separators = F.when(x.rlike(r"[\[(]"), 4).when(x.contains(" "), 1).when(x.contains("-"), 2).when(x.contains("."), 3).otherwise(0)
                 lead = F.regexp_extract(x, r"^\D{0,3}([0-9])", 1)
                 passes = _passes(kind, x)
-                check, issuer = (passes, F.regexp_replace(x, "[^0-9]", "").rlike(ISSUERS)) if kind == "card" else (F.lit(False), F.lit(False))
+                check, issuer = (passes, F.regexp_replace(x, "[^0-9]", "").rlike(ISSUERS)) if kind == "card" else (F.lit(False), x.rlike(_SUFFIX) if kind == "email" else F.lit(False))
                 return F.struct(
                     start.alias("start"), (start + F.length(x)).alias("end"), (F.lit(False) if loose else passes).alias("base"), F.lit(loose).alias("loose"),
                     F.lit(KINDS.index(kind)).alias("kind"), F.least(digits, F.lit(20)).alias("digits"), separators.alias("separators"),
@@ -205,7 +217,8 @@ class Model:
         if all(math.isinf(t) for t in self.thresholds):
             return F.lit(False)
         value = sum(map(walk, self.trees), F.lit(self.base))
-        return value >= F.get(F.array(*[F.lit(t) for t in self.thresholds]), c["kind"])
+        address = (c["kind"] != KINDS.index("email")) | (c["issuer"] == 1)
+        return address & (value >= F.get(F.array(*[F.lit(t) for t in self.thresholds]), c["kind"]))
 
 
 def boost(cells: list[tuple[dict[str, int], int, float]], rounds: int = 30, depth: int = 3, rate: float = 0.3) -> tuple[list[Tree], float]:
@@ -248,8 +261,8 @@ def boost(cells: list[tuple[dict[str, int], int, float]], rounds: int = 30, dept
 
 
 def _targets(counts: dict[tuple, tuple[int, int]]) -> list[tuple[dict[str, int], int, float]]:
-    """Cells with targets, of (candidates, passing ones) by features; for cards, passing ones beyond chance."""
-    check, card = FEATURES.index("check"), KINDS.index("card")
+    """Cells with targets, of (candidates, passing ones) by features; for cards and addresses, passing ones beyond chance."""
+    check, card, email = FEATURES.index("check"), KINDS.index("card"), KINDS.index("email")
     out: dict[tuple, list] = {}
     for key, (n, real) in sorted(counts.items()):
         cell = out.setdefault(key, [0, 0.0])
@@ -257,6 +270,8 @@ def _targets(counts: dict[tuple, tuple[int, int]]) -> list[tuple[dict[str, int],
         cell[1] += real
         if key[0] == card and not key[check] and 12 <= key[1] <= 19:
             out.setdefault((*key[:check], 1, *key[check + 1 :]), [0, 0.0])[1] -= n / 9
+        if key[0] == email and not key[-1] and n > real:
+            out.setdefault((*key[:-1], 1), [0, 0.0])[1] -= (n - real) * CHANCE
     return [(dict(zip(FEATURES, key, strict=True)), n, real) for key, (n, real) in sorted(out.items())]
 
 
@@ -294,13 +309,14 @@ def thresholds(scored: list[tuple[int, float, int, float]], precision: float) ->
 def train(found: DataFrame, precision: float = 0.98) -> Model:
     """Boost on all documents, calibrate by trees of four fifths on the fifth they haven't seen; ``found`` as candidates() gives it.
 
-    All base matches of all rows count; a row without an id goes to a fold by
+    All base matches and spelled-out addresses of all rows count; a row without an id goes to a fold by
     its text. The driver gets one row a cell and fold, of which there are at
     most 4 x 21 x 5 x 5 x 5 x 2 x 11 x 2 x 2 cells.
     """
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.col("text")).cast("binary")) % FOLDS
-    one = found.select(fold.cast("int").alias("fold"), F.explode("found").alias("c")).where("not c.loose")
-    counts = one.groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES], "fold").agg(F.count("*").alias("n"), F.sum(F.col("c.base").cast("long")).alias("real"))
+    address = f"c.kind = {KINDS.index('email')}"
+    one = found.select(fold.cast("int").alias("fold"), F.explode("found").alias("c")).where(f"not c.loose or {address}")
+    counts = one.groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES], "fold").agg(F.count("*").alias("n"), F.sum(F.expr(f"cast(c.base or {address} and c.issuer = 1 as long)")).alias("real"))
     rows = [(r.fold, tuple(r[f] for f in FEATURES), r.n, r.real) for r in counts.collect()]
 
     def cells(of) -> list[tuple[dict[str, int], int, float]]:
@@ -337,7 +353,9 @@ def find_spans(df: DataFrame, model: Model | None = None, precision: float = 0.9
     Texts of any length are read whole.
     """
     found = candidates(df, id_col, text_col)
-    model = model or train(found, precision)
+    if model is None:
+        found = stored(found, "pii")  # every pattern runs once
+        model = train(found, precision)
     return found.select("doc_id", "text", _spans(F.col("found"), lambda c: c["base"]).alias("base"), _spans(F.col("found"), lambda c: c["base"] | ~c["base"] & model.selected(c)).alias("spans"))
 
 
@@ -350,27 +368,45 @@ def summary(spans: DataFrame) -> DataFrame:
     return spans.select("doc_id", *map(of_kind, range(len(KINDS))), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
 
+#: Code points of a block.
+BLOCK = 256
+
+
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span, or each group of overlapping spans, replaced by its first span's kind in brackets."""
+    """The text with each span, or each group of overlapping spans, replaced by its first span's kind in brackets.
+
+    The text is cut into blocks once; what stays between two spans is taken
+    from the blocks it lies in, so that time grows with the text and the spans, not their product.
+    """
     tags = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     start = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("parts"))
 
-    def step(done: Column, s: Column) -> Column:
-        before = F.substring(text, done["end"] + 1, F.greatest(F.lit(0), s["start"] - done["end"]))
-        more = F.when(s["start"] < done["end"], done["parts"]).otherwise(F.concat(done["parts"], F.array(before, F.get(tags, s["kind"]))))
-        return F.struct(F.greatest(done["end"], s["end"]).alias("end"), more.alias("parts"))
+    def of(blocks: Column) -> Column:
+        def piece(a: Column, b: Column) -> Column:
+            first = F.floor(a / BLOCK).cast("int")
+            some = F.slice(blocks, first + 1, F.floor((b - 1) / BLOCK).cast("int") - first + 1)
+            return F.when(b <= a, "").otherwise(F.substring(F.array_join(some, ""), a - first * BLOCK + 1, b - a))
+
+        def step(done: Column, s: Column) -> Column:
+            more = F.when(s["start"] < done["end"], done["parts"]).otherwise(F.concat(done["parts"], F.array(piece(done["end"], s["start"]), F.get(tags, s["kind"]))))
+            return F.struct(F.greatest(done["end"], s["end"]).alias("end"), more.alias("parts"))
+
+        return F.aggregate(spans, start, step, lambda done: F.concat(F.array_join(done["parts"], ""), piece(done["end"], F.length(text))))
 
-    end = F.aggregate(spans, start, step, lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(text, done["end"] + 1, F.length(text))))
-    return F.when(F.size(spans) == 0, text).otherwise(end)
+    return F.when(F.size(spans) == 0, text).otherwise(let(F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}"), F.lit(0)), of))
 
 
 def redact(df: DataFrame, model: Model | None = None, precision: float = 0.98, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """df, all columns, with the spans of find_spans() replaced in the text; a null text stays null.
 
-    Replacing takes time in proportion to a text's length times its number of spans.
+    A null id and repeated rows stay as they are, an empty table stays empty;
+    the other columns are handed on, whatever their names.
     """
-    model = model or train(candidates(df, id_col, text_col), precision)
     (found,) = fresh(df, "found")
+    marked = _with_candidates(df, text_col, found)
+    if model is None:
+        marked = stored(marked, "pii")  # every pattern runs once
+        model = train(marked.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(found).alias("found")), precision)
     spans = _spans(F.col(found), lambda c: c["base"] | ~c["base"] & model.selected(c))
-    marked = _with_candidates(df, text_col, found).withColumn(found, spans)
+    marked = marked.withColumn(found, spans)
     return marked.withColumn(text_col, redacted(F.col(text_col), F.col(found))).select(*df.columns)

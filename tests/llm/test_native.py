@@ -136,7 +136,7 @@ def test_mix_meets_its_targets(frame):
         assert size == total and abs(taken - target) <= 0.5
     unique = df.where("doc_id is not null")
     mixed = mixing.mix(unique)
-    docs = mixing.mixed_documents(unique, mixed)
+    docs = mixing.mixed_documents(unique)
     words = {r.doc_id: r.n for r in docs.groupBy("doc_id").agg(F.sum(F.regexp_count("text", F.lit(WORD))).alias("n")).collect()}
     assert words == {r.doc_id: r.taken for r in mixed.collect() if r.taken} and docs.columns == df.columns
     assert mixing.mix(df.limit(0)).count() == 0
@@ -218,3 +218,58 @@ def test_null_ids_do_not_share_a_bin(frame):
     got = sorted((r.text_hash, r.taken) for r in mixed.where("doc_id is null").collect())
     taken = [t for _, t in got]
     assert sum(taken) == 2_000 and taken != sorted(taken, reverse=True)
+
+
+def test_clean_sentences_stay(frame):
+    clean = ["please look at figure dot two for this", "we met at noon dot nobody else came", "arrive at gate dot dash line", "meet me at ten dot it was late"]
+    mails = [(i, f"mail user{i}@mail.example.com now") for i in range(300)]
+    told = [(2000, "write to jo at mail dot example dot com please"), (2001, "jo (at) mail (dot) org")]
+    texts = {r.doc_id: r.text for r in pii.redact(frame(mails + [(1000 + i, t) for i, t in enumerate(clean)] + told)).collect()}
+    assert [texts[1000 + i] for i in range(len(clean))] == clean
+    assert texts[2000] == "write to [EMAIL] please" and texts[2001] == "[EMAIL]" and texts[5] == "mail [EMAIL] now"
+    # a model of other documents doesn't take them either
+    model = pii.train(pii.candidates(frame(mails)))
+    assert [r.text for r in pii.redact(frame(list(enumerate(clean))), model).orderBy("doc_id").collect()] == clean
+
+
+def test_addresses_that_are_none_count_as_such():
+    def cell(check):
+        return tuple({"kind": 0, "separators": 1, "issuer": check}.get(f, 0) for f in pii.FEATURES)
+
+    got = {c["issuer"]: (n, real) for c, n, real in pii._targets({cell(1): (100, 100), cell(0): (500, 0)})}
+    assert got[0] == (500, 0) and got[1] == (100, pytest.approx(100 - 500 * pii.CHANCE))
+
+
+def test_redaction_of_a_text_with_very_many_spans(frame):
+    import time
+
+    none = pii.Model([], 0.0, [float("inf")] * 4)
+    text = "".join(f"line {i} é😀 from 10.0.{i % 256}.7 to all, " + "x" * (i % 60) + "\n" for i in range(20_000))
+    start = time.time()
+    got = pii.redact(frame([(1, text), (2, "a@b.co"), (3, ""), (4, None), (5, "no data"), (6, "x" * 256 + "10.0.0.7"), (7, "10.0.0.7" + "x" * 512)]), none).collect()
+    texts = {r.doc_id: r.text for r in got}
+    assert time.time() - start < 60
+    assert texts[1] == re.sub(r"10\.0\.\d+\.7", "[IP]", text)
+    assert [texts[i] for i in range(2, 8)] == ["[EMAIL]", "", None, "no data", "x" * 256 + "[IP]", "[IP]" + "x" * 512]
+
+
+def test_rows_alike_are_mixed_each_on_their_own(frame):
+    rows = [(None, "a b c d e f", "s")] * 2 + [(7, "g h", "s")] * 5 + [(8, None, "s"), (9, "", "t")]
+    df = frame(rows, "doc_id long, text string, source string")
+    taken = sum(r.taken for r in mixing.mix(df).collect())
+    docs = mixing.mixed_documents(df)
+    assert docs.columns == df.columns
+    assert sum(len((r.text or "").split()) for r in docs.collect()) == taken == 33
+    assert mixing.mixed_documents(df.limit(0)).count() == 0
+
+
+def test_documents_without_weight_are_dealt_to_many_bins(frame, monkeypatch):
+    seen = []
+    monkeypatch.setattr(mixing, "checkpointed", lambda df, real=mixing.checkpointed: seen.append(real(df)) or seen[-1])
+    rows = [(i, "w w", "a") for i in range(500)]
+    df = frame(rows, "doc_id long, text string, source string")
+    weights = df.select("doc_id", F.when(F.col("doc_id") < 100, 1.0).otherwise(0.0).alias("weight"))
+    got = mixing.mix(df, weights, source_weights=(1,), share=0.5).collect()
+    bins = Counter(r.bin for r in seen[0].where(f"bin >= {1 << 40}").collect())
+    assert sum(bins.values()) == 400 and max(bins.values()) <= 3
+    assert sum(r.taken for r in got) == 500 and all(r.taken == 2 for r in got if r.doc_id < 100)
