@@ -41,7 +41,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; one a source may be cut to the words that its budget has left."""
-    return _counted(mixing.mixed_documents(docs, mixing.mix(docs, quality_weights(spark, sf_dir))))
+    return _counted(mixing.mixed_documents(docs, quality_weights(spark, sf_dir)))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
