@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from roadlens.functions.labels import monday_first_ordinal, truncate_sample, weekday_name
 from roadlens.functions.parsing import parse_day_first_date, strict_hour
-from roadlens.operators.small import materialize
+from roadlens.operators.quantiles import FirstScan, fences, first_scan, number, quantiles
 from roadlens.operators.stats import (approx_quantile, numeric_columns, pct, rows_from_wide,
-                                      string_columns, table_quantiles, value_counts, value_table)
+                                      string_columns, value_counts)
 from roadlens.schemas import (CASUALTY_CAP_QUANTILE, CASUALTY_EXTREME, DAY_FIRST_PATTERNS,
                               IQR_COLUMNS, IQR_FACTOR,
                               KEY_COL, MISSING_BANDS, RUSH_HOURS, SOURCE_ORDER_COL,
@@ -70,38 +70,43 @@ def missing_report(df: DataFrame) -> DataFrame:
                .orderBy(F.col("missing_pct").desc(), "column_name"))
 
 
-def _r4(name: str):
-    return F.round(F.col(name).cast("double"), 4)
+def _one_row(df: DataFrame) -> DataFrame:
+    return df.sparkSession.range(0, 1, 1, 1)
 
 
-def _numeric_aggs(cols: list[str], approx_cols: tuple[str, ...] = ()) -> list:
-    return [a for i, c in enumerate(cols) for a in (
-        F.count(c).alias(f"c{i}"), F.avg(c).alias(f"a{i}"), F.stddev_samp(c).alias(f"s{i}"),
-        F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"),
-        *([approx_quantile(F.col(c), 0.5).alias(f"m{i}")] if c in approx_cols else []))]
+def _double(x: float | int | None):
+    return F.lit(x).cast("double")
 
 
-def _medians(table: DataFrame, n: int) -> list:
-    """Rounded medians of the first ``n`` columns of a value table, as literals."""
-    found = table_quantiles(table, {i: [0.5] for i in range(n)})
-    return [F.round(F.lit(found[i][0]).cast("double"), 4) for i in range(n)]
+def _r4(x: float | None):
+    return F.round(_double(x), 4)
+
+
+def _summary(first: FirstScan, medians: dict[str, float | None], c: str) -> dict:
+    m = first.columns[c]
+    return {"mean": _r4(m.mean), "median": _r4(medians[c]), "std": _r4(m.std), "min": _r4(m.low), "max": _r4(m.high)}
+
+
+def _medians(df: DataFrame, first: FirstScan, columns: list[str], approx: list[str], groups=None):
+    """Exact medians by a second scan, sketched ones of ``approx``; and that scan."""
+    exact = [c for c in columns if c not in approx]
+    found = quantiles(df, first, {c: [0.5] for c in exact}, groups=groups) if exact or groups else None
+    sketched = first.brackets({c: [0.5] for c in approx}, margin=0.0)
+    return {**{c: found[c, 0.5] for c in exact}, **{c: sketched.get((c, 0.5), (None,))[0] for c in approx}}, found
 
 
 def numeric_summary(df: DataFrame, approx_cols: tuple[str, ...] = ()) -> DataFrame:
     """D3: count, mean, median, sample std, min, max (rounded to 4) for every
-    numeric column. One aggregate, and one pass of value counts from which the
-    exact medians of all columns come in the same way (``table_quantiles``);
-    columns in ``approx_cols`` use a bounded sketch instead.
+    numeric column, NaN being no value. Two scans, see ``quantiles``; columns in ``approx_cols``
+    have the median of their sketch, and if all are, one scan will do.
     """
     cols = numeric_columns(df)
-    exact = [c for c in cols if c not in approx_cols]
-    median = dict(zip(exact, _medians(value_table(df, exact), len(exact))))
-    wide = df.agg(F.lit(0), *_numeric_aggs(cols, approx_cols))
-    records = [{"column_name": F.lit(c), "count": F.col(f"c{i}"), "mean": _r4(f"a{i}"),
-                "median": median[c] if c in median else _r4(f"m{i}"),
-                "std": _r4(f"s{i}"), "min": _r4(f"lo{i}"), "max": _r4(f"hi{i}")}
-               for i, c in enumerate(cols)]
-    return rows_from_wide(wide, records)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, count bigint, mean double, median double, std double, min double, max double")
+    first = first_scan(df, cols)
+    medians, _ = _medians(df, first, cols, [c for c in cols if c in approx_cols])
+    records = [{"column_name": F.lit(c), "count": F.lit(first.columns[c].n).cast("long"), **_summary(first, medians, c)} for c in cols]
+    return rows_from_wide(_one_row(df), records)
 
 
 def severity_distribution(df: DataFrame) -> DataFrame:
@@ -126,13 +131,17 @@ def speed_invalid(df: DataFrame) -> DataFrame:
 
 def casualty_histogram(df: DataFrame, column: str = "Number_of_Casualties",
                        q: float = CASUALTY_CAP_QUANTILE) -> DataFrame:
-    """Unit bins 1..int(p99) with their counts (0 for empty bins). One scan:
-    the cap and the bins come from the same value counts."""
-    table = value_table(df, [column])
-    cap = table_quantiles(table, {0: [q]})[0][0]
+    """Unit bins 1..int(p99) with their counts (0 for empty bins). Two
+    scans: the second finds the cap and counts whole values up to its bracket's end."""
+    first = first_scan(df, [column])
+    spark = df.sparkSession
+    if not first.columns[column].n:
+        return spark.createDataFrame([], f"`{column}` int, cnt bigint")
+    x, top = number(column), first.brackets({column: [q]})[column, q][1]
+    found = quantiles(df, first, {column: [q]}, groups=[F.when((x == F.floor(x)) & x.between(1, F.lit(top)), x)])
     # no bins when the cap is below 1
-    bins = df.sparkSession.range(1, max(int(cap or 0), 0) + 1).select(F.col("id").cast("int").alias(column))
-    counts = table.select(F.col("_v").cast("int").alias(column), F.col("_n"), "_v").filter(F.col("_v") == F.col(column))
+    bins = spark.range(1, max(int(found[column, q]), 0) + 1).select(F.col("id").cast("int").alias(column))
+    counts = found.second.table.filter(F.col("_c") == -1).select(F.col("_v").cast("int").alias(column), "_n")
     return (bins.join(counts, column, "left")
                 .select(column, F.coalesce(F.col("_n"), F.lit(0)).alias("cnt"))
                 .orderBy(column))
@@ -140,29 +149,24 @@ def casualty_histogram(df: DataFrame, column: str = "Number_of_Casualties",
 
 def casualty_stats(df: DataFrame, column: str = "Number_of_Casualties",
                    extreme: int = CASUALTY_EXTREME) -> DataFrame:
-    """Mean, median, max, and count / % (of non-null rows) above ``extreme``,
-    all from one pass of value counts."""
-    table = value_table(df, [column])
-    median = table_quantiles(table, {0: [0.5]})[0][0]
-    v, n = F.col("_v"), F.col("_n")
-    return (table.agg((F.sum(v * n) / F.sum(n)).alias("_mean"), F.max(v).cast(df.schema[column].dataType).alias("max"),
-                      F.coalesce(F.sum(F.when(v > extreme, n)), F.lit(0)).alias("extreme_count"), F.sum(n).alias("_n"))
-                 .select(F.round("_mean", 4).alias("mean"), F.round(F.lit(median).cast("double"), 4).alias("median"), "max",
-                         "extreme_count", pct(F.col("extreme_count"), F.col("_n"), 3).alias("extreme_pct")))
+    """Mean, median, max, and count / % (of non-null rows) above ``extreme``; two scans."""
+    first = first_scan(df, [column], {"extreme": number(column) > extreme})
+    m, over = first.columns[column], F.lit(first.counts["extreme"]).cast("long")
+    median = quantiles(df, first, {column: [0.5]})[column, 0.5]
+    return _one_row(df).select(_r4(m.mean).alias("mean"), _r4(median).alias("median"),
+                               _double(m.high).cast(df.schema[column].dataType).alias("max"), over.alias("extreme_count"),
+                               pct(over, F.nullif(F.lit(m.n).cast("long"), F.lit(0)), 3).alias("extreme_pct"))
 
 
 def box_stats(df: DataFrame, column: str = "Number_of_Casualties", k: float = IQR_FACTOR) -> DataFrame:
     """Median, quartiles, whiskers (furthest values inside the 1.5 IQR
-    fences) and the number of fliers, all from one pass of value counts."""
-    table = value_table(df, [column])
-    q1, med, q3 = (F.lit(x).cast("double") for x in table_quantiles(table, {0: [0.25, 0.5, 0.75]})[0])
-    v, n, dtype = F.col("_v"), F.col("_n"), df.schema[column].dataType
-    inside = v.between(q1 - (q3 - q1) * k, q3 + (q3 - q1) * k)
-    return (table.agg(F.min(F.when(inside, v)).cast(dtype).alias("whisker_low"),
-                      F.max(F.when(inside, v)).cast(dtype).alias("whisker_high"),
-                      F.coalesce(F.sum(F.when(~inside, n)), F.lit(0)).alias("fliers"))
-                 .select(q1.alias("q1"), med.alias("median"), q3.alias("q3"), (q3 - q1).alias("iqr"),
-                         "whisker_low", "whisker_high", "fliers"))
+    fences) and the number of fliers, in two scans."""
+    f, dtype = fences(df, [column], k)[1][column], df.schema[column].dataType
+    q1, median, q3 = (_double(x) for x in (f.q1, f.median, f.q3))
+    return _one_row(df).select(q1.alias("q1"), median.alias("median"), q3.alias("q3"), (q3 - q1).alias("iqr"),
+                               _double(f.whisker_low).cast(dtype).alias("whisker_low"),
+                               _double(f.whisker_high).cast(dtype).alias("whisker_high"),
+                               F.lit(f.outside).cast("long").alias("fliers"))
 
 
 def hour_distribution(df: DataFrame) -> DataFrame:
@@ -222,28 +226,19 @@ def worst_keys(df: DataFrame, key: str = KEY_COL, top: int = WORST_KEYS) -> Data
 
 def iqr_outliers(df: DataFrame, columns: list[str] = IQR_COLUMNS, k: float = IQR_FACTOR) -> DataFrame:
     """Per column Q1, Q3, IQR, fences, outliers and invalid (<= 0) speed
-    limits, both also as % of the column's non-null rows. One pass of value
-    counts serves the quartiles and the counting."""
+    limits, both also as % of the column's non-null rows; two scans for all."""
     cols = [c for c in columns if c in df.columns]
-    table = value_table(df, cols)
-    quartiles = table_quantiles(table, {i: [0.25, 0.75] for i in range(len(cols))})
-    aggs, records = [], []
-    for i, c in enumerate(cols):
-        q1, q3 = (F.lit(x).cast("double") for x in quartiles[i])
-        lo, hi = q1 - (q3 - q1) * k, q3 + (q3 - q1) * k
-        v, n = F.col("_v"), F.when(F.col("_c") == i, F.col("_n"))
-        invalid = v <= 0 if c == "Speed_limit" else F.lit(False)
-        aggs += [F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).alias(f"{name}{i}")
-                 for name, cond in [("o", (v < lo) | (v > hi)), ("n", F.lit(True)), ("v", invalid)]]
+    first, found = fences(df, cols, k, {c: number(c) <= 0 if c == "Speed_limit" else F.lit(False) for c in cols})
+    records = []
+    for c in cols:
+        f = found[c]
+        n = F.nullif(F.lit(f.n).cast("long"), F.lit(0))
+        outliers, invalid = (F.lit(x).cast("long") for x in (f.outside, first.counts[c]))
+        q1, q3 = _double(f.q1), _double(f.q3)
         records.append({"column_name": F.lit(c), "q1": q1, "q3": q3, "iqr": q3 - q1,
-                        "lower": lo, "upper": hi, "outliers": F.col(f"o{i}"),
-                        "outlier_pct": _share(f"o{i}", f"n{i}"), "invalid": F.col(f"v{i}"),
-                        "invalid_pct": _share(f"v{i}", f"n{i}")})
-    return rows_from_wide(table.agg(F.lit(0), *aggs), records)
-
-
-def _share(part: str, total: str):
-    return pct(F.col(part), F.nullif(F.col(total), F.lit(0)), 3)
+                        "lower": _double(f.lower), "upper": _double(f.upper), "outliers": outliers,
+                        "outlier_pct": pct(outliers, n, 3), "invalid": invalid, "invalid_pct": pct(invalid, n, 3)})
+    return rows_from_wide(_one_row(df), records)
 
 
 def format_checks(df: DataFrame) -> DataFrame:
@@ -277,32 +272,28 @@ def whitespace_report(df: DataFrame) -> DataFrame:
 def final_statistics(df: DataFrame, secondary: DataFrame) -> DataFrame:
     """Sizes, severity shares, the five worst missing columns and the
     numeric summary as one long (section, item, metric, value) table. Two
-    scans of ``df``: value counts (medians, severity) and one wide aggregate."""
+    scans of ``df``: figures, gaps and sketches; then medians and severities."""
     cols, numeric = df.columns, numeric_columns(df)
-    table = value_table(df, [*numeric, "Accident_Severity"])
-    medians = _medians(table, len(numeric))
-    wide, _ = materialize(df.agg(
-        _total().alias("_n"), *_numeric_aggs(numeric),
-        *[F.count_if(F.col(c).isNull()).alias(f"null{i}") for i, c in enumerate(cols)])
-        .withColumn("_m", secondary.agg(_total()).scalar()), count=False)
+    first = first_scan(df, numeric, {c: F.col(f"`{c}`").isNull() for c in cols})
+    medians, found = _medians(df, first, numeric, [], groups=[F.col("Accident_Severity")])
+    wide = _one_row(df).withColumn("_m", secondary.agg(_total()).scalar())
+    rows = F.lit(first.rows).cast("long")
 
     def line(section, item, metric, value):
         return F.struct(F.lit(section).alias("section"), item.alias("item"), F.lit(metric).alias("metric"), value.alias("value"))
 
     sizes = [line("size", F.lit(item), metric, value) for item, metric, value in [
-        ("accidents", "rows", F.col("_n").cast("double")), ("traffic_flow", "rows", F.col("_m").cast("double")),
-        ("accidents", "columns", F.lit(float(len(cols)))),
-        ("traffic_flow", "columns", F.lit(float(len(secondary.columns))))]]
-    summary = [line("numeric", F.lit(c), metric, value) for i, c in enumerate(numeric) for metric, value in [
-        ("mean", _r4(f"a{i}")), ("median", medians[i]), ("std", _r4(f"s{i}")), ("min", _r4(f"lo{i}")), ("max", _r4(f"hi{i}"))]]
+        ("accidents", "rows", _double(first.rows)), ("traffic_flow", "rows", F.col("_m").cast("double")),
+        ("accidents", "columns", _double(len(cols))), ("traffic_flow", "columns", _double(len(secondary.columns)))]]
+    summary = [line("numeric", F.lit(c), metric, value) for c in numeric
+               for metric, value in _summary(first, medians, c).items()]
     # worst first: by falling share, then by name
-    gaps = F.array(*[F.struct((-pct(F.col(f"null{i}"), F.col("_n"), 3)).alias("k"), F.lit(c).alias("c"),
-                              F.col(f"null{i}").alias("missing")) for i, c in enumerate(cols)])
+    gaps = F.array(*[F.struct((-pct(F.lit(n).cast("long"), rows, 3)).alias("k"), F.lit(c).alias("c"),
+                              F.lit(n).cast("long").alias("missing")) for c, n in first.counts.items()])
     worst = F.transform(F.slice(F.array_sort(F.filter(gaps, lambda g: g["missing"] > 0)), 1, 5),
                         lambda g: line("missing", g["c"], "pct", -g["k"]))
-    severity = (table.filter(F.col("_c") == len(numeric))
+    severity = (found.second.table.filter(F.col("_c") == -1)
                      .select(F.lit("severity").alias("section"),
                              F.col("_v").cast(df.schema["Accident_Severity"].dataType).cast("string").alias("item"),
-                             F.lit("pct").alias("metric"),
-                             pct(F.col("_n"), wide.select("_n").scalar(), 2).alias("value")))
+                             F.lit("pct").alias("metric"), pct(F.col("_n"), rows, 2).alias("value")))
     return wide.select(F.inline(F.concat(F.array(*sizes), worst, F.array(*summary)))).unionByName(severity)

@@ -2,9 +2,8 @@
 
 Wide per-column metrics are computed in ONE aggregate over all columns and
 then turned into rows with ``inline(array(struct ...))`` — one scan per
-profile, not one per column. Scalars that later steps need (quantiles,
-totals) stay inside the plan as scalar subqueries (``DataFrame.scalar()``),
-so nothing is collected to the driver.
+profile, not one per column. Totals that later steps need stay inside the
+plan as scalar subqueries (``DataFrame.scalar()``); quantiles are in ``quantiles``.
 """
 
 from __future__ import annotations
@@ -44,104 +43,3 @@ def value_counts(df: DataFrame, column: str, name: str = "cnt") -> DataFrame:
 def approx_quantile(c: Column, q: float | list[float], accuracy: int = 10_000) -> Column:
     """Bounded-memory quantile sketch (a data value, not interpolated)."""
     return F.percentile_approx(c, q, accuracy)
-
-
-def value_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(_c, _v, _n)``: position of the column, value as a double, rows with it;
-    nulls left out. One scan and one shuffle for all columns, combined map-side
-    (a hot value is one row per input partition), materialized for reuse."""
-    from roadlens.operators.small import materialize
-
-    if not columns:
-        return df.sparkSession.createDataFrame([], "_c int, _v double, _n bigint")
-    pairs = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v"))
-                      for i, c in enumerate(columns)])
-    counts = (df.select(F.inline(pairs)).filter(F.col("_v").isNotNull())
-                .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
-    return materialize(counts, count=False)[0]
-
-
-LEAF_VALUES = 10_000  # distinct values that one window may sort
-FANOUT = 64           # parts a larger range is cut into
-
-
-def _rows(spark, schema: str, rows: list[tuple]) -> DataFrame:
-    """A few rows as literals of the plan."""
-    fields = [f.split() for f in schema.split(", ")]
-    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)]) for row in rows]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
-
-
-def _find(table: DataFrame, ranges: dict) -> DataFrame:
-    """Rows of ``table`` inside each ``{(column, lo, hi): id}`` (a few ranges: at most two per quantile)."""
-    side = _rows(table.sparkSession, "_r int, _rc int, _lo double, _hi double",
-                 [(i, c, lo, hi) for (c, lo, hi), i in ranges.items()])
-    return table.join(F.broadcast(side), (F.col("_c") == F.col("_rc")) & F.col("_v").between(F.col("_lo"), F.col("_hi")))
-
-
-def table_quantiles(table: DataFrame, wants: dict[int, list[float]], leaf: int = LEAF_VALUES,
-                    fanout: int = FANOUT) -> dict[int, list[float | None]]:
-    """Exact linear-interpolated quantiles (pandas / ``quantile_cont``) of the
-    columns of a ``value_table``, all columns together.
-
-    Each needed rank starts in its column's whole range. While that range holds
-    more than ``leaf`` distinct values it is cut at ``fanout`` sketched points,
-    the parts are counted exactly, and the part with the rank goes on; so no
-    task ever sorts more than ``leaf`` values and the driver sees ``fanout``
-    counts per range. ``None`` where a column has no values.
-    """
-    from pyspark.sql import Window
-
-    start = {r["_c"]: r for r in table.groupBy("_c").agg(
-        F.sum("_n").alias("n"), F.count(F.lit(1)).alias("d"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()}
-    at: dict[tuple[int, int], tuple] = {}  # (column, rank) -> (lo, hi, rows before lo, distinct values)
-    for c, qs in wants.items():
-        for q in qs if c in start else []:
-            pos = q * (start[c]["n"] - 1)
-            for rank in {int(pos), min(int(pos) + 1, start[c]["n"] - 1)}:
-                at[c, rank] = (start[c]["lo"], start[c]["hi"], 0, start[c]["d"])
-
-    def numbered(keys):
-        return {k: i for i, k in enumerate(dict.fromkeys((c, *at[c, rank][:2]) for c, rank in keys))}
-
-    while wide := [k for k, state in at.items() if state[3] > max(leaf, 1)]:
-        ranges = numbered(wide)
-        inside = _find(table, ranges)
-        points = [i / fanout for i in range(1, fanout)]
-        cuts = inside.groupBy("_r").agg(F.percentile_approx("_v", points, 20 * fanout).alias("_cuts"))
-        parts = (inside.join(F.broadcast(cuts), "_r")  # one array of cuts per range
-                       .withColumn("_b", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v"))))
-                       .groupBy("_r", "_b").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("d"),
-                                                F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-                       .orderBy("_r", "_b").collect())
-        for c, rank in wide:
-            lo, hi, before, _ = at[c, rank]
-            for part in (p for p in parts if p["_r"] == ranges[c, lo, hi]):
-                if rank < before + part["n"]:
-                    at[c, rank] = (part["lo"], part["hi"], before, part["d"])
-                    break
-                before += part["n"]
-    values: dict[tuple[int, int], float] = {}
-    if at:
-        ranges = numbered(at)
-        asked = _rows(table.sparkSession, "_r int, _rank bigint, _local bigint",
-                      [(ranges[c, lo, hi], rank, rank - before) for (c, rank), (lo, hi, before, _) in at.items()])
-        upto = Window.partitionBy("_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        found = (_find(table, ranges).withColumn("_cum", F.sum("_n").over(upto))
-                 .join(F.broadcast(asked), "_r").filter(F.col("_cum") > F.col("_local"))
-                 .groupBy("_c", "_rank").agg(F.min("_v").alias("_v")).collect())
-        values = {(r["_c"], r["_rank"]): r["_v"] for r in found}
-
-    def interpolated(c: int, q: float) -> float | None:
-        if c not in start:
-            return None
-        pos = q * (start[c]["n"] - 1)
-        low, high = values[c, int(pos)], values[c, min(int(pos) + 1, start[c]["n"] - 1)]
-        return low if pos == int(pos) or low == high else low + (high - low) * (pos - int(pos))
-
-    return {c: [interpolated(c, q) for q in qs] for c, qs in wants.items()}
-
-
-def distributed_quantiles(df: DataFrame, column: str, qs: list[float], leaf: int = LEAF_VALUES) -> list[float | None]:
-    """Exact quantiles of one column, see ``table_quantiles``."""
-    return table_quantiles(value_table(df, [column]), {0: qs}, leaf)[0]
