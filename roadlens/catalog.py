@@ -26,7 +26,7 @@ from roadlens.plans.etl import run_etl
 from roadlens.schemas import DIMENSIONS, FACT_PARTITION_COL, KEY_COL, SOURCE_ORDER_COL
 from roadlens.session import remove_folder, scratch_path
 from roadlens.sources import landing
-from roadlens.sources.csv import file_report, load_report, read_accident_csvs, write_csv
+from roadlens.sources.csv import load_report, read_accident_csvs, write_csv
 from roadlens.sources.sinks import write_table
 from roadlens.sources.tables import read_star, register_star
 
@@ -159,13 +159,34 @@ def _csv_corrupt(p: Stages) -> DataFrame:
 @query("file_report")
 def _file_report(p: Stages) -> DataFrame:
     """S3: per landed file: rows and columns (parts and sizes depend on the run)."""
-    return file_report(p.spark, p.land()).select("source_file", "columns", "rows")
+    base = os.path.dirname(next(iter(p.land().values())))
+    return landing.landed_report(p.spark, base).select("source_file", "columns", "rows")
 
 
 @query("file_checks")
 def _file_checks(p: Stages) -> DataFrame:
     """Per landed file: data rows, UTF-8 validity."""
-    return landing.file_checks(p.spark, p.land()).select("source_file", "rows", "valid_utf8")
+    base = os.path.dirname(next(iter(p.land().values())))
+    return landing.landed_report(p.spark, base).select("source_file", "rows", "valid_utf8")
+
+
+@query("landed_sizes")
+def _landed_sizes(p: Stages) -> DataFrame:
+    """MB of the records of landed files (headers depend on the number of part files), from the manifest."""
+    texts = [KEY_COL, "Date", "Time", "Road_Type", "Weather_Conditions"]
+    root = scratch_path(p.spark, "landing")
+    folders = landing.land_sources({name: df.select(*texts) for name, df in source_files(p.raw).items()}, root, INGEST_DATE)
+    base = os.path.dirname(next(iter(folders.values())))
+    return landing.landed_report(p.spark, base).select("source_file", "rows", "data_mb")
+
+
+@query("secondary_csv_types")
+def _secondary_csv(p: Stages) -> DataFrame:
+    """The secondary source as a CSV file, read back with the types its
+    values have by the manifest: per column its type and its values."""
+    folders = landing.land_sources({"traffic_flow.csv": secondary_source(p.spark, p.sf_dir)}, scratch_path(p.spark, "secondary"), INGEST_DATE)
+    df = landing.read_landed(p.spark, folders, typed=True).drop("year", "month", "source_file")
+    return P.schema_report(df).select("column_name", "data_type", "non_null")
 
 
 @query("secondary_source_totals")

@@ -306,6 +306,15 @@ def _register() -> None:
         "SELECT source_file, CAST(CASE source_file WHEN 'accidents_3.csv' THEN 21 ELSE 22 END AS INTEGER) AS columns, "
         f"COUNT(*) AS rows FROM {per_file}")
     o["file_checks"] = with_raw(f"SELECT source_file, COUNT(*) AS rows, true AS valid_utf8 FROM {per_file}")
+    written = " + ".join(f"CASE WHEN {c} IS NULL THEN 0 WHEN {c} = '' THEN 2 ELSE strlen({c}) END"
+                         for c in ["Accident_Index", '"Date"', '"Time"', "Road_Type", "Weather_Conditions"])
+    o["landed_sizes"] = with_raw(
+        f"SELECT source_file, COUNT(*) AS rows, round(CAST(SUM(n) AS DOUBLE) / 1048576, 6) AS data_mb "
+        f"FROM (SELECT {source_file_expr()} AS source_file, {written} + 5 AS n FROM raw) GROUP BY source_file")
+    csv_types = {"l_linenumber": "bigint", **{c: "double" for c in FLOAT_COLS}}
+    o["secondary_csv_types"] = _union(
+        [f"SELECT '{c}' AS column_name, '{csv_types.get(c, 'bigint' if c.endswith('key') else 'string')}' AS data_type, "
+         f"COUNT({c}) AS non_null FROM lineitem" for c in LINEITEM_COLS])
     o["secondary_source_totals"] = with_raw(
         "SELECT (SELECT COUNT(*) FROM raw) AS accident_rows, (SELECT COUNT(*) FROM lineitem) AS traffic_flow_rows, "
         "CAST((SELECT COUNT(*) FROM information_schema.columns WHERE table_name = 'lineitem') AS INTEGER) "

@@ -126,6 +126,12 @@ def move_folder(spark: SparkSession, source: str, target: str) -> bool:
     return True
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any store, sorted; none if there is no such folder."""
+    fs, where = _folder(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(where)) if fs.exists(where) else []
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)

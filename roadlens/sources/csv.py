@@ -13,11 +13,13 @@ leading/trailing spaces), so the reader and writer keep it.
 from __future__ import annotations
 
 import csv as _csv
+import re
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from roadlens.operators.small import materialize
 from roadlens.schemas import RAW_FIELDS
 
 CSV_OPTIONS = {
@@ -29,6 +31,7 @@ CSV_OPTIONS = {
     "enforceSchema": "false",
 }
 CORRUPT_COL = "_corrupt_record"
+FIRST_BYTES = 1 << 16
 INTEGER = r"^\s*[+-]?\d+\s*$"
 DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 KNOWN_TYPES: dict[str, T.DataType] = {**dict(RAW_FIELDS), "copy_no": T.IntegerType()}
@@ -42,21 +45,71 @@ def header_columns(spark: SparkSession, path: str) -> list[str]:
     return [str(v).strip() if v is not None else f"_c{i}" for i, v in enumerate(first[0])]
 
 
-def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Non-empty files of ``paths`` (files, folders, globs) by their columns, sorted by file.
+def _local(path: str) -> str | None:
+    """The plain path of a local file, None for another store."""
+    found = re.match("file:/+", path)
+    return f"/{path[found.end():]}" if found else None if "://" in path else path
 
-    The line at offset 0 of each file is its header; the lines are found in
-    one job and only they and the paths reach the driver (one per file).
-    """
-    lines = (spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value",
-                                           F.col("_metadata.file_block_start").alias("at"),
-                                           F.monotonically_increasing_id().alias("row"))
-                  .filter(F.col("at") == 0)
-                  .groupBy("path").agg(F.min_by("value", "row").alias("header")))
+
+def first_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(path, header, bytes_read) of local files that aren't empty: tasks open
+    some files each and read ``FIRST_BYTES`` at a time until a line is whole, so
+    the bytes read don't grow with the files. Needs nothing but pyarrow on the executors."""
+    step = FIRST_BYTES
+
+    def read(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            for path in batch.column("path").to_pylist():
+                with fs.LocalFileSystem().open_input_stream(_plain(path), compression="detect") as stream:
+                    start = b""
+                    while (more := stream.read(step)) and not any(c in start + more for c in b"\r\n"):
+                        start += more
+                    start += more
+                if start:
+                    rows.append((path, start.splitlines()[0].decode("utf-8", "replace"), len(start)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["path", "header", "bytes_read"])
+
+    _plain = _local  # by value: executors need not have this package
+    listed = spark.createDataFrame([(path,) for path in files], "path string")
+    tasks = max(1, min(len(files), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return listed.repartition(tasks).mapInArrow(read, "path string, header string, bytes_read bigint")
+
+
+def _scanned_lines(spark: SparkSession, files: list[str]) -> DataFrame:
+    """The same from any store, by Spark's reader: the line at offset 0 of each file."""
+    return (spark.read.text(files).select(F.col("_metadata.file_path").alias("path"), "value",
+                                          F.col("_metadata.file_block_start").alias("at"),
+                                          F.monotonically_increasing_id().alias("row"))
+                 .filter(F.col("at") == 0)
+                 .groupBy("path").agg(F.min_by("value", "row").alias("header")))
+
+
+def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """``paths`` (files, folders, globs) by their columns; empty files belong to no group.
+
+    The driver gets the distinct headers. If there is one, all paths go with
+    it as they are; only if there are several it gets each file's, because
+    Spark's reader takes the files of a group as a list."""
+    files = list_files(spark, paths)
+    if not files:
+        return {}
+    lines = first_lines(spark, files) if all(map(_local, files)) else _scanned_lines(spark, files)
+    lines, _ = materialize(lines, count=False)
+
+    def columns(header: str) -> tuple[str, ...]:
+        return tuple(next(_csv.reader([header.removeprefix("\ufeff")]), []))
+
+    headers = {columns(r["header"]) for r in lines.select("header").distinct().collect()}
+    if len(headers) <= 1:
+        return {header: list(paths) for header in headers}
     groups: dict[tuple[str, ...], list[str]] = {}
-    for r in sorted(lines.collect(), key=lambda r: r["path"]):
-        columns = next(_csv.reader([r["header"].removeprefix("\ufeff")]), [])
-        groups.setdefault(tuple(columns), []).append(unquote(r["path"]))
+    for r in lines.select("path", "header").orderBy("path").collect():
+        groups.setdefault(columns(r["header"]), []).append(unquote(r["path"]))
     return groups
 
 
@@ -77,7 +130,7 @@ def unknown_types(spark: SparkSession, groups: dict[tuple[str, ...], list[str]],
         text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         df = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).schema(text).csv(files)
         found = df.agg(*[a for i, c in wanted for x in [F.col(f"`{c}`")] for a in (
-            F.count(x).alias(f"n{i}"), F.bool_and(x.rlike(INTEGER) & x.try_cast("bigint").isNotNull()).alias(f"i{i}"),
+            F.count(x).alias(f"n{i}"), F.bool_and(F.when(x.isNotNull(), x.rlike(INTEGER) & x.try_cast("bigint").isNotNull())).alias(f"i{i}"),
             F.bool_and(x.rlike(DECIMAL)).alias(f"d{i}"))]).first()
         for i, c in wanted:
             if found[f"n{i}"]:
@@ -123,12 +176,15 @@ def list_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
 
 
 def read_accident_csvs(spark: SparkSession, paths: list[str], source_col: str | None = "source_file",
-                       infer_unknown: bool = True, corrupt: bool = False, multi_line: bool = False) -> DataFrame:
+                       infer_unknown: bool = True, corrupt: bool = False, multi_line: bool = False,
+                       types: dict[str, T.DataType] | None = None) -> DataFrame:
     """S1 + S2 + U1: files, folders and globs, one read per distinct header,
     unioned by name, missing columns -> null. Columns outside the canonical
-    schema are typed by their values (``infer_unknown``) or left as text."""
+    schema have the ``types`` given (a landing manifest knows them), or are typed
+    by their values (``infer_unknown``, a scan of their own) or left as text."""
     groups = header_groups(spark, paths)
-    types = unknown_types(spark, groups, multi_line) if infer_unknown else {}
+    if types is None:
+        types = unknown_types(spark, groups, multi_line) if infer_unknown else {}
     if not groups:
         place = [T.StructField(source_col, T.StringType()), *(T.StructField(c, T.LongType()) for c in ("source_block", "source_row"))]
         known = schema_for([name for name in KNOWN_TYPES if name != "copy_no"]).fields

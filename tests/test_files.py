@@ -175,3 +175,87 @@ def test_gate_lands_nothing_when_a_file_fails(spark):
     assert checks == {"good.csv": (18, 2, 1, True), "worse.csv": (0, 0, 0, False)}
     with pytest.raises(landing.LandingRefused):
         landing.land_csv_files(spark, [os.path.join(root, "none-*.csv")], zone, dt.date(2026, 4, 1))
+
+
+def _zone(spark, root, **texts):
+    folder = _files(spark, **texts)
+    return landing.land_csv_files(spark, [os.path.join(folder, "*.csv")], root, dt.date(2026, 4, 1))
+
+
+def _jobs(spark, group, action):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        action()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_many_files_land_in_as_many_writes_as_headers(spark):
+    few = {f"f{i}": f"Accident_Index,Speed_limit\nA{i},30\n" for i in range(3)} | {"g0": "Accident_Index\nB\n"}
+    many = {f"f{i}": f"Accident_Index,Speed_limit\nA{i},30\n" for i in range(60)} | {f"g{i}": f"Accident_Index\nB{i}\n" for i in range(20)}
+    roots = [scratch_path(spark, "zone") for _ in range(2)]
+    jobs = [_jobs(spark, f"land-{i}", lambda: _zone(spark, roots[i], **texts)) for i, texts in enumerate([few, many])]
+    assert jobs[1] <= jobs[0] + 10  # Spark lists more than 32 files in jobs of its own
+    base = landing.landing_folder(roots[1], dt.date(2026, 4, 1))
+    assert len([f for f in os.listdir(base) if f.startswith("source_file=")]) == 80
+    got = landing.landed_report(spark, base).collect()
+    assert len(got) == 80 and all(r.rows == 1 and r.lines == 2 and r.valid_utf8 for r in got)
+    folders = {f"f{i}.csv": os.path.join(base, f"source_file=f{i}.csv") for i in range(60)}
+    assert sorted(r.Accident_Index for r in landing.read_landed(spark, folders).collect()) == sorted(f"A{i}" for i in range(60))
+
+
+def test_landing_again_replaces_files_rows_and_manifest(spark):
+    root = scratch_path(spark, "zone")
+    _zone(spark, root, a="Accident_Index,flow\nA1,1\nA2,2\n", b="Accident_Index,flow\nB1,x\n")
+    folders = _zone(spark, root, a="Accident_Index,flow\n")  # no records: the old ones go
+    base = os.path.dirname(folders["a.csv"])
+    report = {r.source_file: (r.rows, r.columns) for r in landing.landed_report(spark, base).collect()}
+    assert report == {"a.csv": (0, 2), "b.csv": (1, 2)}
+    both = {n: os.path.join(base, f"source_file={n}") for n in ("a.csv", "b.csv")}
+    assert [r.Accident_Index for r in landing.read_landed(spark, both).collect()] == ["B1"]
+
+
+def test_manifest_statistics_and_types(spark):
+    root = scratch_path(spark, "zone")
+    folders = _zone(spark, root, a='Accident_Index,flow,share,note,none\nA1,12,3,"x, y",\n\nA2,,0.5,z,\n',
+                    b="flow,Accident_Index,share\n7,B1,1e3\n", c="flow,k\n1,2\nflow,k\n3,4\n")
+    base = os.path.dirname(folders["a.csv"])
+    rows = {r.source_file: r for r in landing.manifest(spark, base).collect()}
+    a = rows["a.csv"]
+    assert (a.lines, a.records, a.files, a.valid_utf8) == (4, 2, 1, True) and a.bytes == 64
+    assert {c.name: (c.non_null, c.whole, c.decimal) for c in a.columns} == {
+        "Accident_Index": (2, False, False), "flow": (1, True, True), "share": (2, False, True), "note": (2, False, False), "none": (0, None, None)}
+    assert rows["c.csv"].records == 3  # a header that comes again is a record, and makes its columns texts
+    types = {c: t.simpleString() for c, t in landing.landed_types(spark, base).items()}
+    assert types == {"flow": "string", "share": "double", "note": "string", "k": "string"}
+    two = {n: f for n, f in folders.items() if n != "c.csv"}
+    assert dict(landing.read_landed(spark, two, typed=True).dtypes)["share"] == "double"
+
+
+def test_headers_take_bytes_that_do_not_grow_with_the_files(spark):
+    from roadlens.sources.csv import FIRST_BYTES, first_lines, header_groups
+
+    small, large = "Accident_Index,Speed_limit\nA,1\n", "Accident_Index,Speed_limit\n" + "A,1\n" * 400_000
+    wide = ",".join(f"column_{i}" for i in range(12_000)) + "\n1\n"  # a header longer than one read
+    root = _files(spark, a=small, b=large, c="", d=wide)
+    files = [os.path.join(root, f"{n}.csv") for n in "abcd"]
+    got = {os.path.basename(r.path): r for r in first_lines(spark, files).collect()}
+    assert set(got) == {"a.csv", "b.csv", "d.csv"} and os.path.getsize(files[1]) > 20 * FIRST_BYTES
+    assert got["a.csv"].bytes_read == len(small) and got["b.csv"].bytes_read == FIRST_BYTES
+    assert got["d.csv"].header == wide.split("\n")[0]
+    assert list(header_groups(spark, files[:3]).values()) == [files[:3]]  # one header: the paths as given
+    assert len(header_groups(spark, files)) == 2
+    from roadlens.sources import csv as source
+
+    assert {r.header for r in source._scanned_lines(spark, files).collect()} == {r.header for r in got.values()}
+
+
+def test_compressed_files_have_headers(spark):
+    import gzip
+
+    root = scratch_path(spark, "gz")
+    os.makedirs(root)
+    with gzip.open(os.path.join(root, "a.csv.gz"), "wt") as f:
+        f.write("Accident_Index,Speed_limit\nA1,30\n")
+    assert [tuple(r) for r in read_accident_csvs(spark, [root], source_col=None).collect()] == [("A1", 30)]
