@@ -13,9 +13,11 @@ Shape of the job at scale:
    dimensions written.
 3. Fact = staged table joined to the written dimensions (broadcast only
    where their measured bytes fit), written partitioned by year.
-4. All tables are written to a folder of the run inside ``out_dir`` and moved
-   into place at the end, so a run that fails leaves the star before it whole;
-   the staged copy is deleted.
+4. All tables are written to a version folder of the run inside ``out_dir``; then
+   one pointer file is replaced at once, and readers who resolve it (``read_star``)
+   see the tables of one run, the one before or this one. A run that fails
+   leaves the star before it. Older versions are deleted, but for the last
+   ``keep`` that readers may still hold; the staged copy is deleted.
 5. Validation re-reads the published tables: one aggregate per table.
 
 Row counts for the summary come from ``Observation`` metrics collected
@@ -37,10 +39,10 @@ from roadlens.operators.checks import validate_tables
 from roadlens.operators.clean import clean_all, impute_speed_limit
 from roadlens.operators.star import build_dimensions, build_fact
 from roadlens.schemas import DIMENSIONS, FACT_PARTITION_COL
-from roadlens.session import (move_folder, partitions_for, remove_folder, scratch_path,
+from roadlens.session import (folder_names, partitions_for, remove_folder, replace_text, scratch_path,
                               shuffle_partitions as scoped_partitions)
 from roadlens.sources.sinks import write_table
-from roadlens.sources.tables import STAR_TABLES, read_star
+from roadlens.sources.tables import POINTER, STAR_TABLES, version_folder
 
 
 @dataclass
@@ -59,25 +61,38 @@ class EtlResult:
 
 def run_etl(spark: SparkSession, raw: DataFrame, out_dir: str, keys: str = "dense",
             null_safe: bool = False, strict_hour: bool = False, strict_coordinates: bool = False,
-            impute_speed: bool = False, shuffle_partitions: int | None = None) -> EtlResult:
+            impute_speed: bool = False, shuffle_partitions: int | None = None, keep: int = 1) -> EtlResult:
     """Run the ETL into ``out_dir``. ``shuffle_partitions`` sizes the dedup
     shuffle for the run; by default ``session.partitions_for(raw)``."""
     staged_path = scratch_path(spark, "staged-clean")
-    run_dir = os.path.join(out_dir, f"_run-{uuid.uuid4().hex}")
+    version = next_version(spark, out_dir)
+    run_dir = version_folder(out_dir, version)
     try:
         with scoped_partitions(spark, shuffle_partitions or partitions_for(raw)):
-            return _run(spark, raw, out_dir, run_dir, staged_path, keys, null_safe,
-                        strict_hour, strict_coordinates, impute_speed)
+            result = _run(spark, raw, out_dir, run_dir, staged_path, keys, null_safe,
+                          strict_hour, strict_coordinates, impute_speed)
+        publish(spark, out_dir, version, keep)
+    except BaseException:
+        remove_folder(spark, run_dir)
+        raise
     finally:
         remove_folder(spark, staged_path)
-        remove_folder(spark, run_dir)
+    return result
+
 
+def next_version(spark: SparkSession, out_dir: str) -> str:
+    """A name of its own that sorts after all versions there are."""
+    there = folder_names(spark, os.path.join(out_dir, "_versions"))
+    number = max((int(name.split("-")[0]) for name in there), default=-1) + 1
+    return f"{number:08d}-{uuid.uuid4().hex}"
 
-def publish(spark: SparkSession, run_dir: str, out_dir: str) -> None:
-    """Move the run's tables into place, those before them out first (renames only)."""
-    for name in STAR_TABLES:
-        move_folder(spark, os.path.join(out_dir, name), os.path.join(run_dir, "before", name))
-        move_folder(spark, os.path.join(run_dir, name), os.path.join(out_dir, name))
+
+def publish(spark: SparkSession, out_dir: str, version: str, keep: int = 1) -> None:
+    """Point readers of ``out_dir`` to a complete version, and delete those before the last ``keep``."""
+    replace_text(spark, os.path.join(out_dir, POINTER), version)
+    older = [name for name in folder_names(spark, os.path.join(out_dir, "_versions")) if name < version]
+    for name in older[:max(0, len(older) - keep)]:
+        remove_folder(spark, version_folder(out_dir, name))
 
 
 def _run(spark, raw, out_dir, run_dir, staged_path, keys, null_safe, strict_hour,
@@ -101,9 +116,7 @@ def _run(spark, raw, out_dir, run_dir, staged_path, keys, null_safe, strict_hour
     fact = build_fact(staged, written_dims, dim_bytes, null_safe)
     write_table(fact.observe(fact_obs, F.count(F.lit(1)).alias("rows")),
                 os.path.join(run_dir, "fact_accidents"), FACT_PARTITION_COL)
-    publish(spark, run_dir, out_dir)
-
-    tables = read_star(spark, out_dir)
+    tables = {name: spark.read.parquet(os.path.join(run_dir, name)) for name in STAR_TABLES}
     return EtlResult(out_dir=out_dir, raw_rows=int(raw_obs.get["rows"]),
                      clean_rows=int(clean_obs.get["rows"]), fact_rows=int(fact_obs.get["rows"]),
                      dim_rows=dim_rows, validation=validate_tables(tables))

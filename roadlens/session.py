@@ -80,6 +80,23 @@ def shuffle_partitions(spark: SparkSession, n: int | None):
         spark.conf.set(key, previous)
 
 
+@contextlib.contextmanager
+def scoped_conf(spark: SparkSession, key: str, value: str | None):
+    """Run a block with a setting of the session (restored after); None leaves it as it is."""
+    if value is None:
+        yield
+        return
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
+
+
 def partitions_for(df, target_bytes: int = 256 * 1024 * 1024) -> int:
     """Shuffle partitions for ``df``'s inputs at ``target_bytes`` each, from the
     sizes in its plan (no file is listed again); the session's own number where
@@ -114,16 +131,33 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
-def move_folder(spark: SparkSession, source: str, target: str) -> bool:
-    """Rename a folder inside one store; False if there is none."""
-    fs, where = _folder(spark, source)
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file in any store, None if there is none."""
+    fs, where = _folder(spark, path)
     if not fs.exists(where):
-        return False
-    to = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs.mkdirs(to.getParent())
-    if not fs.rename(where, to):
-        raise OSError(f"could not move {source} to {target}")
-    return True
+        return None
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place of the one before it at once: a reader finds the old text or the new one."""
+    fs, where = _folder(spark, path)
+    made = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(made, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if fs.getScheme() == "file":
+        os.replace(made.toUri().getPath(), where.toUri().getPath())
+        return
+    files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files.rename(made, where, options)
 
 
 def folder_names(spark: SparkSession, path: str) -> list[str]:

@@ -7,8 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from roadlens.schemas import DIMENSIONS
+from roadlens.session import read_text
 
 STAR_TABLES = ["fact_accidents", *DIMENSIONS]
+POINTER = "_current"  # names the published version
 
 
 def table_path(base: str, name: str) -> str:
@@ -24,9 +26,21 @@ def load_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(base, name))
 
 
+def version_folder(star_dir: str, version: str) -> str:
+    return os.path.join(star_dir, "_versions", version)
+
+
+def star_folder(spark: SparkSession, star_dir: str) -> str:
+    """Where the tables of the published run are; ``star_dir`` itself where nothing was published."""
+    version = read_text(spark, os.path.join(star_dir, POINTER))
+    return version_folder(star_dir, version) if version else star_dir
+
+
 def read_star(spark: SparkSession, star_dir: str) -> dict[str, DataFrame]:
-    """The five written star tables (fact partitioned by year)."""
-    return {name: spark.read.parquet(os.path.join(star_dir, name)) for name in STAR_TABLES}
+    """The five star tables (fact partitioned by year), all of one run: the
+    pointer is read once."""
+    folder = star_folder(spark, star_dir)
+    return {name: spark.read.parquet(os.path.join(folder, name)) for name in STAR_TABLES}
 
 
 def register_star(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:
