@@ -54,6 +54,7 @@ def test_etl_with_a_hot_accident_key(spark, sf_small):
     from roadlens.fixture import raw_accidents
     from roadlens.plans.etl import run_etl
     from roadlens.session import scratch_path
+    from roadlens.sources.tables import read_star
 
     raw = raw_accidents(spark, sf_small)
     n = raw.count()
@@ -64,5 +65,5 @@ def test_etl_with_a_hot_accident_key(spark, sf_small):
     result = run_etl(spark, hot, scratch_path(spark, "etl-hot"))
     assert result.raw_rows == n
     assert result.clean_rows == result.fact_rows == expected
-    fact = spark.read.parquet(result.out_dir + "/fact_accidents")
+    fact = read_star(spark, result.out_dir)["fact_accidents"]
     assert fact.filter(F.col("Accident_Index") == "A_HOT").count() == 1
