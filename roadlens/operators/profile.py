@@ -138,7 +138,8 @@ def casualty_histogram(df: DataFrame, column: str = "Number_of_Casualties",
     if not first.columns[column].n:
         return spark.createDataFrame([], f"`{column}` int, cnt bigint")
     x, top = number(column), first.brackets({column: [q]})[column, q][1]
-    found = quantiles(df, first, {column: [q]}, groups=[F.when((x == F.floor(x)) & x.between(1, F.lit(top)), x)])
+    whole = F.when((x == F.floor(x)) & x.between(1, F.lit(top)), x)
+    found = quantiles(df, first, {column: [q]}, groups=[whole] if top >= 1 else None)
     # no bins when the cap is below 1
     bins = spark.range(1, max(int(found[column, q]), 0) + 1).select(F.col("id").cast("int").alias(column))
     counts = found.second.table.filter(F.col("_c") == -1).select(F.col("_v").cast("int").alias(column), "_n")

@@ -12,13 +12,15 @@ a narrow one a few values with their counts. Ranks are then found in it exactly.
 A bracket that turns out not to hold its rank is widened and the scan repeated.
 
 The scans run while a query is built. The driver sees ``BUCKETS`` rows of
-numbers at most, never values.
+numbers, and the values kept if they are ``LEAF_VALUES`` at most.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
@@ -113,24 +115,39 @@ class SecondScan:
     observed: dict        # further aggregates of the same scan
     table: DataFrame      # (_c, _v, _n): range or group, value, rows with it
 
-    def inside(self) -> dict[int, int]:
-        return {r["_c"]: r["n"] for r in self.table.groupBy("_c").agg(F.sum("_n").alias("n")).collect()}
+    def inside(self) -> dict[int, tuple[int, int]]:
+        """Rows and distinct values of each range and group."""
+        found = self.table.groupBy("_c").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("d")).collect()
+        return {r["_c"]: (r["n"], r["d"]) for r in found}
 
 
 def second_scan(df: DataFrame, ranges: list[tuple[str, float, float]], observed: dict[str, Column] | None = None,
                 groups: list[Column] | None = None) -> SecondScan:
     """Rows below and values inside each (column, low, high), and counts by the
     values of each of ``groups`` (doubles; range number -1, -2, ...); one scan."""
-    metrics = Observation("second-scan")
-    below = [F.count_if(number(c) < F.lit(lo)).alias(f"b{i}") for i, (c, lo, _) in enumerate(ranges)]
-    seen = df.observe(metrics, F.count(F.lit(1)).alias("rows"), *below, *[a.alias(name) for name, a in (observed or {}).items()])
+    # a range of one value, as narrow columns have them, is a count; only wider ones keep rows
+    points = {i: lo for i, (_, lo, hi) in enumerate(ranges) if lo == hi}
+    aggs = [F.count_if(number(c) < F.lit(lo)).alias(f"b{i}") for i, (c, lo, _) in enumerate(ranges)]
+    aggs += [F.count_if(number(ranges[i][0]) == F.lit(lo)).alias(f"p{i}") for i, lo in points.items()]
+    aggs += [a.alias(name) for name, a in (observed or {}).items()] + [F.count(F.lit(1)).alias("rows")]
     kept = [F.struct(F.lit(i).alias("_c"), F.when(number(c).between(F.lit(lo), F.lit(hi)), number(c)).alias("_v"))
-            for i, (c, lo, hi) in enumerate(ranges)]
+            for i, (c, lo, hi) in enumerate(ranges) if i not in points]
     kept += [F.struct(F.lit(-1 - j).alias("_c"), g.cast("double").alias("_v")) for j, g in enumerate(groups or [])]
-    pairs = seen.select(F.filter(F.array(*kept), lambda p: p["_v"].isNotNull()).alias("_kept"))
-    counted = pairs.select(F.inline("_kept")).groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    table, _ = materialize(counted, count=False)
-    got = metrics.get
+    spark, schema = df.sparkSession, "_c int, _v double, _n bigint"
+    if kept:
+        metrics = Observation("second-scan")
+        seen = df.observe(metrics, *aggs)
+        if not groups:  # whose conditions might be constant, and the scan with its metrics be optimized away
+            seen = seen.filter(reduce(lambda x, y: x | y, [k["_v"].isNotNull() for k in kept]))
+        counted = (seen.select(F.inline(F.array(*kept))).filter(F.col("_v").isNotNull())
+                       .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n")))
+        table, _ = materialize(counted, count=False)
+        got = metrics.get
+    else:
+        table, got = spark.createDataFrame([], schema), df.agg(*aggs).first()
+    counts = [(i, lo, got[f"p{i}"]) for i, lo in points.items() if got[f"p{i}"]]
+    if counts:
+        table = table.unionAll(_rows(spark, schema, counts))
     return SecondScan([got[f"b{i}"] for i in range(len(ranges))], {name: got[name] for name in observed or {}}, table)
 
 
@@ -225,12 +242,21 @@ def quantiles(df: DataFrame, first: FirstScan, wanted: dict[str, list[float]], m
         for i, (c, q) in enumerate(brackets):
             pos = q * (first.columns[c].n - 1)
             ranks[i] = {int(pos), min(int(pos) + 1, first.columns[c].n - 1)}
-            missed |= any(not 0 <= r - second.below[i] < inside.get(i, 0) for r in ranks[i])
+            missed |= any(not 0 <= r - second.below[i] < inside.get(i, (0, 0))[0] for r in ranks[i])
         if not missed:
             break
         margin *= 4
-    found = values_at(second.table.filter(F.col("_c").between(0, len(brackets) - 1)),
-                      {i: {r - second.below[i] for r in some} for i, some in ranks.items()}, leaf)
+    bracketed = second.table.filter(F.col("_c").between(0, len(brackets) - 1))
+    local = {i: {r - second.below[i] for r in some} for i, some in ranks.items()}
+    if sum(inside[i][1] for i in ranks) <= leaf:  # no more than one window would sort
+        found = {}
+        for i, some in itertools.groupby(sorted(map(tuple, bracketed.collect())), key=lambda r: r[0]):
+            upto = 0
+            for _, v, n in some:
+                found |= {(i, r): v for r in local[i] if upto <= r < upto + n}
+                upto += n
+    else:
+        found = values_at(bracketed, local, leaf)
     for i, (c, q) in enumerate(brackets):
         pos = q * (first.columns[c].n - 1)
         low = found[i, int(pos) - second.below[i]]
