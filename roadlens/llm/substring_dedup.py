@@ -12,7 +12,9 @@ index, would not scale. So windows are dealt to shards by what they contain:
    theirs, so a document falls into segments of at most ``size - SEED + 1``
    windows each.
 2. Anchors that occur once in the corpus can't lie in a repeated window; their
-   segments are done. (Occurrences are counted, not sampled.)
+   segments are done. (Occurrences are counted, not sampled.) The repeated ones
+   reach the texts as a filter of bits, whose false hits only cost a way to a shard;
+   where they are too many for its bound, by a join.
 3. The remaining segments go to the shard of their anchor. An anchor that
    occurs very often would overload its shard, so its segments are cut into
    single windows, each dealt by a hash of its words. Copies of a segment are
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.llm.bpe import Memo
-from roadlens.llm.common import NO_ID, checkpointed, id_and_text, slices
+from roadlens.llm.common import NO_ID, checkpointed, id_and_text, slices, stored
 
 #: Words of an anchor.
 SEED = 8
@@ -48,6 +50,9 @@ SHARD = 4 << 20
 #: Segments that a task merges at a time before it hands them on.
 MERGED = 40_000
 
+#: Bits of the filter for each repeated anchor, and the most bits that it may have; beyond, anchors are joined.
+BITS, MOST_BITS = 16, 1 << 27
+
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _PLACE = np.uint64((1 << 24) - 1)
 #: Up to so many repeated ids are broadcast, so that rows of other ids travel without a digest.
@@ -197,6 +202,35 @@ def _repeated(contents: list[np.ndarray], owner: np.ndarray, size: int) -> list[
     return [later[a : a + s - size + 1] for a, s in zip(starts, sizes, strict=True)]
 
 
+def _slots(anchors: np.ndarray, bits: int) -> np.ndarray:
+    """An anchor's bit in a filter of so many bits, a power of two. Anchors are least hashes, so they are mixed again."""
+    return (_mixed(anchors, anchors) >> np.uint64(65 - bits.bit_length())).astype(np.int64)
+
+
+def _filters(again: DataFrame, bits: int) -> np.ndarray:
+    """Bits of the repeated anchors and of the common ones, in rows of 64-bit words; bits / 4 bytes for the driver."""
+
+    def words(batches):
+        for part in batches:
+            slots = _slots(part.column("anchor").to_numpy(zero_copy_only=False).view(np.uint64), bits)
+            common = part.column("common").to_numpy(zero_copy_only=False).astype(bool)
+            at = np.concatenate([slots, slots[common] + bits])
+            value = np.left_shift(np.uint64(1), (at & 63).astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(value)], names=["word", "value"])
+
+    found = again.mapInArrow(words, "word long, value long").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
+    out = np.zeros(2 * bits // 64, np.int64)
+    out[np.asarray(found.column("word"), np.int64)] = np.asarray(found.column("value"), np.int64)
+    return out.view(np.uint64).reshape(2, -1)
+
+
+def _told(filters: np.ndarray, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which anchors may be repeated, and which may be common: every one that is, and a few more."""
+    slots = _slots(anchors, filters.shape[1] * 64)
+    repeated, common = (filters[:, slots >> 6] >> (slots & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+    return repeated, common
+
+
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
     return [(int(a), int(b - a)) for a, b in zip(edges[::2], edges[1::2], strict=True)]
@@ -206,7 +240,29 @@ _PIECE = pa.schema([("shard", pa.int64()), ("id", pa.int64()), ("th", pa.int64()
 _RANGE = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("tl", pa.int64()), ("start", pa.int64()), ("run", pa.int64())])
 
 
-def _pieces_of(batches, size: int, shards: int):
+def _joined(part: pa.RecordBatch, texts: list[bytes | None], size: int):
+    """Start, windows, anchor and commonness of each row's segments whose anchors are repeated: as joined."""
+    found = part.column("found")
+    ends = found.offsets.to_numpy()
+    columns = [found.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "run", "anchor", "common")]
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        order = np.argsort(columns[0][a:b], kind="stable") + a
+        yield [c[order].tolist() for c in columns]
+
+
+def _filtered(filters: np.ndarray):
+    """The same, by the filter."""
+
+    def of(part: pa.RecordBatch, texts: list[bytes | None], size: int):
+        for text in texts:
+            anchors, starts, runs = _segments(_hashes(text), size)
+            repeated, common = _told(filters, anchors)
+            yield [c[repeated].tolist() for c in (starts, runs, anchors.view(np.int64), common)]
+
+    return of
+
+
+def _pieces_of(batches, size: int, shards: int, segments_of=_joined):
     """Segments that wait for a shard's index, and, without words, ranges of windows that are later copies."""
     merged: dict[bytes, tuple] = {}
     out: list[tuple] = []
@@ -227,26 +283,25 @@ def _pieces_of(batches, size: int, shards: int):
             if out and out[-1][1:4] == second[:3] and out[-1][4] + out[-1][5] == second[3]:
                 out[-1] = (*out[-1][:5], out[-1][5] + run, None)
             else:
-                out.append((second[1] % shards, *second, run, None))
+                out.append((hash(second) % shards, *second, run, None))  # dealt evenly; no shard needs it
 
     for whole in batches:
         for part in slices(whole, "text"):
-            found = part.column("found")
-            ends = found.offsets.to_numpy()
-            starts, runs, anchors, common = (found.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "run", "anchor", "common"))
-            for row, (*key, text) in enumerate(zip(*(part.column(c).to_pylist() for c in ("id", "th", "tl")), part.column("text").cast(pa.binary()).to_pylist(), strict=True)):
+            texts = part.column("text").cast(pa.binary()).to_pylist()
+            keys = zip(*(part.column(c).to_pylist() for c in ("id", "th", "tl")), strict=True)
+            for key, text, segments in zip(keys, texts, segments_of(part, texts, size), strict=True):
+                if not segments[0]:
+                    continue
                 words = _travelling((text or b"").split())
                 whole_text = b" ".join(words)
                 at_byte = np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
-                here = slice(ends[row], ends[row + 1])
-                for at in (np.argsort(starts[here], kind="stable") + ends[row]).tolist():
-                    start, run = int(starts[at]), int(runs[at])
-                    if common[at]:
+                for start, run, anchor, common in zip(*segments, strict=True):
+                    if common:
                         for k in range(start, start + run):
                             window = whole_text[at_byte[k] : at_byte[k + size] - 1]
                             add(window, (*key, k), 1, xxhash.xxh3_64_intdigest(window) % shards)
                     else:
-                        add(whole_text[at_byte[start] : at_byte[start + run + size - 1] - 1], (*key, start), run, int(anchors[at]) % shards)
+                        add(whole_text[at_byte[start] : at_byte[start + run + size - 1] - 1], (*key, start), run, anchor % shards)
                     if len(merged) + len(out) > MERGED and (made := batch()):
                         yield made
     if made := batch():
@@ -322,12 +377,25 @@ def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_c
     docs = given.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), *halves)
     # an id that one row has is all its identity: constants take no room on the way
     several = checkpointed(given.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("several")))
-    if several.count() <= FEW_IDS:
+    n_several, (n_bytes, n_null) = several.count(), given.agg(F.sum(F.octet_length("text")), F.count_if(F.col("doc_id").isNull())).first()
+    if n_several <= FEW_IDS:
         needed = F.col("doc_id").isNull() | F.col("several").isNotNull()
         marked = given.join(F.broadcast(several), F.col("doc_id") == F.col("several"), "left")
-        docs = marked.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), *(F.when(needed, h).otherwise(F.lit(none)).cast("long").alias(n) for h, n, none in zip(halves, ("th", "tl"), (-1, 0), strict=True)))
-    n_bytes = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(16, -(-n_bytes // SHARD))
+        docs = marked.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), *(F.when(needed, h).otherwise(F.lit(none)).cast("long").alias(n) for h, n, none in zip(halves, ("th", "tl"), (-1, 0), strict=True)), needed.alias("needed"))
+    else:
+        docs = docs.withColumn("needed", F.lit(True))
+    # rows alike in id and text are one document here, and get its result in the last join
+    distinct = docs.select("id", "th", "tl", "text")
+    if n_several or n_null:
+        alike = stored(docs.where("needed").groupBy("id", "th", "tl").agg(F.min("text").alias("text")), "distinct")
+        distinct = docs.where("not needed").select("id", "th", "tl", "text").unionByName(alike)
+    shards = max(16, -(-(n_bytes or 0) // SHARD))
+
+    def anchors(batches):
+        for whole in batches:
+            for part in slices(whole, "text"):
+                made = [_segments(_hashes(text), size)[0] for text in part.column("text").cast(pa.binary()).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made).view(np.int64))], names=["anchor"])
 
     def segments(batches):
         for whole in batches:
@@ -345,12 +413,19 @@ def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_c
                         names=["anchor", "id", "th", "tl", "place"],
                     )
 
-    places = docs.select("id", "th", "tl", "text").mapInArrow(segments, "anchor long, id long, th long, tl long, place long")
-    # written first, so that the join sees two plain shuffles and can split a common anchor's rows
-    again = checkpointed(places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor", (F.col("n") > COMMON).alias("common")))
-    found = places.join(again, "anchor").groupBy("id", "th", "tl").agg(F.collect_list(F.struct("anchor", F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(65535).alias("run"), "common")).alias("found"))
-    # both joins with docs ask for the same columns, so that its texts are shuffled once
-    pieces = docs.join(found, ["id", "th", "tl"]).select("doc_id", "id", "th", "tl", "text", "found").mapInArrow(lambda batches: _pieces_of(batches, size, shards), "shard long, id long, th long, tl long, start long, run long, words binary")
+    # written first: counted anchors are asked for twice
+    counted = distinct.select("text").mapInArrow(anchors, "anchor long").groupBy("anchor").agg(F.count("*").alias("n"))
+    again = checkpointed(counted.where("n > 1").select("anchor", (F.col("n") > COMMON).alias("common")))
+    piece = ", ".join(f"{f.name} {'binary' if f.name == 'words' else 'long'}" for f in _PIECE)
+    bits = 1 << max(10, (again.count() * BITS - 1).bit_length())
+    if bits <= MOST_BITS:
+        # the texts stay where they are: each worker looks its segments' anchors up
+        filters = df.sparkSession.sparkContext.broadcast(_filters(again, bits))
+        pieces = distinct.mapInArrow(lambda batches: _pieces_of(batches, size, shards, _filtered(filters.value)), piece)
+    else:
+        places = distinct.mapInArrow(segments, "anchor long, id long, th long, tl long, place long")
+        found = places.join(again, "anchor").groupBy("id", "th", "tl").agg(F.collect_list(F.struct("anchor", F.shiftright("place", 16).alias("start"), F.col("place").bitwiseAND(65535).alias("run"), "common")).alias("found"))
+        pieces = distinct.join(found, ["id", "th", "tl"]).mapInArrow(lambda batches: _pieces_of(batches, size, shards), piece)
     ranges = pieces.groupBy("shard").applyInArrow(lambda t: _shard(t, size), "id long, th long, tl long, start long, run long")
     ranges = ranges.groupBy("id", "th", "tl").agg(F.collect_list(F.struct("start", "run")).alias("ranges"))
     return docs.join(ranges, ["id", "th", "tl"], "left").select("doc_id", "text", "ranges").mapInArrow(lambda batches: _kept(batches, size), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

@@ -91,9 +91,10 @@ def _without_repeats(rows, size=20):
     return out
 
 
-@pytest.mark.parametrize("common", [512, 1])
-def test_repeats_are_those_of_brute_force(frame, monkeypatch, common):
+@pytest.mark.parametrize("common, most", [(512, 1 << 27), (1, 1 << 27), (512, 0), (1, 0)])
+def test_repeats_are_those_of_brute_force(frame, monkeypatch, common, most):
     monkeypatch.setattr(substring_dedup, "COMMON", common)
+    monkeypatch.setattr(substring_dedup, "MOST_BITS", most)  # 0: anchors are joined
     rng = random.Random(3)
     base = [rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(300)]
     rows = [(500, None), (501, ""), (502, "a b c")]
@@ -173,3 +174,35 @@ def test_windows_of_many_words(frame):
     assert got == {1: 0, 2: 1200, 3: 0}
     with pytest.raises(ValueError):
         substring_dedup.remove_repeats(frame([(1, passage)]), size=70_000)
+
+
+def test_many_rows_alike_are_one_document(frame, spark):
+    from pyspark.sql import functions as F
+
+    text = " ".join(f"w{k}" for k in range(400))
+    alike = spark.range(0, 5_000, numPartitions=4).select(F.lit(3).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    got = substring_dedup.remove_repeats(alike.unionByName(frame([(9, f"x {text}")]).select("doc_id", "text")))
+    assert {(r.doc_id, r.n_removed, r["count"]) for r in got.groupBy("doc_id", "n_removed").count().collect()} == {(3, 0, 5_000), (9, 400, 1)}
+
+
+def test_copies_are_dealt_to_all_shards():
+    import pyarrow as pa
+
+    text = " ".join(f"w{k}" for k in range(60))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array([-1] * 400), pa.array([0] * 400), pa.array([text] * 400)], names=["id", "th", "tl", "text"])
+    filters = substring_dedup.np.full((2, 16), 2**64 - 1, substring_dedup.np.uint64)
+    filters[1] = 0
+    pieces = pa.Table.from_batches(list(substring_dedup._pieces_of([batch], 20, 64, substring_dedup._filtered(filters))))
+    dealt = [s for s, w in zip(*(pieces.column(c).to_pylist() for c in ("shard", "words")), strict=True) if w is None]
+    assert len(dealt) >= 399 and max(dealt.count(s) for s in set(dealt)) < len(dealt) / 16
+
+
+def test_the_filter_holds_every_anchor(spark):
+    rng = substring_dedup.np.random.default_rng(4)
+    anchors = rng.integers(-(2**63), 2**63 - 1, 3_000)
+    again = spark.createDataFrame([(int(a), i % 3 == 0) for i, a in enumerate(anchors)], "anchor long, common boolean")
+    filters = substring_dedup._filters(again, 1 << 16)
+    repeated, common = substring_dedup._told(filters, anchors.view(substring_dedup.np.uint64))
+    assert repeated.all() and common[::3].all() and common.mean() < 0.4
+    others = substring_dedup._told(filters, rng.integers(0, 2**63 - 1, 3_000).astype(substring_dedup.np.uint64))[0]
+    assert others.mean() < 0.08
