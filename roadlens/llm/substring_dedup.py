@@ -34,11 +34,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.llm.bpe import Memo
 from roadlens.llm.common import NO_ID, checkpointed, id_and_text, slices, stored
 
 #: Words of an anchor.
@@ -47,6 +47,8 @@ SEED = 8
 COMMON = 512
 #: Bytes of text for each shard of the index.
 SHARD = 4 << 20
+#: Bytes of text that are cut into segments at a time.
+PART = 1 << 20
 #: Segments that a task merges at a time before it hands them on.
 MERGED = 40_000
 
@@ -66,15 +68,76 @@ def _travelling(words: list[bytes]) -> list[bytes]:
     return [w if len(w) <= LONG else b"\n" + xxhash.xxh3_128_hexdigest(w).encode() for w in words]
 
 
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes whose words are hashed at a time.
+BLOCK = 1 << 18
+
+
 @lru_cache(maxsize=1)
-def _word_hashes() -> Memo:
-    return Memo(lambda w: xxhash.xxh3_64_intdigest(w))
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2**64."""
+    bases = (int(_A), pow(int(_A), -1, 1 << 64))
+    return tuple(np.multiply.accumulate(np.array([1, *[x] * (2 * BLOCK)], np.uint64)) for x in bases)
+
+
+class Words:
+    """The words of a column of texts, in one sequence: hashes, document (row), first byte and byte after the last."""
+
+    def __init__(self, texts: pa.Array):
+        texts = pc.fill_null(texts.cast(pa.binary()), b"")
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        self.data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.zeros(0, np.uint8)
+        ends = ends - ends[0]
+        self.space = _IS_SPACE[self.data]
+        first, last = ~self.space, ~self.space
+        first[1:] &= self.space[:-1]
+        last[:-1] &= self.space[1:]
+        some = np.diff(ends) > 0  # a text's edge ends a word, too
+        first[ends[:-1][some]] = ~self.space[ends[:-1][some]]
+        last[ends[1:][some] - 1] = ~self.space[ends[1:][some] - 1]
+        self.first, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        self.doc = np.searchsorted(ends[1:], self.first, side="right")
+        #: The first word of each document.
+        self.base = np.searchsorted(self.doc, np.arange(len(texts)))
+        self.hashes = self._hashed()
+
+    def _hashed(self) -> np.ndarray:
+        up, down = _powers()
+        out = np.empty(len(self.first), np.uint64)
+        edges = np.unique(np.append(np.searchsorted(self.first, np.arange(0, len(self.data), BLOCK)), len(self.first)))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            low = int(self.first[a])
+            high = min(int(self.end[b - 1]), low + 2 * BLOCK)
+            sums = np.zeros(high - low + 1, np.uint64)
+            np.cumsum((self.data[low:high].astype(np.uint64) + np.uint64(1)) * up[: high - low], out=sums[1:])
+            first, end = self.first[a:b] - low, np.minimum(self.end[a:b] - low, high - low)
+            out[a:b] = (sums[end] - sums[first]) * down[first]
+            if self.end[b - 1] > high:  # a word of more bytes than a block
+                out[b - 1] = xxhash.xxh3_64_intdigest(self.data[self.first[b - 1] : self.end[b - 1]].tobytes())
+        out ^= out >> np.uint64(31)
+        return out * _B
+
+    def travelling(self):
+        """A function of a first word and a number of words: their bytes as they travel."""
+        keep = ~self.space
+        keep[1:] |= ~self.space[:-1]
+        at = np.zeros(len(keep) + 1, np.int32)
+        np.cumsum(keep, out=at[1:], dtype=np.int32)
+        clean = np.where(self.space, np.uint8(32), self.data)[keep].tobytes()
+        first, end = at[self.first].tolist(), at[self.end].tolist()
+        long = np.concatenate([[0], np.cumsum(self.end - self.first > LONG)]).tolist()
+
+        def of(a: int, n: int) -> bytes:
+            piece = clean[first[a] : end[a + n - 1]]
+            return b" ".join(_travelling(piece.split(b" "))) if long[a + n] != long[a] else piece
+
+        return of
 
 
 def _hashes(text: bytes | None) -> np.ndarray:
-    words = (text or b"").split()
-    memo = _word_hashes()
-    return np.fromiter([memo[w] for w in words], np.uint64, len(words))
+    return Words(pa.array([text], pa.binary())).hashes
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -83,8 +146,8 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x * _C
 
 
-def _segments(words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor, first window and number of windows of each segment of one document."""
+def _segments(words: np.ndarray, size: int, doc: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, first window and number of windows of each segment; no window lies in two documents (``doc``, of each word)."""
     n = len(words) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -102,8 +165,12 @@ def _segments(words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.
         least = np.minimum(least[: len(least) - (across - have)], least[across - have :])
     low = (_PLACE - least & _PLACE).astype(np.int64)
     at = np.arange(n) + (low - np.arange(n)) % (int(_PLACE) + 1)
-    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return seeds[at[first]], first, np.diff(np.concatenate([first, [n]]))
+    doc = np.zeros(len(words), np.int64) if doc is None else doc
+    whole = doc[:n] == doc[size - 1 :]
+    first = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (doc[1:n] != doc[: n - 1]) | (whole[1:] != whole[:-1])]))
+    runs = np.diff(np.concatenate([first, [n]]))
+    first, runs = first[whole[first]], runs[whole[first]]
+    return seeds[at[first]], first, runs
 
 
 class WaveletMatrix:
@@ -240,24 +307,24 @@ _PIECE = pa.schema([("shard", pa.int64()), ("id", pa.int64()), ("th", pa.int64()
 _RANGE = pa.schema([("id", pa.int64()), ("th", pa.int64()), ("tl", pa.int64()), ("start", pa.int64()), ("run", pa.int64())])
 
 
-def _joined(part: pa.RecordBatch, texts: list[bytes | None], size: int):
-    """Start, windows, anchor and commonness of each row's segments whose anchors are repeated: as joined."""
+def _joined(part: pa.RecordBatch, words: Words, size: int) -> list[list]:
+    """Row, first word, windows, anchor and commonness of the segments whose anchors are repeated, in order: as joined."""
     found = part.column("found")
     ends = found.offsets.to_numpy()
-    columns = [found.values.field(c).to_numpy(zero_copy_only=False) for c in ("start", "run", "anchor", "common")]
-    for a, b in zip(ends[:-1], ends[1:], strict=True):
-        order = np.argsort(columns[0][a:b], kind="stable") + a
-        yield [c[order].tolist() for c in columns]
+    start, run, anchor, common = (found.values.field(c).to_numpy(zero_copy_only=False)[ends[0] : ends[-1]] for c in ("start", "run", "anchor", "common"))
+    row = np.repeat(np.arange(len(part)), np.diff(ends))
+    first = words.base[row] + start
+    order = np.argsort(first, kind="stable")
+    return [c[order].tolist() for c in (row, first, run, anchor, common)]
 
 
 def _filtered(filters: np.ndarray):
     """The same, by the filter."""
 
-    def of(part: pa.RecordBatch, texts: list[bytes | None], size: int):
-        for text in texts:
-            anchors, starts, runs = _segments(_hashes(text), size)
-            repeated, common = _told(filters, anchors)
-            yield [c[repeated].tolist() for c in (starts, runs, anchors.view(np.int64), common)]
+    def of(part: pa.RecordBatch, words: Words, size: int) -> list[list]:
+        anchor, first, run = _segments(words.hashes, size, words.doc)
+        repeated, common = _told(filters, anchor)
+        return [c[repeated].tolist() for c in (words.doc[first], first, run, anchor.view(np.int64), common)]
 
     return of
 
@@ -286,24 +353,23 @@ def _pieces_of(batches, size: int, shards: int, segments_of=_joined):
                 out.append((hash(second) % shards, *second, run, None))  # dealt evenly; no shard needs it
 
     for whole in batches:
-        for part in slices(whole, "text"):
-            texts = part.column("text").cast(pa.binary()).to_pylist()
-            keys = zip(*(part.column(c).to_pylist() for c in ("id", "th", "tl")), strict=True)
-            for key, text, segments in zip(keys, texts, segments_of(part, texts, size), strict=True):
-                if not segments[0]:
-                    continue
-                words = _travelling((text or b"").split())
-                whole_text = b" ".join(words)
-                at_byte = np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
-                for start, run, anchor, common in zip(*segments, strict=True):
-                    if common:
-                        for k in range(start, start + run):
-                            window = whole_text[at_byte[k] : at_byte[k + size] - 1]
-                            add(window, (*key, k), 1, xxhash.xxh3_64_intdigest(window) % shards)
-                    else:
-                        add(whole_text[at_byte[start] : at_byte[start + run + size - 1] - 1], (*key, start), run, anchor % shards)
-                    if len(merged) + len(out) > MERGED and (made := batch()):
-                        yield made
+        for part in slices(whole, "text", PART):
+            words = Words(part.column("text"))
+            segments = segments_of(part, words, size)
+            if not segments[0]:
+                continue
+            keys = list(zip(*(part.column(c).to_pylist() for c in ("id", "th", "tl")), strict=True))
+            base, bytes_of = words.base.tolist(), words.travelling()
+            for row, first, run, anchor, common in zip(*segments, strict=True):
+                key, start = keys[row], first - base[row]
+                if common:
+                    for k in range(run):
+                        window = bytes_of(first + k, size)
+                        add(window, (*key, start + k), 1, xxhash.xxh3_64_intdigest(window) % shards)
+                else:
+                    add(bytes_of(first, run + size - 1), (*key, start), run, anchor % shards)
+                if len(merged) + len(out) > MERGED and (made := batch()):
+                    yield made
     if made := batch():
         yield made
 
@@ -393,25 +459,17 @@ def remove_repeats(df: DataFrame, size: int = 20, id_col: str = "doc_id", text_c
 
     def anchors(batches):
         for whole in batches:
-            for part in slices(whole, "text"):
-                made = [_segments(_hashes(text), size)[0] for text in part.column("text").cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made).view(np.int64))], names=["anchor"])
+            for part in slices(whole, "text", PART):
+                words = Words(part.column("text"))
+                yield pa.RecordBatch.from_arrays([pa.array(_segments(words.hashes, size, words.doc)[0].view(np.int64))], names=["anchor"])
 
     def segments(batches):
         for whole in batches:
-            for part in slices(whole, "text"):
-                made = [(*key, *_segments(_hashes(text), size)) for *key, text in zip(*(part.column(c).to_pylist() for c in ("id", "th", "tl")), part.column("text").cast(pa.binary()).to_pylist(), strict=True)]
-                made = [m for m in made if len(m[3])]
-                if made:
-                    counts = [len(m[3]) for m in made]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate([m[3] for m in made]).view(np.int64)),
-                            *(pa.array(np.repeat(np.array([m[k] for m in made], np.int64), counts)) for k in range(3)),
-                            pa.array(np.concatenate([m[4] for m in made]) << 16 | np.concatenate([m[5] for m in made])),
-                        ],
-                        names=["anchor", "id", "th", "tl", "place"],
-                    )
+            for part in slices(whole, "text", PART):
+                words = Words(part.column("text"))
+                anchor, first, run = _segments(words.hashes, size, words.doc)
+                rows = words.doc[first]
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), *(part.column(c).take(pa.array(rows)) for c in ("id", "th", "tl")), pa.array(first - words.base[rows] << 16 | run)], names=["anchor", "id", "th", "tl", "place"])
 
     # written first: counted anchors are asked for twice
     counted = distinct.select("text").mapInArrow(anchors, "anchor long").groupBy("anchor").agg(F.count("*").alias("n"))

@@ -206,3 +206,30 @@ def test_the_filter_holds_every_anchor(spark):
     assert repeated.all() and common[::3].all() and common.mean() < 0.4
     others = substring_dedup._told(filters, rng.integers(0, 2**63 - 1, 3_000).astype(substring_dedup.np.uint64))[0]
     assert others.mean() < 0.08
+
+
+def test_words_of_a_batch_are_those_of_each_text():
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    texts = [None, "", " \t", "a", "a b", "\x0bé  ü\n", "b", "x" * 50 + " y", *("".join(rng.choice("ab \n\u00a0") for _ in range(rng.randint(0, 40))) for _ in range(300))]
+    words = substring_dedup.Words(pa.array([*texts, "q"])[:-1])
+    split = [(t or "").encode().split() for t in texts]
+    assert words.doc.tolist() == [i for i, w in enumerate(split) for _ in w]
+    flat = [w for ws in split for w in ws]
+    assert [words.data[a:b].tobytes() for a, b in zip(words.first, words.end, strict=True)] == flat
+    known = {}
+    assert all(known.setdefault(w, h) == h for w, h in zip(flat, words.hashes.tolist(), strict=True)) and len(set(known.values())) == len(known)
+    bytes_of = words.travelling()
+    for i, ws in enumerate(split):
+        if ws:
+            assert bytes_of(int(words.base[i]), len(ws)) == b" ".join(substring_dedup._travelling(ws))
+
+
+def test_hashes_do_not_depend_on_place():
+    import pyarrow as pa
+
+    long = "z" * (3 * substring_dedup.BLOCK)
+    text = " ".join([*(f"w{k % 1000}" for k in range(200_000)), long, "tail", long])
+    hashes = substring_dedup.Words(pa.array([text])).hashes
+    assert len(hashes) == 200_003 and (hashes[:1000] == hashes[199_000:200_000]).all() and hashes[200_000] == hashes[200_002] != hashes[200_001]
