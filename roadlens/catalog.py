@@ -259,6 +259,12 @@ def _dedup(p: Stages) -> DataFrame:
     return p.dedup
 
 
+@query("dedup_mostly_unique")
+def _dedup_mostly_unique(p: Stages) -> DataFrame:
+    """The same rows with only those of repeated keys shuffled."""
+    return C.dedup_accidents(p.raw, mostly_unique=True)
+
+
 @query("dedup_summary")
 def _dedup_summary(p: Stages) -> DataFrame:
     return dedup_counts(p.raw, KEY_COL)

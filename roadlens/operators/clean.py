@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from roadlens.functions.fill import fill_columns, fill_nulls
 from roadlens.functions.parsing import lenient_hour, parse_day_first_date
 from roadlens.operators.dedup import keep_first
+from roadlens.operators.repeats import keep_first_of_repeats
 from roadlens.operators.small import broadcast_if_small, materialize, measured_bytes
 from roadlens.schemas import (HAZARD_NONE, HAZARD_PLACEHOLDER_REGEX, KEY_COL, NIGHT,
                               NO_JUNCTION_CONTROL, SECOND_ROAD_CLASS_FILL,
@@ -20,12 +21,14 @@ from roadlens.schemas import (HAZARD_NONE, HAZARD_PLACEHOLDER_REGEX, KEY_COL, NI
 SOURCE_COLS = (SOURCE_ORDER_COL, "source_file", "source_block", "source_row")
 
 
-def dedup_accidents(raw: DataFrame) -> DataFrame:
+def dedup_accidents(raw: DataFrame, mostly_unique: bool = False) -> DataFrame:
     """One row per accident, the first occurrence by source order
     (``copy_no``, or file path / split / line position for CSV input,
-    whichever are present); source columns dropped."""
+    whichever are present); source columns dropped. ``mostly_unique``: rows
+    of single keys skip the shuffle; ``raw`` is then read three times."""
     order = [c for c in SOURCE_COLS if c in raw.columns]
-    return keep_first(raw, KEY_COL, order).drop(*SOURCE_COLS)
+    keep = keep_first_of_repeats if mostly_unique else keep_first
+    return keep(raw, KEY_COL, order).drop(*SOURCE_COLS)
 
 
 def calendar_columns() -> dict[str, F.Column]:
@@ -156,14 +159,14 @@ def impute_speed_limit(df: DataFrame, group_col: str = "Road_Type") -> DataFrame
 
 
 def clean_all(raw: DataFrame, strict_hour: bool = False, strict_coordinates: bool = False,
-              impute_speed: bool = False) -> DataFrame:
+              impute_speed: bool = False, mostly_unique: bool = False) -> DataFrame:
     """The whole cleaning chain in the published order, after C8 dedup.
 
     The steps are composed as expressions and applied as ONE projection
     (one plan analysis, one fused codegen stage) instead of a dozen chained
     ``withColumn`` calls; each expression equals its single-step function.
     """
-    df = dedup_accidents(raw)
+    df = dedup_accidents(raw, mostly_unique)
     cols = calendar_columns()
     cols["Hour"] = lenient_hour(F.col("Time"), strict=strict_hour)
     cols.update(period_weekend_columns(cols["Hour"], cols["DayOfWeek_Num"]))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from roadlens.functions.labels import monday_first_ordinal, truncate_sample, weekday_name
 from roadlens.functions.parsing import parse_day_first_date, strict_hour
 from roadlens.operators.quantiles import FirstScan, fences, first_scan, number, quantiles
+from roadlens.operators.repeats import flag_repeats
 from roadlens.operators.stats import (approx_quantile, numeric_columns, pct, rows_from_wide,
                                       string_columns, value_counts)
 from roadlens.schemas import (CASUALTY_CAP_QUANTILE, CASUALTY_EXTREME, DAY_FIRST_PATTERNS,
@@ -204,12 +205,15 @@ def weekday_distribution(df: DataFrame) -> DataFrame:
 
 def duplicate_report(df: DataFrame, key: str = KEY_COL) -> DataFrame:
     """Rows that repeat an earlier row in full, rows that repeat an
-    earlier key, and their % of all rows. One scan: rows are counted in full
-    first, and only their keys and counts go on to be counted by key."""
-    rows = df.groupBy(*df.columns).agg(_total().alias("_c"))
-    keys = rows.groupBy(key).agg(F.sum("_c").alias("_c"), F.sum(F.col("_c") - 1).alias("_full"))
-    sums = keys.agg(F.sum("_full").alias("full_row_dups"), F.sum(F.col("_c") - 1).alias("key_dups"),
-                    F.sum("_c").alias("_n"))
+    earlier key, and their % of all rows. Only hashes and keys of all rows
+    are shuffled; whole rows only where a row's hash says that it may repeat,
+    and these are compared in full."""
+    flagged = flag_repeats(df, df.columns, "_again")
+    rows = flagged.filter("_again").groupBy(*df.columns).agg(_total().alias("_c"))
+    full = rows.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("_full")).scalar()
+    keys = df.groupBy(key).agg(_total().alias("_c"))
+    sums = keys.agg(F.sum(F.col("_c") - 1).alias("key_dups"), F.sum("_c").alias("_n"))
+    sums = sums.withColumn("full_row_dups", F.when(F.col("_n").isNotNull(), full))
     n = F.col("_n")
     return sums.select(F.col("full_row_dups").cast("long").alias("full_row_dups"),
                        pct(F.col("full_row_dups"), n, 4).alias("full_row_pct"),

@@ -334,6 +334,7 @@ def _register() -> None:
     o["hashed_keys_roads"] = with_base("SELECT Accident_Index, Road_Type, Speed_limit, Junction_Detail, Junction_Control FROM clean")
     # dedup
     o["dedup_accidents"] = with_base("SELECT * FROM dedup")
+    o["dedup_mostly_unique"] = with_base("SELECT * FROM dedup")
     o["dedup_summary"] = with_raw(
         'SELECT COUNT(*) AS "before", COUNT(DISTINCT Accident_Index) + MAX(CASE WHEN Accident_Index IS NULL '
         'THEN 1 ELSE 0 END) AS "after", COUNT(*) - COUNT(DISTINCT Accident_Index) - MAX(CASE WHEN '
