@@ -1,6 +1,7 @@
 """Exact top-k by inner product, with Fagin's threshold algorithm.
 
-Vectors are dealt to blocks of bounded size. In a block, each dimension has a
+Vectors are dealt to blocks of bounded size by their place in the stored table,
+so that rows of one id, or copies of one vector, fill no block. In a block, each dimension has a
 list of its vectors sorted by that component. A query reads the lists of its
 non-zero dimensions in step, from the end where its weight gains most, scores
 each vector it meets on all dimensions, and keeps the k best. After each round,
@@ -19,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadlens.llm.common import stored
+
 #: Rows of a block and queries of a chunk.
 BLOCK, CHUNK = 8_192, 1_024
 #: Entries read from each list in the first round; each later round reads twice as many.
@@ -98,10 +101,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
         return df.select(F.col(id_col).cast("long").alias("id"), x.alias("x")).where(F.col("id").isNotNull() & F.col("x").isNotNull() & finite).select("id", whole.alias("x"))
 
     candidates, asked = clean(vectors), clean(queries).distinct()
+    place = F.monotonically_increasing_id()
+    candidates = stored(candidates.withColumn("place", F.xxhash64(place)), "topk")  # written, so that a lost task deals its rows alike
     n, n_asked = candidates.count(), asked.count()
     blocks, chunks = max(1, -(-n // BLOCK)), max(1, -(-n_asked // CHUNK))
-    left = candidates.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "id", "x")
-    right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), "id", "x")
+    left = candidates.select(F.pmod("place", F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "id", "x")
+    right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("id", "x"), F.lit(chunks)).cast("int").alias("chunk"), "id", "x")
 
     def search(block: pa.Table, chunk: pa.Table) -> pa.Table:
         out = []

@@ -43,3 +43,19 @@ def test_large_numbers_stay_exact(frame):
     assert all(r.score == -(2**63) or abs(r.score) < 2**63 for r in got) and len(got) == 8
     fewer = topk.top_k(frame([(0, [0.1]), (1, [0.2])], "vec_id long, embedding array<double>"), df.limit(1), k=5)
     assert fewer.count() <= 5
+
+
+def test_an_id_that_many_rows_share_fills_no_block(frame, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    lists = topk.Lists
+
+    class Counted(lists):
+        def __init__(self, ids, vectors):
+            assert len(ids) < 120, "a block holds far more than its share"
+            super().__init__(ids, vectors)
+
+    monkeypatch.setattr(topk, "Lists", Counted)
+    rows = [(7, [0.5, 0.25])] * 400 + [(i, [0.01 * i, -0.5]) for i in range(100, 400)]
+    df = frame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.top_k(df, df.where("vec_id in (7, 100)").distinct()).collect()))
+    assert got == _brute(rows, [rows[0], rows[400]], 5)
