@@ -129,12 +129,20 @@ def held_out(doc_id: str, folds: int, fold: int) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int) -> DataFrame:
-    """(doc_id, text, label) of labelled documents outside the held-out fold, ``rows`` labels at most.
+    """(doc_id, text, label) of labelled documents outside the held-out fold, ``rows`` rows at most.
 
-    Which ones depends on a hash of their ids alone. The labels that are sent
-    to every executor are those ``rows``. Null ids and labels are left out; a
-    document that is labelled twice counts twice.
+    Which labels depends on a hash of their ids alone; those that are sent
+    to every executor are ``rows`` at most. Null ids and labels are left out; a
+    document that is labelled twice counts twice. Where ids are shared by so many
+    rows that more than ``rows`` documents have these labels, rows alike in id, label
+    and text count once, and those whose digests hash lowest are taken.
     """
     given = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
     chosen = given.where(~held_out("doc_id", folds, fold)).orderBy(uniform("doc_id", seed="fit"), "doc_id", "label").limit(rows)
-    return docs.join(F.broadcast(chosen), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    if found.select("doc_id").count() <= rows:
+        return found
+    drawn = found.withColumn("draw", uniform("doc_id", "label", F.md5(F.coalesce("text", F.lit("")).cast("binary")), seed="row"))
+    line = drawn.select("draw").distinct().orderBy("draw").limit(rows).agg(F.max("draw")).first()[0]
+    # alike rows are reduced in their tasks, before any travels
+    return drawn.where(F.col("draw") <= line).groupBy("doc_id", "label", "draw").agg(F.min("text").alias("text")).select("doc_id", "text", "label")

@@ -72,3 +72,18 @@ def test_selection_keeps_good_rows_whole(frame, spark, corpus):
     assert kept.columns == df.columns
     ids = [r.doc_id for r in kept.collect()]
     assert not poor & set(ids) and len(ids) == 401 and ids.count(1) == 2
+
+
+def test_sample_is_bounded_where_many_rows_share_a_labelled_id(frame, spark):
+    from pyspark.sql import functions as F
+
+    from roadlens.llm.common import training_sample
+
+    alike = spark.range(4_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("the same text").alias("text"))
+    other = spark.range(4_000).select(F.lit(3).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = frame([(1, 0), (3, 1)], "doc_id long, toxic int")
+    got = training_sample(alike.unionByName(other), labels, "toxic", 7, 100, 500).collect()
+    again = training_sample(other.unionByName(alike).repartition(3), labels, "toxic", 7, 100, 500).collect()
+    assert len(got) == 500 and sorted(got) == sorted(again) and sum(r.doc_id == 1 for r in got) <= 1
+    few = training_sample(alike.limit(3), labels, "toxic", 7, 100, 500).collect()
+    assert [(r.doc_id, r.label) for r in few] == [(1, 0)] * 3
