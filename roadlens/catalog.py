@@ -21,7 +21,7 @@ from roadlens.operators import checks, clean as C, profile as P
 from roadlens.operators.dedup import dedup_counts
 from roadlens.operators.small import broadcast_if_small
 from roadlens.operators.star import Star, build_star
-from roadlens.plans import questions as Q
+from roadlens.plans import questions as Q, rollup
 from roadlens.plans.etl import run_etl
 from roadlens.schemas import DIMENSIONS, FACT_PARTITION_COL, KEY_COL, SOURCE_ORDER_COL
 from roadlens.session import remove_folder, scratch_path
@@ -75,6 +75,10 @@ class Stages:
     def fact(self) -> DataFrame:
         return self.star.fact
 
+    @cached_property
+    def rollup(self) -> DataFrame:
+        return rollup.build_rollup(self.fact, self.star.dims, self.star.dim_bytes)
+
     def tables(self) -> dict[str, DataFrame]:
         return {"fact_accidents": self.fact, **self.star.dims}
 
@@ -455,6 +459,26 @@ def _v4d(p: Stages) -> DataFrame:
     return Q.top_weather(p.fact, p.dim("dim_environment"))
 
 
+@query("validate_published")
+def _validate_published(p: Stages) -> DataFrame:
+    """M6 over the published star, from the footers of its files."""
+    out = scratch_path(p.spark, "validated")
+    result = run_etl(p.spark, p.raw, out).validation
+    remove_folder(p.spark, out)
+    return result
+
+
+def _rollup_query(name: str):
+    @query(f"rollup_{name}")
+    def _q(p: Stages) -> DataFrame:
+        return rollup.ANSWERS[name](p.rollup)
+    return _q
+
+
+for _name in rollup.ANSWERS:
+    _rollup_query(_name)
+
+
 # -------------------------------------------------------------- profiling
 _PROFILES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "profile_missing": P.missing_report,

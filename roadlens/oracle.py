@@ -504,6 +504,10 @@ def _register() -> None:
             f"COUNT(*) FILTER (WHERE {q(c)} LIKE '% ') AS \"trailing\" FROM acc"
             for c, t in RAW_TYPES if t == "string"]) + ') WHERE "leading" + "trailing" > 0')
     o["final_stats"] = with_acc(final_stats_sql())
+    o["validate_published"] = o["validate_star"]
+    for name in ("bq1_monthly_rank", "bq2_road_vulnerability", "bq3_hotspots", "bq4_junction_severity", "bq5_fatal_combos", "month_series",
+                 "severity_by_weekday", "weekday_hour_matrix", "severity_share", "hourly_rush", "yearly_trend", "top_weather"):
+        o[f"rollup_{name}"] = o[name]  # the questions are the same
 
 
 _register()

@@ -3,7 +3,8 @@
 Each function takes the fact and the dimension DataFrames it needs and
 returns a lazy, bounded result. Joins are inner equi-joins on surrogate keys;
 grouping happens after the join so the partial aggregate runs before the
-only shuffle. Windows run on aggregated rows only (bounded by group count).
+only shuffle. What follows the grouping is a function of its own, so that the
+roll-up (``plans.rollup``) is finished in the same way. Windows run on aggregated rows only (bounded by group count).
 Ties left open by the published queries are broken by the grouping columns.
 """
 
@@ -35,6 +36,10 @@ def monthly_rank(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     monthly = (_on(fact.alias("f"), dim_time, "time_key", "t")
                    .groupBy(col("t.Year_Derived").alias("Year"), col("t.Month_Num").alias("Month"))
                    .agg(F.count(F.lit(1)).alias("accident_count")))
+    return ranked_months(monthly)
+
+
+def ranked_months(monthly: DataFrame) -> DataFrame:
     w = Window.partitionBy("Year").orderBy(F.col("accident_count").desc())
     return (monthly.withColumn("month_rank_in_year", F.rank().over(w))
                    .orderBy("Year", "Month"))
@@ -47,8 +52,12 @@ def road_area_vulnerability(fact: DataFrame, dim_road: DataFrame, dim_geo: DataF
     groups = (joined.groupBy(col("r.Road_Type").alias("Road_Type"),
                              col("g.Urban_or_Rural_Area").alias("Urban_or_Rural_Area"))
                   .agg(F.count(F.lit(1)).alias("total_accidents"),
-                       F.avg("f.Number_of_Casualties").alias("_avg"))
-                  .filter(F.col("total_accidents") > min_accidents))
+                       F.avg("f.Number_of_Casualties").alias("_avg")))
+    return ranked_areas(groups, min_accidents)
+
+
+def ranked_areas(groups: DataFrame, min_accidents: int = BQ2_MIN_ACCIDENTS) -> DataFrame:
+    groups = groups.filter(F.col("total_accidents") > min_accidents)
     w = Window.orderBy(F.col("_avg").desc(), "Road_Type", "Urban_or_Rural_Area")
     return (groups.select("Road_Type", "Urban_or_Rural_Area", "total_accidents",
                           _round2(F.col("_avg")).alias("avg_casualties"),
@@ -58,13 +67,17 @@ def road_area_vulnerability(fact: DataFrame, dim_road: DataFrame, dim_geo: DataF
 
 def area_hotspots(fact: DataFrame, dim_geo: DataFrame, top: int = BQ3_TOP) -> DataFrame:
     """BQ3: the ``top`` areas by accident count (only rows with a known area)."""
-    return (_on(fact.alias("f"), dim_geo.filter(F.col("lsoa_available")), "geo_key", "g")
+    groups = (_on(fact.alias("f"), dim_geo.filter(F.col("lsoa_available")), "geo_key", "g")
                 .groupBy(col("g.LSOA_of_Accident_Location").alias("LSOA"),
                          col("g.Urban_or_Rural_Area").alias("Urban_or_Rural_Area"))
                 .agg(F.count(F.lit(1)).alias("total_accidents"),
                      F.sum("Number_of_Casualties").alias("total_casualties"),
-                     _round2(F.avg("Number_of_Casualties")).alias("avg_casualties"))
-                .orderBy(F.col("total_accidents").desc(), "LSOA", "Urban_or_Rural_Area")
+                     _round2(F.avg("Number_of_Casualties")).alias("avg_casualties")))
+    return top_areas(groups, top)
+
+
+def top_areas(groups: DataFrame, top: int = BQ3_TOP) -> DataFrame:
+    return (groups.orderBy(F.col("total_accidents").desc(), "LSOA", "Urban_or_Rural_Area")
                 .limit(top))
 
 
@@ -83,12 +96,16 @@ def fatal_combinations(fact: DataFrame, dim_road: DataFrame, dim_env: DataFrame,
                        min_fatal: int = BQ5_MIN_FATAL, top: int = BQ5_TOP) -> DataFrame:
     """BQ5: road type x speed x weather for fatal accidents; > ``min_fatal``; top ``top``."""
     fatal = fact.filter(F.col("Accident_Severity") == 1).alias("f")
-    return (_on(_on(fatal, dim_road, "road_key", "r"), dim_env, "env_key", "e")
+    groups = (_on(_on(fatal, dim_road, "road_key", "r"), dim_env, "env_key", "e")
                 .groupBy(col("r.Road_Type").alias("Road_Type"), col("r.Speed_limit").alias("Speed_limit"),
                          col("e.Weather_Conditions").alias("Weather_Conditions"))
                 .agg(F.count(F.lit(1)).alias("fatal_count"),
-                     F.sum("f.Number_of_Casualties").alias("total_casualties"))
-                .filter(F.col("fatal_count") > min_fatal)
+                     F.sum("f.Number_of_Casualties").alias("total_casualties")))
+    return top_combinations(groups, min_fatal, top)
+
+
+def top_combinations(groups: DataFrame, min_fatal: int = BQ5_MIN_FATAL, top: int = BQ5_TOP) -> DataFrame:
+    return (groups.filter(F.col("fatal_count") > min_fatal)
                 .orderBy(F.col("fatal_count").desc(), "Road_Type", "Speed_limit", "Weather_Conditions")
                 .limit(top))
 
@@ -123,8 +140,13 @@ def severity_by_weekday(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     """
     long = (_on(fact.alias("f"), dim_time, "time_key", "t")
                 .groupBy(col("t.Day_of_Week").alias("_dow"), col("f.Accident_Severity").alias("_sev"))
-                .agg(F.count(F.lit(1)).alias("cnt"))
-                .select(weekday_name(F.col("_dow")).alias("Day_of_Week"),
+                .agg(F.count(F.lit(1)).alias("cnt")))
+    return weekday_severities(long)
+
+
+def weekday_severities(long: DataFrame) -> DataFrame:
+    """Counts by ``_dow`` and ``_sev`` as a table."""
+    long = (long.select(weekday_name(F.col("_dow")).alias("Day_of_Week"),
                         severity_label(F.col("_sev")).alias("Severity"), "cnt", "_dow")
                 .filter(F.col("Day_of_Week").isNotNull()))
     wide = (long.groupBy("Day_of_Week", F.col("_dow").alias("day_order"))
@@ -137,8 +159,13 @@ def weekday_hour_matrix(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     """V3: weekday (rows, Sunday first) x hour (columns) accident counts, 0 if absent."""
     long = (_on(fact.alias("f"), dim_time.filter(F.col("Hour").isNotNull()), "time_key", "t")
                 .groupBy(col("t.Day_of_Week").alias("_dow"), col("t.Hour").alias("Hour"))
-                .agg(F.count(F.lit(1)).alias("cnt"))
-                .select(weekday_name(F.col("_dow")).alias("Day_of_Week"),
+                .agg(F.count(F.lit(1)).alias("cnt")))
+    return weekday_hours(long)
+
+
+def weekday_hours(long: DataFrame) -> DataFrame:
+    """Counts by ``_dow`` and ``Hour`` as a table."""
+    long = (long.select(weekday_name(F.col("_dow")).alias("Day_of_Week"),
                         F.col("_dow").alias("day_order"), "Hour", "cnt")
                 .filter(F.col("Day_of_Week").isNotNull()))
     # Kept (seven weekdays x at most 100 two-digit hours): the pivot looks for its hours there, not in the fact.
@@ -150,7 +177,10 @@ def weekday_hour_matrix(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
 
 def severity_share(fact: DataFrame) -> DataFrame:
     """Count and percentage share per severity code (labelled)."""
-    counts = fact.groupBy("Accident_Severity").agg(F.count(F.lit(1)).alias("cnt"))
+    return shares(fact.groupBy("Accident_Severity").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def shares(counts: DataFrame) -> DataFrame:
     total = F.sum("cnt").over(Window.partitionBy())
     return counts.select(severity_label(F.col("Accident_Severity")).alias("Accident_Severity"),
                          "cnt", F.round(F.col("cnt") * 100.0 / total, 2).alias("pct"))
